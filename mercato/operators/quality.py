@@ -58,7 +58,7 @@ def stock_ledger(products: DataFrame, items: DataFrame) -> DataFrame:
 def _bad(df: DataFrame, check: str, value, cond) -> DataFrame:
     return (df.where(cond).groupBy(value.cast("string").alias("value"))
               .agg(F.count(F.lit(1)).alias("n_rows"))
-              .select(F.lit(check).alias("check"), "value", "n_rows"))
+              .select(F.lit(check).alias("check_name"), "value", "n_rows"))
 
 
 def _outside(col, domain):
@@ -67,7 +67,7 @@ def _outside(col, domain):
 
 def key_and_domain_check(transactions: DataFrame, items: DataFrame, users: DataFrame,
                          products: DataFrame, sessions: DataFrame) -> DataFrame:
-    """(check, value, n_rows) for: transactions of unknown users, items of
+    """(check_name, value, n_rows) for: transactions of unknown users, items of
     unknown products, transactions of unknown sessions (a NULL session is
     allowed), and status / payment / outcome / referrer / device values
     outside their vocabularies.  Anti joins plus grouped counts."""
@@ -124,6 +124,6 @@ def price_check(products: DataFrame, points: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_points"))
     j = products.select("product_id", "base_price", "creation_date").join(last, "product_id", "left")
     return j.select("product_id", "base_price", "latest_price", "n_points",
-                    (money("base_price") == money("latest_price")).alias("price_matches"),
+                    (F.col("base_price") == F.col("latest_price")).alias("price_matches"),
                     "creation_date", "first_price_date",
                     (F.col("creation_date") == F.col("first_price_date")).alias("date_matches"))
