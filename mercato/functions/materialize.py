@@ -1,0 +1,18 @@
+"""Cutting lineage at a reused intermediate table.
+
+``checkpoint()`` writes the rows to the shared folder named by
+``spark.checkpoint.dir`` (reliable storage, unlike ``localCheckpoint``),
+so later stages and scalar subqueries scan that copy instead of re-running
+the upstream joins, and a lost executor costs a re-read, not a recompute.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from mercato.session import ensure_checkpoint_dir
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

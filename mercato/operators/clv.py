@@ -16,6 +16,7 @@ from mercato.functions.domains import (
     CLV_TIER_QUANTILES, CLV_TIERS, CLV_WEIGHTS, ENGAGEMENT_WEIGHTS,
 )
 from mercato.functions.exprs import half_up, mean_exact, ratio, top_k
+from mercato.functions.materialize import materialize
 
 FILL_ZERO = {"total_sessions": 0, "avg_session_duration_sec": 0.0,
              "personal_conversion_rate_pct": 0.0, "converted_sessions": 0}
@@ -60,13 +61,22 @@ def engagement_score() -> Column:
                    + F.col("personal_conversion_rate_pct") * F.lit(w["conversion"]), 2)
 
 
-def clv_scores(financials: DataFrame, behaviour: DataFrame) -> DataFrame:
+def clv_scores(financials: DataFrame, behaviour: DataFrame,
+               checkpoint: bool = True) -> DataFrame:
     """Left join of the two profiles (missing behaviour -> zeros, device and
     referrer stay NULL), engagement score, and the CLV score: 60 % spend,
     20 % orders, 20 % engagement, each relative to its maximum over all
-    users (NULL when that maximum is 0)."""
+    users (NULL when that maximum is 0).
+
+    The joined per-user table feeds the maxima, the tier thresholds and
+    three reports; ``checkpoint`` writes it once to the shared checkpoint
+    folder (one row per user) so none of them re-runs the order and
+    session pipelines.
+    """
     c = financials.join(behaviour, "user_id", "left").fillna(FILL_ZERO)
     c = c.withColumn("engagement_score", engagement_score())
+    if checkpoint:
+        c = materialize(c)
     m = c.select(F.struct(F.max("total_spent").alias("spent"),
                           F.max("total_orders").alias("orders"),
                           F.max("engagement_score").alias("eng")).alias("m")).scalar()
