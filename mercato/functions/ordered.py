@@ -23,7 +23,12 @@ _US = 1_000_000
 
 
 def _bucketed(df: DataFrame, key: str, ts: str, bucket_seconds: int) -> DataFrame:
-    return (df.withColumn("_us", epoch_micros(ts))
+    """Rows without a key or a time cannot be placed on a time line and are
+    dropped.  Filtering here (rather than letting the join infer it on one
+    side) keeps both uses of the bucketed rows identical, so Spark shuffles
+    them once and reuses that exchange for the edge summary."""
+    return (df.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
+              .withColumn("_us", epoch_micros(ts))
               .withColumn("_b", F.floor(F.col("_us") / F.lit(bucket_seconds * _US))))
 
 
@@ -44,7 +49,7 @@ def with_neighbours(df: DataFrame, key: str, ts: str, tiebreak: str,
     edges = edges.select(key, "_b",
                          F.lag("_last").over(wb).alias("_p_edge"),
                          F.lead("_first").over(wb).alias("_n_edge"))
-    d = d.join(edges, [key, "_b"], "left")
+    d = d.join(edges, [key, "_b"])
     return (d.withColumn("prev", F.coalesce("_p_in", "_p_edge"))
              .withColumn("next", F.coalesce("_n_in", "_n_edge"))
              .drop("_p_in", "_n_in", "_p_edge", "_n_edge", "_b"))
@@ -56,16 +61,20 @@ def assign_sessions(df: DataFrame, key: str, ts: str, tiebreak: str,
     """Number the sessions of each key: a session starts at the key's first
     row and wherever the gap to the previous row is >= ``gap_seconds``.
 
-    Adds ``session_seq`` (1, 2, ... per key) and ``_us`` (epoch micros).  With
-    ``carry_next`` it also adds ``next``: the following row of the same key
-    (struct of ``_us`` + those columns), or NULL at the key's last row.
+    Adds ``session_seq`` (1, 2, ... per key), ``_is_start`` (true on the row
+    that opens a session) and ``_us`` (epoch micros).  With ``carry_next`` it
+    also adds ``next``: the following row of the same key (struct of ``_us``
+    + those columns), or NULL at the key's last row.
     """
-    gap = gap_seconds * _US
+    gap = F.lit(gap_seconds * _US)
     d = _bucketed(df, key, ts, bucket_seconds)
     w = Window.partitionBy(key, "_b").orderBy("_us", tiebreak)
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    prev_us = F.lag("_us").over(w)
-    d = d.withColumn("_ls", (prev_us.isNotNull() & (F.col("_us") - prev_us >= gap)).cast("long"))
+    d = d.withColumn("_prev", F.lag("_us").over(w))
+    # a start inside the bucket (the bucket's first row is decided by the summary)
+    d = d.withColumn("_ls", F.when(F.col("_prev").isNotNull()
+                                   & (F.col("_us") - F.col("_prev") >= gap), 1).otherwise(0)
+                            .cast("long"))
     d = d.withColumn("_lrun", F.sum("_ls").over(running))
     aggs = [F.min("_us").alias("_fus"), F.max("_us").alias("_lus"),
             F.sum("_ls").alias("_nls")]
@@ -78,15 +87,18 @@ def assign_sessions(df: DataFrame, key: str, ts: str, tiebreak: str,
     before = wb.rowsBetween(Window.unboundedPreceding, -1)
     prev_last = F.lag("_lus").over(wb)
     edges = edges.withColumn(
-        "_fs", (prev_last.isNull() | (F.col("_fus") - prev_last >= gap)).cast("long"))
+        "_fs", F.when(prev_last.isNull() | (F.col("_fus") - prev_last >= gap), 1).otherwise(0)
+                .cast("long"))
     cols = [key, "_b", "_fs",
             F.coalesce(F.sum(F.col("_fs") + F.col("_nls")).over(before), F.lit(0)).alias("_before")]
     if carry_next:
         cols.append(F.lead("_first").over(wb).alias("_n_edge"))
     edges = edges.select(*cols)
-    d = d.join(edges, [key, "_b"], "left")
+    d = d.join(edges, [key, "_b"])
     d = d.withColumn("session_seq", F.col("_before") + F.col("_fs") + F.col("_lrun"))
-    drop = ["_b", "_ls", "_lrun", "_fs", "_before"]
+    d = d.withColumn("_is_start", F.when(F.col("_prev").isNull(), F.col("_fs") == 1)
+                                   .otherwise(F.col("_ls") == 1))
+    drop = ["_b", "_prev", "_ls", "_lrun", "_fs", "_before"]
     if carry_next:
         d = d.withColumn("next", F.coalesce("_n_in", "_n_edge"))
         drop += ["_n_in", "_n_edge"]

@@ -45,15 +45,17 @@ def build_sessions(sessionized: DataFrame, user: str = "user_id", ts: str = "ts"
                    first_of: Sequence[str] = ()) -> DataFrame:
     """One row per session: start/end, whole-second duration, event count,
     outcome (converted if any conversion event, else abandoned if anything
-    went to the cart, else browsed) and the values of its first event."""
-    order = F.struct(F.col("_us"), F.col(tiebreak))
+    went to the cart, else browsed) and the values of its first event.
+    ``tiebreak`` is the order used by ``sessionize`` (kept for the API)."""
     et = F.col(event_type)
     aggs = [F.min(ts).alias("start_time"), F.max(ts).alias("end_time"),
             F.expr("(max(_us) - min(_us)) div 1000000").alias("duration_seconds"),
             F.count(F.lit(1)).alias("n_events"),
             F.max(et.isin(*convert_types)).alias("_conv"),
             F.max(et.isin(*cart_types)).alias("_cart")]
-    aggs += [F.min_by(F.col(c), order).alias(f"first_{c}") for c in first_of]
+    # exactly one row per session opens it: take the first values there, with
+    # a plain max that keeps the aggregate hash-based
+    aggs += [F.max(F.when(F.col("_is_start"), F.col(c))).alias(f"first_{c}") for c in first_of]
     s = sessionized.groupBy(user, "session_seq").agg(*aggs)
     status = (F.when(F.col("_conv"), "converted")
                .when(F.col("_cart"), "abandoned").otherwise("browsed"))
