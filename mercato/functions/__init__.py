@@ -1,4 +1,4 @@
 from mercato.functions.exprs import (  # noqa: F401
-    as_timestamp, dedupe, epoch_micros, half_up, half_up_signed, mean_exact,
-    money, money_sum, month_key, ratio, top_k,
+    as_timestamp, cents, dedupe, epoch_micros, from_cents, half_up, half_up_signed,
+    mean_exact, money_sum, month_key, ratio, top_k,
 )

@@ -47,6 +47,14 @@ def clean_transactions(transactions: DataFrame) -> DataFrame:
     return dedupe(d, ["transaction_id"])
 
 
+def clean_transaction_ids(transactions: DataFrame) -> DataFrame:
+    """The ids that survive ``clean_transactions``: which duplicate survives
+    does not change the set, so this is a plain distinct on the id of the
+    valid rows (hash aggregate, no row comparison)."""
+    return (transactions.where(F.col("total").isNotNull() & (F.col("total") >= 0))
+            .select("transaction_id").distinct())
+
+
 def clean_sessions(sessions: DataFrame) -> DataFrame:
     """Parse start/end; keep sessions with a positive duration (NULL, zero
     and negative durations are malformed); one row per session id."""

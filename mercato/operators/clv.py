@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from mercato.functions.domains import (
     CLV_TIER_QUANTILES, CLV_TIERS, CLV_WEIGHTS, ENGAGEMENT_WEIGHTS,
 )
-from mercato.functions.exprs import half_up, mean_exact, ratio, top_k
+from mercato.functions.exprs import half_up, mean_exact, money_sum, ratio, top_k
 from mercato.functions.materialize import materialize
 
 FILL_ZERO = {"total_sessions": 0, "avg_session_duration_sec": 0.0,
@@ -145,6 +145,6 @@ def clv_by_country(tiers: DataFrame, limit: int = 10) -> DataFrame:
     g = tiers.groupBy("country").agg(
         F.count(F.lit(1)).alias("user_count"),
         half_up(mean_exact("clv_score"), 2).alias("avg_clv_score"),
-        half_up(F.sum(F.col("total_spent").cast("decimal(18,2)")).cast("double"), 2)
+        half_up(money_sum("total_spent"), 2)
          .alias("total_revenue"))
     return top_k(g, [F.desc("total_revenue"), "country"], limit)

@@ -17,29 +17,29 @@ from pyspark.sql import functions as F
 from mercato.functions.domains import (
     CONVERSION_STATUSES, DEVICE_TYPES, PAYMENT_METHODS, REFERRERS, TRANSACTION_STATUSES,
 )
-from mercato.functions.exprs import half_up, half_up_signed, money, ratio
+from mercato.functions.exprs import cents, from_cents, half_up, half_up_signed, ratio
 from mercato.functions.ordered import with_neighbours
 
 
 def invoice_check(transactions: DataFrame, items: DataFrame) -> DataFrame:
     """Transactions that break an invoice rule, with the failing parts.
     Lines are summed per transaction with map-side combine; comparisons are
-    on exact cents."""
-    line_ok = money(half_up(F.col("quantity") * F.col("unit_price"), 2)) == money("subtotal")
+    on whole cents."""
+    line_ok = cents(half_up(F.col("quantity") * F.col("unit_price"), 2)) == cents("subtotal")
     per_txn = items.groupBy("transaction_id").agg(
         F.count(F.lit(1)).alias("n_items"),
         F.sum(F.when(line_ok, 0).otherwise(1)).cast("long").alias("bad_items"),
-        F.sum(money("subtotal")).alias("_lines"))
+        F.sum(cents("subtotal")).alias("_lines"))
     t = transactions.join(per_txn, "transaction_id", "left")
-    lines = F.coalesce(F.col("_lines"), F.lit(0).cast("decimal(28,2)"))
+    lines = F.coalesce(F.col("_lines"), F.lit(0).cast("long"))
     disc = F.coalesce(F.col("discount"), F.lit(0.0))
-    subtotal_ok = F.coalesce(money("subtotal") == lines, F.lit(False))
-    total_ok = F.coalesce(money(half_up(F.col("subtotal") - disc, 2)) == money("total"), F.lit(False))
+    subtotal_ok = F.coalesce(cents("subtotal") == lines, F.lit(False))
+    total_ok = F.coalesce(cents(half_up(F.col("subtotal") - disc, 2)) == cents("total"), F.lit(False))
     out = t.select(
         "transaction_id",
         F.coalesce(F.col("n_items"), F.lit(0).cast("long")).alias("n_items"),
         F.coalesce(F.col("bad_items"), F.lit(0).cast("long")).alias("bad_items"),
-        lines.cast("double").alias("items_subtotal"),
+        from_cents(lines).alias("items_subtotal"),
         "subtotal", "discount", "total",
         subtotal_ok.alias("subtotal_ok"), total_ok.alias("total_ok"))
     return out.where((F.col("bad_items") > 0) | ~F.col("subtotal_ok") | ~F.col("total_ok"))
@@ -55,38 +55,49 @@ def stock_ledger(products: DataFrame, items: DataFrame) -> DataFrame:
                     (F.col("current_stock") + units).alias("opening_stock"))
 
 
-def _bad(df: DataFrame, check: str, value, cond) -> DataFrame:
-    return (df.where(cond).groupBy(value.cast("string").alias("value"))
+def _orphans(df: DataFrame, check: str, key: str) -> DataFrame:
+    return (df.groupBy(F.col(key).cast("string").alias("value"))
               .agg(F.count(F.lit(1)).alias("n_rows"))
               .select(F.lit(check).alias("check_name"), "value", "n_rows"))
 
 
 def _outside(col, domain):
-    return F.col(col).isNull() | ~F.col(col).isin(*domain)
+    c = F.col(col) if isinstance(col, str) else col
+    return c.isNull() | ~c.isin(*domain)
+
+
+def _domain_checks(df: DataFrame, checks) -> DataFrame:
+    """All vocabulary checks of one table in a single scan: each row yields
+    the (check, value) pairs it fails, which are then counted."""
+    fails = F.array(*[F.when(_outside(col, domain),
+                             F.struct(F.lit(name).alias("check_name"),
+                                      (F.col(col) if isinstance(col, str) else col)
+                                      .cast("string").alias("value")))
+                      for name, col, domain in checks])
+    return (df.select(F.explode(F.filter(fails, lambda x: x.isNotNull())).alias("f"))
+              .groupBy("f.check_name", "f.value").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
 def key_and_domain_check(transactions: DataFrame, items: DataFrame, users: DataFrame,
                          products: DataFrame, sessions: DataFrame) -> DataFrame:
-    """(check_name, value, n_rows) for: transactions of unknown users, items of
-    unknown products, transactions of unknown sessions (a NULL session is
+    """(check_name, value, n_rows) for: transactions of unknown users, items
+    of unknown products, transactions of unknown sessions (a NULL session is
     allowed), and status / payment / outcome / referrer / device values
-    outside their vocabularies.  Anti joins plus grouped counts."""
+    outside their vocabularies.  Anti joins plus grouped counts; one scan
+    per table for the vocabularies."""
     parts = [
-        _bad(transactions.join(users.select("user_id"), "user_id", "left_anti"),
-             "orphan_user", F.col("user_id"), F.lit(True)),
-        _bad(items.join(products.select("product_id"), "product_id", "left_anti"),
-             "orphan_product", F.col("product_id"), F.lit(True)),
-        _bad(transactions.where(F.col("session_id").isNotNull())
-             .join(sessions.select("session_id"), "session_id", "left_anti"),
-             "orphan_session", F.col("session_id"), F.lit(True)),
-        _bad(transactions, "bad_status", F.col("status"), _outside("status", TRANSACTION_STATUSES)),
-        _bad(transactions, "bad_payment_method", F.col("payment_method"),
-             _outside("payment_method", PAYMENT_METHODS)),
-        _bad(sessions, "bad_conversion_status", F.col("conversion_status"),
-             _outside("conversion_status", CONVERSION_STATUSES)),
-        _bad(sessions, "bad_referrer", F.col("referrer"), _outside("referrer", REFERRERS)),
-        _bad(sessions.withColumn("_device", F.col("device_profile.type")), "bad_device_type",
-             F.col("_device"), _outside("_device", DEVICE_TYPES)),
+        _orphans(transactions.join(users.select("user_id"), "user_id", "left_anti"),
+                 "orphan_user", "user_id"),
+        _orphans(items.join(products.select("product_id"), "product_id", "left_anti"),
+                 "orphan_product", "product_id"),
+        _orphans(transactions.where(F.col("session_id").isNotNull())
+                 .join(sessions.select("session_id"), "session_id", "left_anti"),
+                 "orphan_session", "session_id"),
+        _domain_checks(transactions, [("bad_status", "status", TRANSACTION_STATUSES),
+                                      ("bad_payment_method", "payment_method", PAYMENT_METHODS)]),
+        _domain_checks(sessions, [("bad_conversion_status", "conversion_status", CONVERSION_STATUSES),
+                                  ("bad_referrer", "referrer", REFERRERS),
+                                  ("bad_device_type", F.col("device_profile.type"), DEVICE_TYPES)]),
     ]
     out = parts[0]
     for p in parts[1:]:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from mercato.functions.domains import SEGMENT_BOUNDS, SEGMENT_DEFAULT, SEGMENT_LABELS
 from mercato.functions.exprs import (
-    as_timestamp, dedupe, half_up, mean_exact, money_sum, month_key, top_k,
+    as_timestamp, cents, dedupe, from_cents, half_up, mean_exact, money_sum, month_key, top_k,
 )
 
 
@@ -26,8 +26,8 @@ def _pairs(baskets: DataFrame) -> DataFrame:
              .agg(F.count(F.lit(1)).alias("co_purchase_count")))
 
 
-def product_affinity(items: DataFrame, top_n: int = 20, prune: bool = True,
-                     probe_products: int = 200) -> DataFrame:
+def product_affinity(items: DataFrame, top_n: int = 20, prune: bool | str = "auto",
+                     probe_products: int = 200, large_basket: int = 1000) -> DataFrame:
     """Product pairs bought in the same transaction, most frequent first.
 
     Each (transaction, product) counts once; a pair is reported once with
@@ -40,12 +40,18 @@ def product_affinity(items: DataFrame, top_n: int = 20, prune: bool = True,
     count s of its ``top_n``-th pair is a lower bound of the answer's last
     count, and only products in >= s baskets can be part of the answer.  The
     self-join then runs on those products only.  When s is 1 nothing is cut.
-    Hot baskets are split by adaptive skew-join handling; pair counts are
-    combined map-side.
+    ``"auto"`` prunes only when some basket holds more than ``large_basket``
+    distinct products (one small aggregate decides); with bounded baskets
+    the pairs grow linearly with the line items and the probe would cost
+    more than it saves.  Hot baskets are split by adaptive skew-join
+    handling; pair counts are combined map-side.
     """
     baskets = (items.select("transaction_id", "product_id")
                .where(F.col("transaction_id").isNotNull() & F.col("product_id").isNotNull())
                .distinct())
+    if prune == "auto":
+        sizes = baskets.groupBy("transaction_id").agg(F.count(F.lit(1)).alias("n"))
+        prune = (sizes.agg(F.max("n")).first()[0] or 0) > large_basket
     if prune:
         freq = baskets.groupBy("product_id").agg(F.count(F.lit(1)).alias("n_baskets"))
         probe = top_k(freq, [F.desc("n_baskets"), F.asc("product_id")], probe_products)
@@ -71,12 +77,12 @@ def cohort_analysis(users: DataFrame, transactions: DataFrame) -> DataFrame:
     """
     t = (transactions.withColumn("timestamp", as_timestamp(transactions, "timestamp"))
          .groupBy("user_id", month_key("timestamp").alias("txn_month"))
-         .agg(F.sum(F.col("total").cast("decimal(18,2)")).alias("rev"),
+         .agg(F.sum(cents("total")).alias("rev"),
               F.count(F.lit(1)).alias("n")))
     u = users.select("user_id", month_key(as_timestamp(users, "registration_date")).alias("cohort_month"))
     return (t.join(u, "user_id")
              .groupBy("cohort_month", "txn_month")
-             .agg(F.sum("rev").cast("double").alias("total_revenue"),
+             .agg(from_cents(F.sum("rev")).alias("total_revenue"),
                   F.count(F.lit(1)).alias("active_users"),
                   F.sum("n").alias("order_count"))
              .orderBy("cohort_month", "txn_month"))
@@ -116,7 +122,7 @@ def top_users(transactions: DataFrame, users: DataFrame, limit: int = 10) -> Dat
          .withColumn("timestamp", as_timestamp(transactions, "timestamp"))
          .groupBy("user_id").agg(
              F.count_distinct("transaction_id").alias("order_count"),
-             F.sum(F.col("total").cast("decimal(18,2)")).alias("_sum"),
+             F.sum(cents("total")).alias("_sum"),
              F.count("total").alias("_n"),
              F.min("timestamp").alias("first_purchase"),
              F.max("timestamp").alias("last_purchase")))
@@ -125,7 +131,7 @@ def top_users(transactions: DataFrame, users: DataFrame, limit: int = 10) -> Dat
     g = (t.join(u, "user_id")
           .groupBy("user_id", "country", "state").agg(
               F.max("order_count").alias("order_count"),
-              F.sum("_sum").cast("double").alias("_sum"),
+              from_cents(F.sum("_sum")).alias("_sum"),
               F.sum("_n").alias("_n"),
               F.min("first_purchase").alias("first_purchase"),
               F.max("last_purchase").alias("last_purchase")))

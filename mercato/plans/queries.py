@@ -112,7 +112,7 @@ def q_product_affinity(t):
 
 def clean_items(t: DriverTables) -> DataFrame:
     """Line items of clean transactions (the batch jobs read clean tables)."""
-    ct = clean.clean_transactions(t.transactions()).select("transaction_id")
+    ct = clean.clean_transaction_ids(t.transactions())
     return t.txn_items().join(ct, "transaction_id", "left_semi")
 
 

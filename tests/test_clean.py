@@ -78,3 +78,11 @@ def test_table_counts(spark):
     b = spark.range(0)
     got = sorted(rows(clean.table_counts({"a": a, "b": b})))
     assert got == [("a", 3), ("b", 0)]
+
+
+def test_clean_transaction_ids_equal_clean_transactions(spark):
+    from tests import fixtures as fx
+    tx = fx.transactions(spark).union(fx.transactions(spark))
+    a = sorted(rows(clean.clean_transactions(tx), "transaction_id"))
+    b = sorted(rows(clean.clean_transaction_ids(tx)))
+    assert a == b

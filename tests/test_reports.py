@@ -33,7 +33,7 @@ def test_product_affinity_matches_brute_force_with_ties(spark):
     df = _items_df(spark, baskets)
     for top_n in (5, 20):
         exp = brute_affinity(baskets, top_n)
-        for prune in (True, False):
+        for prune in (True, False, "auto"):
             got = rows(reports.product_affinity(df, top_n=top_n, prune=prune, probe_products=10))
             assert got == exp, (top_n, prune)
 
