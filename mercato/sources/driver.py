@@ -35,8 +35,30 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 STATUS_BY_LETTER = {"F": "completed", "O": "processing", "P": "shipped"}
 
 
+# Explicit schemas of the driver tables used here (no footer inference).
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    reader = spark.read
+    if name in SCHEMAS:
+        reader = reader.schema(SCHEMAS[name])
+    return reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def _status(col: str):
@@ -59,9 +81,14 @@ class DriverTables:
 
     def __init__(self, spark: SparkSession, sf_dir: str, gap_seconds: int = TWELVE_HOURS):
         self.spark, self.sf_dir, self.gap_seconds = spark, sf_dir, gap_seconds
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.sf_dir, name)
+        """The table, read once per instance (the file listing and Parquet
+        footer are resolved on the driver at every read)."""
+        if name not in self._raw:
+            self._raw[name] = read_table(self.spark, self.sf_dir, name)
+        return self._raw[name]
 
     # -- users ---------------------------------------------------------
     def users(self) -> DataFrame:
