@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.functions.domains import LABEL_ELLIPSIS, LABEL_MAX_CHARS, REFERRERS
-from mercato.functions.exprs import half_up, money_sum, top_k
+from mercato.functions.exprs import half_up
+from mercato.operators.reports import top_products
 
 
 def short_label(col, width: int = LABEL_MAX_CHARS):
@@ -18,11 +19,7 @@ def short_label(col, width: int = LABEL_MAX_CHARS):
 def chart_product_revenue(items_enriched: DataFrame, limit: int = 10) -> DataFrame:
     """Top products by gross revenue, labels cut to 28 characters + '...',
     re-sorted ascending for a horizontal bar chart; revenue in thousands."""
-    g = items_enriched.groupBy("product_id").agg(
-        F.min("product_name").alias("product_name"),
-        money_sum("subtotal").alias("revenue"),
-        F.sum("quantity").alias("units_sold"))
-    top = top_k(g, [F.desc("revenue"), "product_id"], limit)
+    top = top_products(items_enriched, limit).withColumnRenamed("_rev", "revenue")
     return (top.select("product_id", "product_name", short_label("product_name").alias("short_name"),
                        "revenue", "units_sold", (F.col("revenue") / F.lit(1000.0)).alias("revenue_k"))
                .orderBy("revenue", F.desc("product_id")))

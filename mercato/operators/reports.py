@@ -175,6 +175,27 @@ def monthly_revenue(transactions: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- D1
+def top_products(items_enriched: DataFrame, limit: int, extra=()) -> DataFrame:
+    """Top ``limit`` products by gross revenue with units, line count and
+    the first (smallest) name and category seen on their lines.
+
+    The numbers are a hash aggregate over all lines; the names, whose
+    string aggregate would need a sort of every line, are taken only from
+    the lines of the ``limit`` winners (semi-joined against their broadcast
+    ids, a set bounded by ``limit``).
+    """
+    g = items_enriched.groupBy("product_id").agg(
+        F.sum("quantity").alias("units_sold"),
+        money_sum("subtotal").alias("_rev"),
+        F.count(F.lit(1)).alias("order_count"), *extra)
+    top = top_k(g, [F.desc("_rev"), "product_id"], limit)
+    names = (items_enriched.select("product_id", "product_name", "category_id")
+             .join(F.broadcast(top.select("product_id")), "product_id", "left_semi")
+             .groupBy("product_id").agg(F.min("product_name").alias("product_name"),
+                                        F.min("category_id").alias("category_id")))
+    return top.join(F.broadcast(names), "product_id", "left")
+
+
 def product_popularity(items_enriched: DataFrame, products: DataFrame,
                        limit: int = 10) -> DataFrame:
     """Best-selling products by gross revenue, with units, line-item count
@@ -184,13 +205,7 @@ def product_popularity(items_enriched: DataFrame, products: DataFrame,
     against the broadcast top-k ids (size bounded by ``limit``) and only then
     de-duplicated, so the catalogue is never shuffled.
     """
-    g = items_enriched.groupBy("product_id").agg(
-        F.min("product_name").alias("product_name"),
-        F.min("category_id").alias("category_id"),
-        F.sum("quantity").alias("units_sold"),
-        money_sum("subtotal").alias("_rev"),
-        F.count(F.lit(1)).alias("order_count"))
-    top = top_k(g, [F.desc("_rev"), "product_id"], limit)
+    top = top_products(items_enriched, limit)
     info = dedupe(products.select("product_id", "current_stock", "is_active")
                   .join(F.broadcast(top.select("product_id")), "product_id", "left_semi"),
                   ["product_id"])
