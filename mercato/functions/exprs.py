@@ -84,9 +84,13 @@ def as_timestamp(df: DataFrame, name: str) -> Column:
     return F.col(name)
 
 
-def epoch_micros(ts) -> Column:
-    """Microseconds since the epoch for timestamp or timestamp_ntz input."""
-    return F.unix_micros(_c(ts).cast("timestamp"))
+def epoch_micros(df: DataFrame, name: str) -> Column:
+    """Microseconds since the epoch.  A timestamp_ntz (wall-clock) column is
+    measured without any time-zone conversion, so durations and buckets do
+    not depend on the session zone or its daylight-saving jumps."""
+    if isinstance(df.schema[name].dataType, T.TimestampNTZType):
+        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{name}`)")
+    return F.unix_micros(F.col(name).cast("timestamp"))
 
 
 def _orderable(dtype: T.DataType) -> bool:

@@ -28,7 +28,7 @@ def _bucketed(df: DataFrame, key: str, ts: str, bucket_seconds: int) -> DataFram
     side) keeps both uses of the bucketed rows identical, so Spark shuffles
     them once and reuses that exchange for the edge summary."""
     return (df.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
-              .withColumn("_us", epoch_micros(ts))
+              .withColumn("_us", epoch_micros(df, ts))
               .withColumn("_b", F.floor(F.col("_us") / F.lit(bucket_seconds * _US))))
 
 
