@@ -69,23 +69,28 @@ def clv_scores(financials: DataFrame, behaviour: DataFrame,
     users (NULL when that maximum is 0).
 
     The joined per-user table feeds the maxima, the tier thresholds and
-    three reports; ``checkpoint`` writes it once to the shared checkpoint
-    folder (one row per user) so none of them re-runs the order and
-    session pipelines.
+    three reports; ``checkpoint`` writes it (and then the scored table, one
+    row per user each) to the shared checkpoint folder, so none of them
+    re-runs the order and session pipelines or re-plans the maxima.
     """
     c = financials.join(behaviour, "user_id", "left").fillna(FILL_ZERO)
     c = c.withColumn("engagement_score", engagement_score())
     if checkpoint:
         c = materialize(c)
-    m = c.select(F.struct(F.max("total_spent").alias("spent"),
-                          F.max("total_orders").alias("orders"),
-                          F.max("engagement_score").alias("eng")).alias("m")).scalar()
+    # the scalar subquery is bound once as a column, so it is planned and
+    # run once (each field access on the subquery itself would copy it)
+    c = c.withColumn("_m", c.select(F.struct(F.max("total_spent").alias("spent"),
+                                             F.max("total_orders").alias("orders"),
+                                             F.max("engagement_score").alias("eng"))).scalar())
     hundred = F.lit(100.0)
     w = CLV_WEIGHTS
-    score = (ratio("total_spent", m["spent"]) * hundred * F.lit(w["spent"])
-             + ratio("total_orders", m["orders"]) * hundred * F.lit(w["orders"])
-             + ratio("engagement_score", m["eng"]) * hundred * F.lit(w["engagement"]))
-    return c.withColumn("clv_score", half_up(score, 2))
+    score = (ratio("total_spent", F.col("_m.spent")) * hundred * F.lit(w["spent"])
+             + ratio("total_orders", F.col("_m.orders")) * hundred * F.lit(w["orders"])
+             + ratio("engagement_score", F.col("_m.eng")) * hundred * F.lit(w["engagement"]))
+    scored = c.withColumn("clv_score", half_up(score, 2)).drop("_m")
+    # tiers and reports then start from a scan of the scored rows instead of
+    # re-planning the maxima subquery inside each of their subqueries
+    return materialize(scored) if checkpoint else scored
 
 
 def tier_thresholds(scores: DataFrame, method: str = "exact") -> DataFrame:
@@ -115,13 +120,13 @@ def clv_tiers(scores: DataFrame, method: str = "exact") -> DataFrame:
     """Premium (>= p75), High Value (>= p50), Medium Value (>= p25), else
     Low Value; lower bounds inclusive."""
     t = tier_thresholds(scores, method)
-    th = t.select(F.struct(*t.columns).alias("t")).scalar()
+    d = scores.withColumn("_t", t.select(F.struct(*t.columns)).scalar())
     premium, high, medium, low = CLV_TIERS
-    tier = (F.when(F.col("clv_score") >= th["p75"], premium)
-             .when(F.col("clv_score") >= th["p50"], high)
-             .when(F.col("clv_score") >= th["p25"], medium)
+    tier = (F.when(F.col("clv_score") >= F.col("_t.p75"), premium)
+             .when(F.col("clv_score") >= F.col("_t.p50"), high)
+             .when(F.col("clv_score") >= F.col("_t.p25"), medium)
              .otherwise(low))
-    return scores.withColumn("clv_tier", tier)
+    return d.withColumn("clv_tier", tier).drop("_t")
 
 
 def clv_tier_summary(tiers: DataFrame) -> DataFrame:
