@@ -39,14 +39,18 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """Return the shared checkpoint folder of the session.
 
-    A cluster names a shared folder there; only when it is unset (local
-    tests) do we point it at a fresh scratch folder.
+    The cluster's folder wins: one already set on the context, else the one
+    named by ``spark.checkpoint.dir``.  Only when neither exists (local
+    tests) is a fresh scratch folder used.
     """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = tempfile.mkdtemp(prefix="mercato-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    sc.setCheckpointDir(current)
     return current
