@@ -77,3 +77,18 @@ def test_top_customers_and_country(spark):
     assert top == [("u1",), ("u2",)]
     assert rows(clv.clv_by_country(tiers), "country", "user_count", "total_revenue") == \
         [("US", 2, 150.0), ("CA", 1, 10.0)]
+
+
+def test_approx_thresholds_within_rank_error(spark):
+    import random
+    rnd = random.Random(5)
+    vals = [round(rnd.gauss(50, 15), 2) for _ in range(20000)]
+    s = spark.createDataFrame([(v,) for v in vals], "clv_score double").repartition(7)
+    got = rows(clv.tier_thresholds(s, "approx"))[0]
+    srt = sorted(vals)
+    n = len(srt)
+    for q, v in zip((0.25, 0.5, 0.75), got):
+        lo = sum(x < v for x in srt) / n
+        hi = sum(x <= v for x in srt) / n
+        # the value's rank range must come within the sketch's 1 % error of q
+        assert lo - 0.01 <= q <= hi + 0.01, (q, v, lo, hi)
