@@ -15,6 +15,7 @@ from mercato.functions.domains import SEGMENT_BOUNDS, SEGMENT_DEFAULT, SEGMENT_L
 from mercato.functions.exprs import (
     as_timestamp, cents, dedupe, from_cents, half_up, mean_exact, money_sum, month_key, top_k,
 )
+from mercato.functions.materialize import materialize
 
 
 # ---------------------------------------------------------------- B1
@@ -50,6 +51,9 @@ def product_affinity(items: DataFrame, top_n: int = 20, prune: bool | str = "aut
                .where(F.col("transaction_id").isNotNull() & F.col("product_id").isNotNull())
                .distinct())
     if prune == "auto":
+        # the size check and the self-join both read the baskets: write them
+        # once (two ids per line) instead of re-running the join + distinct
+        baskets = materialize(baskets)
         sizes = baskets.groupBy("transaction_id").agg(F.count(F.lit(1)).alias("n"))
         prune = (sizes.agg(F.max("n")).first()[0] or 0) > large_basket
     if prune:
