@@ -45,7 +45,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     named by ``spark.checkpoint.dir``.  Only when neither exists (local
     tests) is a fresh scratch folder used.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's configuration applies
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
