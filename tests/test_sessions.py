@@ -80,3 +80,20 @@ def test_page_transitions_from_nested_sessions(spark):
     got = rows(page_transitions(pv))
     assert got == [("cart", "checkout", 1, 1.0), ("home", "product_detail", 1, 0.5),
                    ("home", "search", 1, 0.5), ("product_detail", "cart", 1, 1.0)]
+
+
+def test_hot_user_is_spread_over_tasks(spark):
+    from pyspark.sql import functions as F
+    hot = [(i, T0 + dt.timedelta(hours=i % 1440), 0, "view", 1) for i in range(3000)]
+    cold = [(10_000 + i, T0 + dt.timedelta(hours=i), 1 + i % 100, "view", 1) for i in range(1000)]
+    df = spark.createDataFrame(hot + cold, "event_id long, ts timestamp, user_id long, "
+                                           "event_type string, k int")
+    prev = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        s = sessionize(df).where("user_id = 0").select(F.spark_partition_id().alias("p"))
+        per_task = [r[1] for r in s.groupBy("p").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", prev)
+    # the hot user's 3,000 events (a 75 % share) land in several tasks, not one
+    assert len(per_task) >= 3 and max(per_task) < 3000 * 0.6

@@ -59,3 +59,22 @@ def test_driver_views_shapes(spark):
     assert "device_profile" in s.columns and s.count() > 0
     # every session's outcome is one of the three values
     assert {r[0] for r in rows(s, "conversion_status")} <= {"converted", "abandoned", "browsed"}
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    d = tempfile.mkdtemp(prefix="mercato-bucket-")
+    t = DriverTables(spark, SF_SMALL)
+    sinks.write_bucketed(t.transactions(), "mercato_tx_b", os.path.join(d, "tx"), "transaction_id", 4)
+    sinks.write_bucketed(t.txn_items().drop("user_id", "timestamp", "total", "payment_method", "status"),
+                         "mercato_items_b", os.path.join(d, "items"), "transaction_id", 4)
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = spark.table("mercato_items_b").join(spark.table("mercato_tx_b"), "transaction_id")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert j.count() == t.txn_items().count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+        spark.sql("DROP TABLE IF EXISTS mercato_tx_b")
+        spark.sql("DROP TABLE IF EXISTS mercato_items_b")
