@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.functions.domains import LABEL_ELLIPSIS, LABEL_MAX_CHARS, REFERRERS
-from mercato.functions.exprs import half_up
+from mercato.functions.exprs import as_timestamp, half_up, money_sum, month_key
 from mercato.operators.reports import top_products
 
 
@@ -25,6 +25,15 @@ def chart_product_revenue(items_enriched: DataFrame, limit: int = 10) -> DataFra
                .orderBy("revenue", F.desc("product_id")))
 
 
+def chart_category_revenue_series(items_enriched: DataFrame) -> DataFrame:
+    """Gross revenue per category and month (unrounded), in month order: the
+    series behind a revenue-over-time chart per category."""
+    g = items_enriched.groupBy(
+        "category_id", month_key(as_timestamp(items_enriched, "timestamp")).alias("year_month")
+    ).agg(money_sum("subtotal").alias("revenue"))
+    return g.orderBy("year_month", "category_id")
+
+
 def chart_monthly_revenue(monthly: DataFrame) -> DataFrame:
     """The monthly report with revenue in millions, for a line chart."""
     return monthly.withColumn("revenue_m", F.col("revenue") / F.lit(1_000_000.0)).orderBy("month")

@@ -349,6 +349,10 @@ ORACLE: dict[str, str] = {
                     ELSE product_name END AS short_name,
                revenue, units_sold, revenue / """ + D(1000) + """ AS revenue_k
         FROM g ORDER BY revenue, product_id DESC"""),
+    "chart_category_revenue_series": sql(["ie"], """
+        SELECT category_id, strftime("timestamp", '%Y-%m') AS year_month,
+               """ + MS("subtotal") + """ AS revenue
+        FROM ie GROUP BY 1, 2 ORDER BY 2, 1"""),
     "chart_monthly_revenue": sql(["monthly"], """
         SELECT *, revenue / """ + D(1000000) + """ AS revenue_m FROM monthly ORDER BY month"""),
     "chart_tier_share": sql(["tier_summary"], """

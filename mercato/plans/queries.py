@@ -187,6 +187,10 @@ def q_chart_product_revenue(t):
     return charts.chart_product_revenue(items_enriched(t))
 
 
+def q_chart_category_revenue_series(t):
+    return charts.chart_category_revenue_series(items_enriched(t))
+
+
 def q_chart_monthly_revenue(t):
     return charts.chart_monthly_revenue(reports.monthly_revenue(t.transactions()))
 

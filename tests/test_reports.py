@@ -125,3 +125,12 @@ def test_revenue_by_category_monthly(spark):
     got = rows(reports.revenue_by_category_monthly(ie))
     assert got == [("cat_a", "2024-01", 40.0, 3), ("cat_a", "2024-02", 70.0, 4),
                    ("cat_b", "2024-02", 30.0, 1), (None, "2024-02", 5.0, 5)]
+
+
+def test_chart_category_revenue_series(spark):
+    from mercato.operators.charts import chart_category_revenue_series
+    tx, pr = fx.transactions(spark), fx.products(spark)
+    ie = enrich.enrich_items(enrich.flatten_items(tx), pr)
+    got = rows(chart_category_revenue_series(ie))
+    assert got == [("cat_a", "2024-01", 40.0), (None, "2024-02", 5.0), ("cat_a", "2024-02", 70.0),
+                   ("cat_b", "2024-02", 30.0)]
