@@ -95,3 +95,41 @@ def page_views_from_sessions(sessions: DataFrame) -> DataFrame:
                     F.col("e.pv.page_type").alias("page_type"),
                     F.col("e.pv.product_id").alias("product_id"),
                     F.col("e.next_page_type").alias("next_page_type")))
+
+
+def session_check(sessions: DataFrame) -> DataFrame:
+    """Nested session documents that break a rule of the session model, with
+    one flag per rule (all checks are array functions inside the row: no
+    shuffle, no window):
+
+    * ``viewed_ok``: viewed_products is the set of products of its
+      product-detail page views;
+    * ``duration_ok``: duration_seconds equals end - start;
+    * ``cart_ok``: no cart entry has a quantity <= 0 (zero-quantity entries
+      are removed on export);
+    * ``outcome_ok``: a converted session has something in its cart and
+      reached checkout or confirmation; a browsed one has an empty cart.  An
+      abandoned session may show an empty cart, because its outcome was
+      decided before the zero-quantity entries were removed.
+    """
+    pv = F.coalesce(F.col("page_views"), F.array())
+    detail = F.filter(pv, lambda p: (p["page_type"] == "product_detail") & p["product_id"].isNotNull())
+    seen = F.array_sort(F.array_distinct(F.transform(detail, lambda p: p["product_id"])))
+    viewed = F.array_sort(F.array_distinct(F.coalesce(F.col("viewed_products"), F.array())))
+    cart = F.coalesce(F.col("cart_contents"), F.create_map())
+    n_cart = F.size(F.map_keys(cart))
+    bad_qty = F.exists(F.map_values(cart), lambda v: F.coalesce(v["quantity"], F.lit(0)) <= 0)
+    reached = F.exists(pv, lambda p: p["page_type"].isin("checkout", "confirmation"))
+    start, end = F.try_to_timestamp(F.col("start_time")), F.try_to_timestamp(F.col("end_time"))
+    span = (F.unix_micros(end) - F.unix_micros(start)) / F.lit(1_000_000)
+    status = F.col("conversion_status")
+    out = sessions.select(
+        "session_id", "user_id", "conversion_status",
+        (viewed == seen).alias("viewed_ok"),
+        F.coalesce(span == F.col("duration_seconds"), F.lit(False)).alias("duration_ok"),
+        (~bad_qty).alias("cart_ok"),
+        F.when(status == "converted", (n_cart > 0) & reached)
+         .when(status == "browsed", n_cart == 0)
+         .otherwise(F.lit(True)).alias("outcome_ok"))
+    return out.where(~(F.col("viewed_ok") & F.col("duration_ok") & F.col("cart_ok")
+                       & F.col("outcome_ok")))

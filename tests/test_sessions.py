@@ -97,3 +97,12 @@ def test_hot_user_is_spread_over_tasks(spark):
         spark.conf.set("spark.sql.adaptive.enabled", prev)
     # the hot user's 3,000 events (a 75 % share) land in several tasks, not one
     assert len(per_task) >= 3 and max(per_task) < 3000 * 0.6
+
+
+def test_session_check_rules(spark):
+    from mercato.operators.sessions import session_check
+    got = rows(session_check(fx.sessions(spark)).orderBy("session_id"),
+               "session_id", "viewed_ok", "duration_ok", "cart_ok", "outcome_ok")
+    # s3: cart entry with quantity 0 left in the export; s4: duration 0 but
+    # start != end
+    assert got == [("s3", True, True, False, True), ("s4", True, False, True, True)]
