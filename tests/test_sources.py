@@ -50,6 +50,10 @@ def test_sinks_round_trip(spark):
     assert len(csvs) == 1
     sinks.export_json(t.users(), os.path.join(d, "users_json"), max_records_per_file=40)
     assert spark.read.json(os.path.join(d, "users_json")).count() == t.users().count()
+    sinks.land_raw_json(t.users(), os.path.join(d, "users_landed"), max_records_per_file=40)
+    landed = [f for f in os.listdir(os.path.join(d, "users_landed")) if f.endswith(".parquet")]
+    assert len(landed) >= t.users().count() // 40
+    assert readers.read_curated(spark, d, "users_landed").count() == t.users().count()
 
 
 def test_driver_views_shapes(spark):
