@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mercato.llm.substring_dedup import digest, substring_dedup
+from mercato.llm import simhash, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -14,8 +14,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digest(substring_dedup(table(spark, sf_dir, "documents")))
+    return substring_dedup.digest(substring_dedup.substring_dedup(table(spark, sf_dir, "documents")))
+
+
+def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digest(simhash.simhash_groups(table(spark, sf_dir, "documents")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup,)}
+    f.__name__: f for f in (op1_substring_dedup, op4_simhash_dedup)}
