@@ -32,3 +32,37 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(kept.n_removed, 0)::BIGIN
        sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
 """
+
+ORACLE["op8_decontaminate"] = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+    SELECT item_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+u AS (SELECT doc_id, len(w) AS n, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM d),
+runs AS (
+    SELECT doc_id, pos,
+           string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY pos
+                                       ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING) AS k
+    FROM u QUALIFY pos <= n - 12),
+starts AS (SELECT item_id, w, unnest(range(1, len(w) - 11)) AS s FROM b WHERE len(w) >= 13),
+long_win AS (SELECT DISTINCT item_id, array_to_string(w[s:s + 12], ' ') AS k FROM starts),
+short_win AS (SELECT DISTINCT item_id, w FROM b WHERE len(w) BETWEEN 1 AND 12),
+hits AS (
+    SELECT doc_id, pos, 13 AS n, item_id FROM runs JOIN long_win USING (k)
+    UNION ALL
+    SELECT u.doc_id, u.pos, len(s.w), s.item_id
+    FROM u JOIN short_win s ON u.word = s.w[1] JOIN d USING (doc_id)
+    WHERE d.w[u.pos:u.pos + len(s.w) - 1] = s.w),
+hit_words AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + n)) AS pos FROM hits),
+n_hit AS (SELECT doc_id, count(*) AS n_hit FROM hit_words GROUP BY doc_id),
+ids AS (SELECT DISTINCT doc_id, coalesce(item_id::VARCHAR, 'null') AS id FROM hits),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM ids GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
+FROM d LEFT JOIN n_hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
