@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mercato.llm import decontaminate, mil_quality, simhash, substring_dedup
+from mercato.llm import decontaminate, mil_quality, secrets_cnn, simhash, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(simhash.simhash_groups(table(spark, sf_dir, "documents")))
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets_cnn.digest(secrets_cnn.secret_spans(table(spark, sf_dir, "documents")))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return mil_quality.quality_scores(docs, mil_quality.train(docs, table(spark, sf_dir, "labels")))
@@ -32,4 +36,4 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op4_simhash_dedup, op7_quality, op8_decontaminate)}
+    f.__name__: f for f in (op1_substring_dedup, op4_simhash_dedup, op6_secrets, op7_quality, op8_decontaminate)}
