@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mercato.llm import decontaminate, mil_quality, secrets_cnn, simhash, substring_dedup
+from mercato.llm import decontaminate, mil_quality, quality_rules, secrets_cnn, simhash, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,5 +35,10 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.digest(quality_rules.quality_rules(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op4_simhash_dedup, op6_secrets, op7_quality, op8_decontaminate)}
+    f.__name__: f for f in (op1_substring_dedup, op4_simhash_dedup, op6_secrets, op7_quality, op8_decontaminate, op9_quality_rules)}
