@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mercato.llm import decontaminate, mil_quality, quality_rules, secrets_cnn, simhash, substring_dedup
+from mercato.llm import decontaminate, mil_quality, mixing, quality_rules, secrets_cnn, simhash, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(substring_dedup.substring_dedup(table(spark, sf_dir, "documents")))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest(mixing.mix(table(spark, sf_dir, "documents")))
+
+
 def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(simhash.simhash_groups(table(spark, sf_dir, "documents")))
 
@@ -41,4 +45,4 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op4_simhash_dedup, op6_secrets, op7_quality, op8_decontaminate, op9_quality_rules)}
+    f.__name__: f for f in (op1_substring_dedup, op2_mixing, op4_simhash_dedup, op6_secrets, op7_quality, op8_decontaminate, op9_quality_rules)}
