@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mercato.llm import decontaminate, mil_quality, mixing, quality_rules, secrets_cnn, simhash, substring_dedup
+from mercato.llm import decontaminate, mil_quality, mixing, quality_rules, secrets_cnn, simhash, substring_dedup, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(simhash.simhash_groups(table(spark, sf_dir, "documents")))
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.digest(url_filter.url_verdicts(table(spark, sf_dir, "pages")))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets_cnn.digest(secrets_cnn.secret_spans(table(spark, sf_dir, "documents")))
 
@@ -45,4 +49,4 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_mixing, op4_simhash_dedup, op6_secrets, op7_quality, op8_decontaminate, op9_quality_rules)}
+    f.__name__: f for f in (op1_substring_dedup, op2_mixing, op4_simhash_dedup, op5_url_filter, op6_secrets, op7_quality, op8_decontaminate, op9_quality_rules)}
