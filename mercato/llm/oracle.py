@@ -66,3 +66,15 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
 FROM d LEFT JOIN n_hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+ORACLE["op10_warc"] = r"""
+WITH p AS (
+    SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes,
+           sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (
+    SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM f
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mercato.llm import decontaminate, mil_quality, mixing, quality_rules, secrets_cnn, simhash, substring_dedup, url_filter
+from mercato.llm import decontaminate, mil_quality, mixing, quality_rules, secrets_cnn, simhash, substring_dedup, url_filter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,5 +48,9 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(warc.round_trip(table(spark, sf_dir, "pages")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_mixing, op4_simhash_dedup, op5_url_filter, op6_secrets, op7_quality, op8_decontaminate, op9_quality_rules)}
+    f.__name__: f for f in (op1_substring_dedup, op2_mixing, op4_simhash_dedup, op5_url_filter, op6_secrets, op7_quality, op8_decontaminate, op9_quality_rules, op10_warc)}
