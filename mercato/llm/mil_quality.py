@@ -194,29 +194,31 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col:
     return fit(np.concatenate(bags), np.array([len(b) for b in bags]), np.array([float(r.y) for r in rows]))
 
 
-def quality_scores(documents: DataFrame, model: Model, id_col: str = "doc_id",
-                   text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, held_out, score, predicted of every row."""
+def score(model: Model, text_col: str = "text") -> Column:
+    """The score of a row's text, computed where the row is."""
     raw = model.dump()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("double")
+    def scores(texts: pa.Array) -> pa.Array:
         of = Model.load(raw)
-        for batch in batches:
-            for part, data, offs in W.slices(batch, "text"):
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(of.scores(*passages(data, offs)))], names=["doc_id", "score"])
+        batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+        got = [of.scores(*passages(data, offs)) for _, data, offs in W.slices(batch, "text")]
+        return pa.array(np.concatenate(got) if got else np.zeros(0))
+
+    return scores(F.col(text_col))
+
 
-    scored = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")
-                              ).mapInArrow(run, "doc_id long, score double")
+def quality_scores(documents: DataFrame, model: Model, id_col: str = "doc_id",
+                   text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, held_out, score, predicted of every row."""
+    scored = documents.select(F.col(id_col).cast("long").alias("doc_id"), score(model, text_col).alias("score"))
     return scored.select("doc_id", held_out().alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def keep_good(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that the model does not reject, with all their columns.
-    Rows with a null doc_id stay; rows that share an id go together."""
-    scores = quality_scores(documents, train(documents, labels, id_col=id_col, text_col=text_col),
-                            id_col, text_col, threshold)
-    gone = scores.where("predicted = 0").select(F.col("doc_id").alias("_gone")).distinct()
-    return documents.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    """The rows that the model does not reject, with all their columns; each
+    row is judged by its own text, without a shuffle."""
+    model = train(documents, labels, id_col=id_col, text_col=text_col)
+    return documents.where(score(model, text_col) >= threshold)

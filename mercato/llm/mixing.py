@@ -151,18 +151,14 @@ def mix(documents: DataFrame, weights: tuple = WEIGHTS, total_share: float = TOT
 
 def mixed_documents(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     source_col: str = "source", **how) -> DataFrame:
-    """The documents that the mix takes words of, with ``taken`` added."""
+    """The documents that the mix takes words of, with ``taken`` added.  Rows
+    that repeat share their words evenly, rounded up."""
     counts = (mix(documents, id_col=id_col, text_col=text_col, source_col=source_col, **how)
-              .where("taken > 0").select(F.col("doc_id").alias("_llm_d"), F.col("t").alias("_llm_t"),
-                                         F.col("taken").alias("_llm_taken")))
-    # rows that repeat are told apart by their number among equal ones
-    like = Window.partitionBy("_llm_d", "_llm_t").orderBy(F.desc("_llm_taken"))
-    counts = counts.withColumn("_llm_n", F.row_number().over(like))
-    docs = documents.withColumn("_llm_d", F.col(id_col).cast("long")).withColumn("_llm_t", F.xxhash64(
+              .groupBy(F.col("doc_id").alias("_llm_d"), F.col("t").alias("_llm_t"))
+              .agg(F.ceil(F.sum("taken") / F.count("*")).alias("_llm_taken")).where("_llm_taken > 0"))
+    docs = documents.withColumn("_llm_t", F.xxhash64(
         F.lit(SEED), F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit(""))))
-    docs = docs.withColumn("_llm_n", F.row_number().over(
-        Window.partitionBy("_llm_d", "_llm_t").orderBy(F.col(source_col).isNull(), source_col)))
-    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"m.{c}")) for c in ("_llm_d", "_llm_t", "_llm_n")]
+    same = (F.col("d._llm_t") == F.col("m._llm_t")) & F.col(f"d.`{id_col}`").cast("long").eqNullSafe(F.col("m._llm_d"))
     return docs.alias("d").join(counts.alias("m"), same).select(
         *(F.col(f"d.`{c}`") for c in documents.columns), F.col("m._llm_taken").alias("taken"))
 

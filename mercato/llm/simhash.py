@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercato.llm.graph import components
@@ -41,6 +41,7 @@ from mercato.llm.store import keep
 from mercato.llm.words import LOWER
 
 SEED = 42
+NULL_ID = -(1 << 63)
 SAMPLE = 4096
 #: Fingerprints that live in a shard, about; a shard's task also sees its visitors.
 SHARD = 20_000
@@ -71,20 +72,25 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
     return int(np.packbits(2 * ones > len(start), bitorder="little").view(np.uint64)[0])
 
 
+def _text_hash(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
 def fingerprints(documents: DataFrame, shingle: int = 3, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """(doc_id, fp) with the 64 bits of fp as a signed long."""
+    """(doc_id, t, fp) of every row: t is a hash of the text, fp the 64 bits
+    as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.fromiter((fingerprint(t or b"", shingle) for t in batch.column("t").to_pylist()),
+            fps = np.fromiter((fingerprint(t or b"", shingle) for t in batch.column("text").to_pylist()),
                               dtype=np.uint64, count=batch.num_rows)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+                [batch.column("doc_id"), batch.column("t"), pa.array(fps.view(np.int64))], names=["doc_id", "t", "fp"])
 
-    return documents.select(F.col(id_col).cast("long").alias("doc_id"),
-                            F.col(text_col).cast("binary").alias("t")).mapInArrow(
-        run, "doc_id long, fp long")
+    return documents.select(F.col(id_col).cast("long").alias("doc_id"), _text_hash(text_col).alias("t"),
+                            F.col(text_col).cast("binary").alias("text")).mapInArrow(
+        run, "doc_id long, t long, fp long")
 
 
 def halves(fps: np.ndarray, half: int) -> np.ndarray:
@@ -216,24 +222,30 @@ def links(unique: DataFrame, max_bits: int = 3) -> DataFrame:
 
 def simhash_groups(documents: DataFrame, shingle: int = 3, max_bits: int = 3,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp and component_id (the smallest doc_id reachable) of every row."""
+    """doc_id, t (a hash of the text), fp, root (a fingerprint that names the
+    component) and component_id (the smallest doc_id reachable) of every row."""
     of_docs = keep(fingerprints(documents, shingle, id_col, text_col), "fingerprints")
     unique = keep(of_docs.groupBy("fp").agg(F.min("doc_id").alias("first_doc")), "unique")
     roots = components(links(unique, max_bits)).withColumnRenamed("node", "fp")
     rooted = unique.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     names = rooted.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    named = rooted.join(names, "root").select("fp", "component_id")
-    return of_docs.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = rooted.join(names, "root").select("fp", "root", "component_id")
+    return of_docs.join(named, "fp").select("doc_id", "t", "fp", "root", "component_id")
 
 
 def keep_first(documents: DataFrame, shingle: int = 3, max_bits: int = 3,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without near copies: of each component the one with the
-    smallest doc_id stays; rows with a null doc_id stay, as do rows that
-    repeat the kept id."""
+    """One document of each component: the one with the smallest doc_id (null
+    last), of rows that share it the one with the smallest text hash, and of
+    rows that repeat any one.  All columns stay."""
     groups = simhash_groups(documents, shingle, max_bits, id_col, text_col)
-    gone = (groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct())
-    return documents.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "t")
+    first = groups.groupBy("root").agg(F.min(key).alias("first")).select(
+        F.coalesce("first.doc_id", F.lit(NULL_ID)).alias("_llm_d"), F.col("first.t").alias("_llm_t"))
+    keyed = (documents.withColumn("_llm_d", F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)))
+             .withColumn("_llm_t", _text_hash(text_col)))
+    return (keyed.join(first.distinct(), ["_llm_d", "_llm_t"], "left_semi")
+            .dropDuplicates(["_llm_d", "_llm_t"]).drop("_llm_d", "_llm_t"))
 
 
 def digest(groups: DataFrame) -> DataFrame:
