@@ -78,3 +78,31 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN first END AS refers_to
 FROM f
 """
+
+# one row for each (conv_id, turn), as the table has; duplicate ids are tested against brute force
+ORACLE["op3_tool_calls"] = r"""
+WITH c AS (
+    SELECT conv_id, turn, text, conv_id || ':' || turn AS call_id,
+           CASE WHEN turn >= 2 THEN conv_id || ':' || (turn - 2) END AS ref
+    FROM conversations WHERE role = 'user'),
+r AS (SELECT conv_id, turn, text, conv_id || ':' || (turn - 1) AS call_id FROM conversations WHERE role = 'assistant'),
+calls AS (
+    SELECT c.conv_id, c.call_id, c.turn, r.turn AS result_turn, 0 AS level,
+           CASE WHEN r.call_id IS NULL THEN 'no_result' ELSE 'linked' END AS status,
+           CASE WHEN c.text IS NULL THEN 'required:/prompt' WHEN c.text = '' THEN 'length:/prompt'
+                WHEN c.ref IS NOT NULL AND p.call_id IS NULL THEN 'missing_ref' END AS error,
+           '{"arguments":{' || CASE WHEN c.ref IS NULL THEN '' ELSE '"history":{"$ref":' || to_json(c.ref)::VARCHAR || '},' END
+           || CASE WHEN c.text IS NULL THEN '' ELSE '"prompt":' || to_json(c.text)::VARCHAR END
+           || '},"id":' || to_json(c.call_id)::VARCHAR || ',"name":"reply","result":'
+           || CASE WHEN r.call_id IS NULL THEN 'null' ELSE '{"content":' || coalesce(to_json(r.text)::VARCHAR, 'null')
+                   || ',"turn":' || r.turn || '}' END
+           || ',"turn":' || c.turn || '}' AS json
+    FROM c LEFT JOIN r USING (call_id) LEFT JOIN c p ON c.ref = p.call_id),
+lone AS (
+    SELECT r.conv_id, r.call_id, NULL::BIGINT AS turn, r.turn AS result_turn, 0 AS level, 'no_call' AS status,
+           NULL::VARCHAR AS error,
+           '{"id":' || to_json(r.call_id)::VARCHAR || ',"result":{"content":' || coalesce(to_json(r.text)::VARCHAR, 'null')
+           || ',"turn":' || r.turn || '}}' AS json
+    FROM r WHERE call_id NOT IN (SELECT call_id FROM c))
+SELECT * FROM calls UNION ALL SELECT * FROM lone
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mercato.llm import decontaminate, mil_quality, mixing, quality_rules, secrets_cnn, simhash, substring_dedup, url_filter, warc
+from mercato.llm import chat_tools, decontaminate, mil_quality, mixing, quality_rules, secrets_cnn, simhash, substring_dedup, url_filter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(mixing.mix(table(spark, sf_dir, "documents")))
 
 
+def op3_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = chat_tools.turns_as_calls(table(spark, sf_dir, "conversations"))
+    return chat_tools.link_calls(calls, results, chat_tools.REPLY)
+
+
 def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(simhash.simhash_groups(table(spark, sf_dir, "documents")))
 
@@ -53,4 +58,4 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_mixing, op4_simhash_dedup, op5_url_filter, op6_secrets, op7_quality, op8_decontaminate, op9_quality_rules, op10_warc)}
+    f.__name__: f for f in (op1_substring_dedup, op2_mixing, op3_tool_calls, op4_simhash_dedup, op5_url_filter, op6_secrets, op7_quality, op8_decontaminate, op9_quality_rules, op10_warc)}
