@@ -1,4 +1 @@
-from mercato.functions.exprs import (  # noqa: F401
-    as_timestamp, cents, dedupe, epoch_micros, from_cents, half_up, half_up_signed,
-    mean_exact, money_sum, month_key, ratio, top_k,
-)
+"""Column expressions and scans shared by the operators."""

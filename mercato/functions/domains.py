@@ -19,10 +19,6 @@ REFERRERS = ["direct", "email", "social", "search_engine", "affiliate"]
 # Device classes.
 DEVICE_TYPES = ["mobile", "desktop", "tablet"]
 
-# Page types of a browsing journey.
-PAGE_TYPES = ["home", "search", "category_listing", "product_detail", "cart",
-              "checkout", "confirmation"]
-
 # Order-count buckets of the user segmentation
 # (lower bounds, with the label of each bucket); the last bound closes the
 # final bucket and anything outside goes to the default label.

@@ -23,8 +23,9 @@ def _c(x) -> Column:
 
 
 def cents(x) -> Column:
-    """A money value as whole cents (half-up), a long."""
-    return F.round(_c(x) * F.lit(100.0)).cast("long")
+    """A money value as whole cents, a long: the one rounding rule of money,
+    half-up on the double.  NaN is no amount and becomes NULL."""
+    return F.round(F.nanvl(_c(x).cast("double"), F.lit(None)) * F.lit(100.0)).cast("long")
 
 
 def from_cents(x) -> Column:
@@ -110,13 +111,17 @@ def dedupe(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     order, are smallest.  It is an ordinary grouped aggregate, so a key
     holding millions of copies is first combined map-side in every task
     before a single row per task is shuffled.  A NULL key is one group,
-    as in ``dropDuplicates``.
+    as in ``dropDuplicates``.  The keys come straight from the grouping, so
+    Spark knows the rows to be unique and partitioned by them.  All columns
+    take part in the choice: select the needed ones first.
     """
-    cols = df.columns
-    order = [c for c in cols if _orderable(df.schema[c].dataType)]
-    row = F.struct(*[F.col(c) for c in cols])
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.select(*keys).distinct()
+    order = [c for c in rest if _orderable(df.schema[c].dataType)]
+    row = F.struct(*[F.col(c) for c in rest])
     pick = F.min_by(row, F.struct(*[F.col(c) for c in order])).alias("_row")
-    return df.groupBy(*keys).agg(pick).select("_row.*")
+    return df.groupBy(*keys).agg(pick).select(*[c if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
 def top_k(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:

@@ -2,12 +2,22 @@
 
 A plain ``Window.partitionBy(key).orderBy(ts)`` sends every row of a key to
 one task; if one user or product holds a third of all rows, that task holds
-a third of the data.  Here each key's time line is cut into fixed buckets
-and the window runs per (key, bucket).  What crosses a bucket edge (the
-last event of the previous bucket, the first of the next one, how many
-sessions started before) is read from a per-(key, bucket) summary, which is
-an ordinary map-side-combined aggregate with one row per non-empty bucket.
-The result is exact: identical to an unsplit window over the whole key.
+a third of the data.  Here each key's time line is cut into buckets and the
+window runs per (key, bucket).  What crosses a bucket edge (the last event of
+the previous bucket, the first of the next one, how many sessions started
+before) is read from a per-(key, bucket) summary, which is an ordinary
+map-side-combined aggregate with one row per non-empty bucket.  The result is
+exact: identical to an unsplit window over the whole key.
+
+Buckets have a fixed width in time.  The ``HEAVY`` buckets of most rows (a
+bot's day, a bestseller's month) are cut again at quantiles of their own
+times if they have over ``LIGHT_ROWS`` rows; any other bucket has at most one
+in ``HEAVY`` of all rows.  So a window never sees more than about that share,
+unless rows agree on key and microsecond.  The table of cuts has at most
+``HEAVY`` rows of fewer than ``HEAVY`` times (8 MB) and is broadcast.
+
+Rows without a key or a time have no place on a time line and are not
+scanned; ``key_and_domain_check`` reports how many there are.
 """
 
 from __future__ import annotations
@@ -20,16 +30,29 @@ from pyspark.sql import functions as F
 from mercato.functions.exprs import epoch_micros
 
 _US = 1_000_000
+HEAVY = 1000
+#: Buckets of fewer rows are never cut, however small the table.
+LIGHT_ROWS = 100_000
 
 
 def _bucketed(df: DataFrame, key: str, ts: str, bucket_seconds: int) -> DataFrame:
-    """Rows without a key or a time cannot be placed on a time line and are
-    dropped.  Filtering here (rather than letting the join infer it on one
-    side) keeps both uses of the bucketed rows identical, so Spark shuffles
-    them once and reuses that exchange for the edge summary."""
-    return (df.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
+    """Rows with their time in microseconds and their bucket: a struct of the
+    time bucket and the piece of it (0 unless the bucket is heavy)."""
+    rows = (df.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
               .withColumn("_us", epoch_micros(df, ts))
-              .withColumn("_b", F.floor(F.col("_us") / F.lit(bucket_seconds * _US))))
+              .withColumn("_w", F.floor(F.col("_us") / F.lit(bucket_seconds * _US))))
+    times = rows.select(F.col(key).alias("_hk"), F.col("_w").alias("_hw"), "_us")
+    heavy = (times.groupBy("_hk", "_hw").agg(F.count(F.lit(1)).alias("_n"))
+             .where(F.col("_n") > F.lit(LIGHT_ROWS)).orderBy(F.desc("_n"), "_hk", "_hw").limit(HEAVY)
+             .select("_hk", "_hw"))
+    points = F.array(*[F.lit(i / HEAVY) for i in range(1, HEAVY)])
+    cuts = (times.join(F.broadcast(heavy), ["_hk", "_hw"], "left_semi").groupBy("_hk", "_hw")
+            .agg(F.array_distinct(F.percentile_approx("_us", points)).alias("_cuts")))
+    cut = rows.join(F.broadcast(cuts), (F.col(key) == F.col("_hk")) & (F.col("_w") == F.col("_hw")), "left")
+    piece = F.when(F.col("_cuts").isNull(), 0).otherwise(
+        F.size(F.filter("_cuts", lambda c: c <= F.col("_us"))))
+    return (cut.withColumn("_b", F.struct(F.col("_w").alias("w"), piece.alias("p")))
+               .drop("_hk", "_hw", "_cuts", "_w"))
 
 
 def with_neighbours(df: DataFrame, key: str, ts: str, tiebreak: str,

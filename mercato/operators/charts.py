@@ -16,18 +16,19 @@ def short_label(col, width: int = LABEL_MAX_CHARS):
                   F.concat(F.substring(c, 1, width), F.lit(LABEL_ELLIPSIS))).otherwise(c)
 
 
-def chart_product_revenue(items_enriched: DataFrame, limit: int = 10) -> DataFrame:
+def chart_product_revenue(items: DataFrame, products: DataFrame, limit: int = 10) -> DataFrame:
     """Top products by gross revenue, labels cut to 28 characters + '...',
     re-sorted ascending for a horizontal bar chart; revenue in thousands."""
-    top = top_products(items_enriched, limit).withColumnRenamed("_rev", "revenue")
+    top = (top_products(items, products, limit, "name").withColumnRenamed("_rev", "revenue")
+           .withColumnRenamed("name", "product_name"))
     return (top.select("product_id", "product_name", short_label("product_name").alias("short_name"),
                        "revenue", "units_sold", (F.col("revenue") / F.lit(1000.0)).alias("revenue_k"))
                .orderBy("revenue", F.desc("product_id")))
 
 
 def chart_category_revenue_series(items_enriched: DataFrame) -> DataFrame:
-    """Gross revenue per category and month (unrounded), in month order: the
-    series behind a revenue-over-time chart per category."""
+    """Gross revenue per category and month (lines in whole cents, the sum not
+    rounded further), in month order: the series behind a revenue-over-time chart per category."""
     g = items_enriched.groupBy(
         "category_id", month_key(as_timestamp(items_enriched, "timestamp")).alias("year_month")
     ).agg(money_sum("subtotal").alias("revenue"))

@@ -9,9 +9,9 @@ millions of copies is combined map-side before anything is shuffled.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions.exprs import as_timestamp, dedupe
@@ -37,22 +37,25 @@ def clean_products(products: DataFrame) -> DataFrame:
     return dedupe(d, ["product_id"])
 
 
-def clean_transactions(transactions: DataFrame) -> DataFrame:
-    """Parse the timestamp; discount NULL -> 0.0; keep rows whose total is
-    present and not negative; one row per transaction id (a NULL id is kept
-    as one row, as the key of its own group)."""
-    d = (_parse(transactions, "timestamp")
-         .withColumn("discount", F.coalesce(F.col("discount"), F.lit(0.0)))
-         .where(F.col("total").isNotNull() & (F.col("total") >= 0)))
-    return dedupe(d, ["transaction_id"])
+def valid_total() -> Column:
+    """A total that is an amount (NULL and NaN are not) and not negative."""
+    return F.col("total").isNotNull() & ~F.isnan("total") & (F.col("total") >= 0)
+
+
+def clean_transactions(transactions: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Parse the timestamp; discount NULL -> 0.0; keep rows with a valid
+    total; one row per transaction id (a NULL id is kept as one row, as the
+    key of its own group).  ``columns`` (transaction_id among them) are the
+    ones to keep: the others are neither read nor part of the choice."""
+    d = _parse(transactions, "timestamp").withColumn("discount", F.coalesce(F.col("discount"), F.lit(0.0)))
+    return dedupe(d.where(valid_total()).select(*(columns or d.columns)), ["transaction_id"])
 
 
 def clean_transaction_ids(transactions: DataFrame) -> DataFrame:
     """The ids that survive ``clean_transactions``: which duplicate survives
     does not change the set, so this is a plain distinct on the id of the
     valid rows (hash aggregate, no row comparison)."""
-    return (transactions.where(F.col("total").isNotNull() & (F.col("total") >= 0))
-            .select("transaction_id").distinct())
+    return transactions.where(valid_total()).select("transaction_id").distinct()
 
 
 def clean_sessions(sessions: DataFrame) -> DataFrame:

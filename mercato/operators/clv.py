@@ -9,14 +9,13 @@ the subquery's shuffle stages are shared with the main query.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions.domains import (
     CLV_TIER_QUANTILES, CLV_TIERS, CLV_WEIGHTS, ENGAGEMENT_WEIGHTS,
 )
 from mercato.functions.exprs import half_up, mean_exact, money_sum, ratio, top_k
-from mercato.functions.materialize import materialize
 
 FILL_ZERO = {"total_sessions": 0, "avg_session_duration_sec": 0.0,
              "personal_conversion_rate_pct": 0.0, "converted_sessions": 0}
@@ -61,22 +60,18 @@ def engagement_score() -> Column:
                    + F.col("personal_conversion_rate_pct") * F.lit(w["conversion"]), 2)
 
 
-def clv_scores(financials: DataFrame, behaviour: DataFrame,
-               checkpoint: bool = True) -> DataFrame:
+def clv_scores(financials: DataFrame, behaviour: DataFrame) -> DataFrame:
     """Left join of the two profiles (missing behaviour -> zeros, device and
     referrer stay NULL), engagement score, and the CLV score: 60 % spend,
     20 % orders, 20 % engagement, each relative to its maximum over all
     users (NULL when that maximum is 0).
 
-    The joined per-user table feeds the maxima, the tier thresholds and
-    three reports; ``checkpoint`` writes it (and then the scored table, one
-    row per user each) to the shared checkpoint folder, so none of them
-    re-runs the order and session pipelines or re-plans the maxima.
+    The maxima are a scalar subquery over the joined per-user table, so the
+    plan stays lazy and whole; a job that derives several reports writes the
+    scores once and reads them back (``plans.jobs.clv_job``).
     """
     c = financials.join(behaviour, "user_id", "left").fillna(FILL_ZERO)
     c = c.withColumn("engagement_score", engagement_score())
-    if checkpoint:
-        c = materialize(c)
     # the scalar subquery is bound once as a column, so it is planned and
     # run once (each field access on the subquery itself would copy it)
     c = c.withColumn("_m", c.select(F.struct(F.max("total_spent").alias("spent"),
@@ -87,33 +82,45 @@ def clv_scores(financials: DataFrame, behaviour: DataFrame,
     score = (ratio("total_spent", F.col("_m.spent")) * hundred * F.lit(w["spent"])
              + ratio("total_orders", F.col("_m.orders")) * hundred * F.lit(w["orders"])
              + ratio("engagement_score", F.col("_m.eng")) * hundred * F.lit(w["engagement"]))
-    scored = c.withColumn("clv_score", half_up(score, 2)).drop("_m")
-    # tiers and reports then start from a scan of the scored rows instead of
-    # re-planning the maxima subquery inside each of their subqueries
-    return materialize(scored) if checkpoint else scored
+    return c.withColumn("clv_score", half_up(score, 2)).drop("_m")
 
 
 def tier_thresholds(scores: DataFrame, method: str = "exact") -> DataFrame:
     """One row with p25, p50, p75 of clv_score.
 
-    ``exact``: the smallest score whose cumulative share reaches p (SQL
-    ``percentile_disc``).  Scores are rounded to cents, so their histogram
-    has a bounded number of distinct values (10,001 on the 0-100 scale); the
-    histogram is built with map-side combine and only it is scanned in
-    order.  ``approx``: ``percentile_approx`` with accuracy 100 (relative
-    error 0.01), a mergeable sketch.
+    ``exact``: the smallest score whose cumulative share reaches p, Spark's
+    ``percentile_disc``: every task counts its scores by value and only the
+    counts are merged, no row is sorted or moved.  Scores are in cents, so
+    there are at most 10,001 values from 0 to 100 (negative totals in unclean
+    input add one for each different negative score).  ``approx``:
+    ``percentile_approx`` with accuracy 100 (relative error 0.01), a
+    mergeable sketch.
     """
     s = scores.where(F.col("clv_score").isNotNull())
     names = [f"p{int(q * 100)}" for q in CLV_TIER_QUANTILES]
     if method == "approx":
         q = F.percentile_approx("clv_score", F.array(*[F.lit(x) for x in CLV_TIER_QUANTILES]), 100)
         return s.agg(q.alias("_q")).select(*[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-    hist = s.groupBy("clv_score").agg(F.count(F.lit(1)).alias("n"))
-    upto = Window.orderBy("clv_score").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = hist.withColumn("cum", F.sum("n").over(upto))
-    total = hist.agg(F.sum("n")).scalar()
-    return hist.agg(*[F.min(F.when(F.col("cum") >= F.lit(q) * total, F.col("clv_score"))).alias(n)
-                      for q, n in zip(CLV_TIER_QUANTILES, names)])
+    return s.agg(*[F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY clv_score)").alias(n)
+                   for q, n in zip(CLV_TIER_QUANTILES, names)])
+
+
+def tier_rank_check(scores: DataFrame, tolerance: float = 0.01) -> DataFrame:
+    """For each threshold of the approximate method: its quantile, the users
+    with a score, and whether the threshold's true rank is within
+    ``tolerance`` of the quantile."""
+    s = scores.where(F.col("clv_score").isNotNull())
+    t = tier_thresholds(scores, "approx")
+    names = [f"p{int(q * 100)}" for q in CLV_TIER_QUANTILES]
+    marked = s.select("clv_score").withColumn("_t", t.select(F.struct(*names)).scalar())
+    counts = marked.agg(F.count(F.lit(1)).alias("n"), *[x for n in names for x in (
+        F.count_if(F.col("clv_score") < F.col(f"_t.{n}")).alias(f"below_{n}"),
+        F.count_if(F.col("clv_score") <= F.col(f"_t.{n}")).alias(f"upto_{n}"))])
+    rows = F.array(*[F.struct(F.lit(q).alias("quantile"), F.col("n").alias("user_count"),
+                              ((F.col(f"below_{n}") <= F.lit(q + tolerance) * F.col("n"))
+                               & (F.col(f"upto_{n}") >= F.lit(q - tolerance) * F.col("n"))).alias("rank_ok"))
+                     for q, n in zip(CLV_TIER_QUANTILES, names)])
+    return counts.where("n > 0").select(F.explode(rows).alias("r")).select("r.*")
 
 
 def clv_tiers(scores: DataFrame, method: str = "exact") -> DataFrame:

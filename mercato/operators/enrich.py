@@ -73,7 +73,9 @@ def enrich_transactions(transactions: DataFrame, items: DataFrame,
                         products: DataFrame) -> DataFrame:
     """Denormalised transactions, flat: one row per enriched line item,
     plus one row with NULL item fields for a transaction whose basket is
-    empty (so no transaction is lost).  Timestamps are parsed."""
+    empty (so no transaction is lost).  Timestamps are parsed.  ``items``
+    needs no header columns: lines are moved once for the product lookup and
+    once for the join with their transaction."""
     head = transactions.withColumn("timestamp", as_timestamp(transactions, "timestamp"))
     it = enrich_items(items.select("transaction_id", "line_number", "product_id", "quantity",
                                    "unit_price", "subtotal")

@@ -78,13 +78,25 @@ def _domain_checks(df: DataFrame, checks) -> DataFrame:
               .groupBy("f.check_name", "f.value").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
+def _unplaced(df: DataFrame, check: str, *needed: str) -> DataFrame:
+    """How many rows miss a column without which an ordered scan skips them."""
+    misses = F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in needed])
+    return (df.select(F.explode(F.array_compact(misses)).alias("value"))
+            .groupBy("value").agg(F.count(F.lit(1)).alias("n_rows"))
+            .select(F.lit(check).alias("check_name"), "value", "n_rows"))
+
+
 def key_and_domain_check(transactions: DataFrame, items: DataFrame, users: DataFrame,
-                         products: DataFrame, sessions: DataFrame) -> DataFrame:
+                         products: DataFrame, sessions: DataFrame, events: DataFrame | None = None,
+                         price_points: DataFrame | None = None) -> DataFrame:
     """(check_name, value, n_rows) for: transactions of unknown users, items
     of unknown products, transactions of unknown sessions (a NULL session is
     allowed), and status / payment / outcome / referrer / device values
     outside their vocabularies.  Anti joins plus grouped counts; one scan
-    per table for the vocabularies."""
+    per table for the vocabularies.  With ``events`` and ``price_points``
+    also the rows that no session or price time line can hold
+    (``unplaced_event``: user_id or ts missing, ``unplaced_price``:
+    product_id or date missing)."""
     parts = [
         _orphans(transactions.join(users.select("user_id"), "user_id", "left_anti"),
                  "orphan_user", "user_id"),
@@ -99,6 +111,10 @@ def key_and_domain_check(transactions: DataFrame, items: DataFrame, users: DataF
                                   ("bad_referrer", "referrer", REFERRERS),
                                   ("bad_device_type", F.col("device_profile.type"), DEVICE_TYPES)]),
     ]
+    if events is not None:
+        parts.append(_unplaced(events, "unplaced_event", "user_id", "ts"))
+    if price_points is not None:
+        parts.append(_unplaced(price_points, "unplaced_price", "product_id", "date"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -114,9 +130,10 @@ def price_points_from_products(products: DataFrame) -> DataFrame:
 def price_changes(points: DataFrame, bucket_seconds: int = 30 * 86400) -> DataFrame:
     """One row per price change of each product (its first price included):
     date, price, previous price and the change in % (2 places, half away
-    from zero).  Points are ordered by (date, price).  The per-product scan
-    is split on (product, 30-day bucket), so a product sold in a third of
-    all line items still spreads over many tasks."""
+    from zero).  Points are ordered by (date, price); those without a date
+    are counted by ``key_and_domain_check``.  The per-product scan is split
+    on (product, 30-day bucket), and a heavy bucket again, so a product sold
+    in a third of all line items still spreads over many tasks."""
     pts = points.select("product_id", "date", "price").where(F.col("date").isNotNull())
     d = with_neighbours(pts, "product_id", "date", "price", ["price"], bucket_seconds)
     prev = F.col("prev.price")

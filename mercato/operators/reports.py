@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from mercato.functions.domains import SEGMENT_BOUNDS, SEGMENT_DEFAULT, SEGMENT_LABELS
 from mercato.functions.exprs import (
-    as_timestamp, cents, dedupe, from_cents, half_up, mean_exact, money_sum, month_key, top_k,
+    as_timestamp, cents, from_cents, half_up, mean_exact, money_sum, month_key, top_k,
 )
-from mercato.functions.materialize import materialize
+from mercato.operators.enrich import product_lookup
 
 
 # ---------------------------------------------------------------- B1
@@ -27,52 +27,47 @@ def _pairs(baskets: DataFrame) -> DataFrame:
              .agg(F.count(F.lit(1)).alias("co_purchase_count")))
 
 
-def product_affinity(items: DataFrame, top_n: int = 20, prune: bool | str = "auto",
-                     probe_products: int = 200, large_basket: int = 1000) -> DataFrame:
+#: Products whose pairs give the lower bound of the answer's counts; any
+#: number is right, more of them give a tighter bound.
+PROBE_PRODUCTS = 200
+
+
+def product_affinity(items: DataFrame, top_n: int = 20) -> DataFrame:
     """Product pairs bought in the same transaction, most frequent first.
 
     Each (transaction, product) counts once; a pair is reported once with
     product_a < product_b; ties are ordered by the pair.
 
-    ``prune`` keeps the result exact while cutting the pair explosion of big
-    baskets: a pair seen in c baskets needs both products in >= c baskets.
-    A probe counts the pairs among the ``probe_products`` most frequent
-    products (a bounded set, broadcast); if it finds ``top_n`` pairs, the
-    count s of its ``top_n``-th pair is a lower bound of the answer's last
-    count, and only products in >= s baskets can be part of the answer.  The
-    self-join then runs on those products only.  When s is 1 nothing is cut.
-    ``"auto"`` prunes only when some basket holds more than ``large_basket``
-    distinct products (one small aggregate decides); with bounded baskets
-    the pairs grow linearly with the line items and the probe would cost
-    more than it saves.  Hot baskets are split by adaptive skew-join
-    handling; pair counts are combined map-side.
+    The pair explosion of big baskets is cut without changing the answer: a
+    pair seen in c baskets needs both products in >= c baskets.  The pairs
+    among the ``PROBE_PRODUCTS`` most frequent products (broadcast: never
+    more ids than that) are counted; if there are ``top_n`` of them, the
+    count s of the ``top_n``-th is a lower bound of the answer's last count,
+    and only products in >= s baskets can be part of the answer.  The
+    self-join runs on those only; with s = 1 nothing is cut.  The bound is a
+    scalar subquery of the same plan: nothing is read on the driver.  Hot
+    baskets are split by adaptive skew-join handling; pair counts are
+    combined map-side.
     """
     baskets = (items.select("transaction_id", "product_id")
                .where(F.col("transaction_id").isNotNull() & F.col("product_id").isNotNull())
                .distinct())
-    if prune == "auto":
-        # the size check and the self-join both read the baskets: write them
-        # once (two ids per line) instead of re-running the join + distinct
-        baskets = materialize(baskets)
-        sizes = baskets.groupBy("transaction_id").agg(F.count(F.lit(1)).alias("n"))
-        prune = (sizes.agg(F.max("n")).first()[0] or 0) > large_basket
-    if prune:
-        freq = baskets.groupBy("product_id").agg(F.count(F.lit(1)).alias("n_baskets"))
-        probe = top_k(freq, [F.desc("n_baskets"), F.asc("product_id")], probe_products)
-        probe_pairs = _pairs(baskets.join(F.broadcast(probe.select("product_id")),
-                                          "product_id", "left_semi"))
-        kth = (top_k(probe_pairs, [F.desc("co_purchase_count"), "product_a", "product_b"], top_n)
-               .agg(F.when(F.count(F.lit(1)) >= top_n, F.min("co_purchase_count"))
-                     .otherwise(F.lit(1)).alias("s")))
-        keep = freq.where(F.col("n_baskets") >= kth.scalar()).select("product_id")
-        baskets = baskets.join(keep, "product_id", "left_semi")
-    return top_k(_pairs(baskets), [F.desc("co_purchase_count"), "product_a", "product_b"], top_n)
+    freq = baskets.groupBy("product_id").agg(F.count(F.lit(1)).alias("n_baskets"))
+    probe = top_k(freq, [F.desc("n_baskets"), F.asc("product_id")], PROBE_PRODUCTS)
+    probe_pairs = _pairs(baskets.join(F.broadcast(probe.select("product_id")), "product_id", "left_semi"))
+    kth = (top_k(probe_pairs, [F.desc("co_purchase_count"), "product_a", "product_b"], top_n)
+           .agg(F.when(F.count(F.lit(1)) >= top_n, F.min("co_purchase_count"))
+                 .otherwise(F.lit(1)).alias("s")))
+    frequent = freq.where(F.col("n_baskets") >= kth.scalar()).select("product_id")
+    return top_k(_pairs(baskets.join(frequent, "product_id", "left_semi")),
+                 [F.desc("co_purchase_count"), "product_a", "product_b"], top_n)
 
 
 # ---------------------------------------------------------------- B2
 def cohort_analysis(users: DataFrame, transactions: DataFrame) -> DataFrame:
-    """Registration month x transaction month: exact revenue, distinct
-    active users and orders (all statuses; users joined inner).
+    """Registration month x transaction month: revenue (each total in whole
+    cents, then summed exactly), distinct active users and orders (all
+    statuses; users joined inner).
 
     Transactions are first reduced to one row per (user, month) with
     map-side combine, so the join moves one row per active user-month
@@ -179,44 +174,28 @@ def monthly_revenue(transactions: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- D1
-def top_products(items_enriched: DataFrame, limit: int, extra=()) -> DataFrame:
-    """Top ``limit`` products by gross revenue with units, line count and
-    the first (smallest) name and category seen on their lines.
-
-    The numbers are a hash aggregate over all lines; the names, whose
-    string aggregate would need a sort of every line, are taken only from
-    the lines of the ``limit`` winners (semi-joined against their broadcast
-    ids, a set bounded by ``limit``).
-    """
-    g = items_enriched.groupBy("product_id").agg(
+def top_products(items: DataFrame, products: DataFrame, limit: int, *lookup: str) -> DataFrame:
+    """Top ``limit`` products by gross revenue with units, line count and the
+    ``lookup`` columns of the catalogue (NULL for unknown products).
+
+    Lines are aggregated and limited first; the catalogue is looked up for
+    the winners only, so line items are read once and never joined."""
+    g = items.groupBy("product_id").agg(
         F.sum("quantity").alias("units_sold"),
         money_sum("subtotal").alias("_rev"),
-        F.count(F.lit(1)).alias("order_count"), *extra)
+        F.count(F.lit(1)).alias("order_count"))
     top = top_k(g, [F.desc("_rev"), "product_id"], limit)
-    names = (items_enriched.select("product_id", "product_name", "category_id")
-             .join(F.broadcast(top.select("product_id")), "product_id", "left_semi")
-             .groupBy("product_id").agg(F.min("product_name").alias("product_name"),
-                                        F.min("category_id").alias("category_id")))
-    return top.join(F.broadcast(names), "product_id", "left")
+    return top.join(product_lookup(products, *lookup), "product_id", "left")
 
 
-def product_popularity(items_enriched: DataFrame, products: DataFrame,
-                       limit: int = 10) -> DataFrame:
+def product_popularity(items: DataFrame, products: DataFrame, limit: int = 10) -> DataFrame:
     """Best-selling products by gross revenue, with units, line-item count
-    and, looked up after the limit, current stock and active flag.
-
-    The lookup reads only the ``limit`` winners: the catalogue is semi-joined
-    against the broadcast top-k ids (size bounded by ``limit``) and only then
-    de-duplicated, so the catalogue is never shuffled.
-    """
-    top = top_products(items_enriched, limit)
-    info = dedupe(products.select("product_id", "current_stock", "is_active")
-                  .join(F.broadcast(top.select("product_id")), "product_id", "left_semi"),
-                  ["product_id"])
-    return (top.join(F.broadcast(info), "product_id", "left")
-            .select("product_id", "product_name", "category_id", "units_sold",
-                    half_up("_rev", 2).alias("revenue"), "order_count",
-                    "current_stock", "is_active", "_rev")
+    and, looked up after the limit, name, category, current stock and active
+    flag."""
+    top = top_products(items, products, limit, "name", "category_id", "current_stock", "is_active")
+    return (top.select("product_id", F.col("name").alias("product_name"), "category_id", "units_sold",
+                       half_up("_rev", 2).alias("revenue"), "order_count",
+                       "current_stock", "is_active", "_rev")
             .orderBy(F.desc("_rev"), "product_id").drop("_rev"))
 
 

@@ -65,6 +65,22 @@ def build_sessions(sessionized: DataFrame, user: str = "user_id", ts: str = "ts"
              .drop("_conv", "_cart"))
 
 
+def session_products(sessionized: DataFrame, product: str = "product_id", user: str = "user_id",
+                     event_type: str = "event_type", view_types: Sequence[str] = ("view",),
+                     cart_types: Sequence[str] = ("click",), quantity: str | None = None) -> DataFrame:
+    """Flat form of a session's viewed products and cart, for events that
+    carry a product: one row per (session, product) with whether it was
+    viewed and the quantity put into the cart (1 for each cart event unless
+    ``quantity`` names a column).  Products neither viewed nor in the cart
+    have no row."""
+    et = F.col(event_type)
+    qty = F.coalesce(F.col(quantity), F.lit(0)) if quantity else F.lit(1)
+    g = sessionized.where(F.col(product).isNotNull()).groupBy(user, "session_id", product).agg(
+        F.max(F.coalesce(et.isin(*view_types), F.lit(False))).alias("viewed"),
+        F.sum(F.when(et.isin(*cart_types), qty).otherwise(0)).cast("long").alias("cart_quantity"))
+    return g.where(F.col("viewed") | (F.col("cart_quantity") > 0))
+
+
 def page_transitions(page_views: DataFrame, page: str = "page_type",
                      next_page: str = "next_page_type") -> DataFrame:
     """Step matrix: how often each page is followed by each next page within a

@@ -6,8 +6,8 @@
 4. ``clv_job``       CLV scores, tiers and reports -> per-user Parquet + CSV
 
 Each job reads what the previous one wrote (or the raw files) and writes
-its outputs; reports are small and go to one CSV each, per-user and
-per-item tables go to clustered Parquet.
+its outputs; reports go to CSV folders, per-user and per-item tables to
+clustered Parquet.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from mercato.operators import clean, clv, enrich, reports
-from mercato.plans.catalog import SQL_REPORTS, register_views, sql_report
+from mercato.plans.catalog import REPORT_VIEWS, register_reports, register_views, sql_report
 from mercato.sources import readers, sinks
 
 
@@ -28,7 +28,7 @@ def curate(spark: SparkSession, raw_dir: str, out_dir: str) -> dict[str, int]:
     items = enrich.flatten_items(raw["transactions"])
     tables: dict[str, tuple[DataFrame, list[str], list[str]]] = {
         "products": (enrich.enrich_products(raw["products"], raw["categories"]),
-                     ["category_id", "product_id"], []),
+                     ["product_id"], []),
         "users": (enrich.enrich_users(raw["users"], enrich.purchase_summary(
             raw["transactions"], items, raw["products"])), ["user_id"], []),
         "transactions": (sinks.with_month(enrich.enrich_transactions(
@@ -56,7 +56,8 @@ def batch_reports(spark: SparkSession, raw_dir: str, out_dir: str,
 
 def sql_reports(spark: SparkSession, raw_dir: str, out_dir: str) -> dict[str, DataFrame]:
     register_views(spark, readers.read_raw_tables(spark, raw_dir))
-    out = {f"sql_{name}": sql_report(spark, name) for name in SQL_REPORTS}
+    register_reports(spark)
+    out = {f"sql_{name}": sql_report(spark, name) for name in REPORT_VIEWS}
     for name, df in out.items():
         sinks.write_report_csv(df, os.path.join(out_dir, name))
     return out
@@ -68,9 +69,12 @@ def clv_job(spark: SparkSession, raw_dir: str, curated_dir: str, out_dir: str,
     tier threshold rule: ``approx`` (the source's sketch) or ``exact``."""
     users = readers.read_curated(spark, curated_dir, "users")
     sessions = readers.read_raw(spark, raw_dir, "sessions")
-    tiers = clv.clv_tiers(clv.clv_scores(clv.user_financials(users),
-                                         clv.session_behaviour(sessions)), method)
+    # written once and read back: thresholds and reports start from a scan
+    sinks.write_curated(clv.clv_scores(clv.user_financials(users), clv.session_behaviour(sessions)),
+                        os.path.join(out_dir, "clv_scores"), cluster_by=["user_id"])
+    tiers = clv.clv_tiers(readers.read_curated(spark, out_dir, "clv_scores"), method)
     sinks.write_curated(tiers, os.path.join(out_dir, "clv_full_results"), cluster_by=["user_id"])
+    tiers = readers.read_curated(spark, out_dir, "clv_full_results")
     out = {"clv_tier_summary": clv.clv_tier_summary(tiers),
            "clv_top_customers": clv.clv_top_customers(tiers),
            "clv_by_country": clv.clv_by_country(tiers)}

@@ -63,8 +63,35 @@ VIEWS = {
   SELECT t.transaction_id, t.user_id, t."timestamp", t.total, t.payment_method, t.status,
          l.l_linenumber AS line_number, l.l_partkey AS product_id,
          CAST(l.l_quantity AS BIGINT) AS quantity,
-         l.l_extendedprice / l.l_quantity AS unit_price, l.l_extendedprice AS subtotal
+         """ + HU("l.l_extendedprice / l.l_quantity") + """ AS unit_price, l.l_extendedprice AS subtotal
   FROM lineitem l JOIN transactions t ON l.l_orderkey = t.transaction_id""",
+    "invoices": """
+  SELECT transaction_id, subtotal, discount,
+         CASE WHEN transaction_id % 3 = 0 THEN order_total ELSE """ + HU("subtotal - discount") + """ END AS total
+  FROM (SELECT t.transaction_id, t.total AS order_total, coalesce(p.off, 0) AS discount,
+               CASE WHEN t.transaction_id % 4 = 0 THEN t.total ELSE p.lines END AS subtotal
+        FROM transactions t LEFT JOIN (
+             SELECT l_orderkey, """ + MS("l_extendedprice") + """ AS lines, """ + MS(HU("l_extendedprice * l_discount")) + """ AS off
+             FROM lineitem GROUP BY l_orderkey) p ON t.transaction_id = p.l_orderkey)""",
+    "raw_users": """
+  SELECT * FROM users
+  UNION ALL SELECT user_id, city, state, country, last_active, last_active FROM users WHERE user_id % 7 = 0
+  UNION ALL SELECT NULL, city, state, country, registration_date, last_active FROM users WHERE user_id % 11 = 0""",
+    "marked_products": """
+  SELECT product_id, name, category_id, subcategory_id, base_price,
+         CASE WHEN product_id % 5 > 0 THEN current_stock END AS current_stock,
+         CASE WHEN product_id % 6 > 0 THEN is_active END AS is_active, creation_date FROM products""",
+    "raw_products": """
+  SELECT * FROM marked_products
+  UNION ALL SELECT * REPLACE (base_price - 1 AS base_price) FROM marked_products WHERE product_id % 7 = 0
+  UNION ALL SELECT * REPLACE (NULL AS product_id) FROM marked_products WHERE product_id % 11 = 0""",
+    "marked_transactions": """
+  SELECT * REPLACE (CASE WHEN transaction_id % 5 > 0 THEN discount END AS discount,
+                    CASE WHEN transaction_id % 13 = 0 THEN -total WHEN transaction_id % 17 = 0 THEN 'NaN'::DOUBLE
+                         WHEN transaction_id % 11 > 0 THEN total END AS total) FROM transactions""",
+    "raw_transactions": """
+  SELECT * FROM marked_transactions
+  UNION ALL SELECT * REPLACE ('delivered' AS status) FROM marked_transactions WHERE transaction_id % 7 = 0""",
     "ev": f"""
   SELECT event_id, ts, user_id, event_type,
          CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, epoch_us(ts) AS us,
@@ -95,6 +122,11 @@ VIEWS = {
     "clean_users": """
   SELECT user_id, city, state, country, registration_date, last_active FROM users
   WHERE user_id IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY city NULLS FIRST, state NULLS FIRST,
+          country NULLS FIRST, registration_date NULLS FIRST, last_active NULLS FIRST) = 1""",
+    "cleaned_raw_users": """
+  SELECT user_id, city, state, country, registration_date, last_active FROM raw_users
+  WHERE user_id IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY city NULLS FIRST, state NULLS FIRST,
           country NULLS FIRST, registration_date NULLS FIRST, last_active NULLS FIRST) = 1""",
     "clean_products": """
@@ -105,10 +137,26 @@ VIEWS = {
   QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY name NULLS FIRST,
           category_id NULLS FIRST, subcategory_id NULLS FIRST, base_price NULLS FIRST,
           current_stock NULLS FIRST, is_active NULLS FIRST, creation_date NULLS FIRST) = 1""",
+    "cleaned_raw_products": """
+  SELECT product_id, name, category_id, subcategory_id, base_price,
+         coalesce(current_stock, 0) AS current_stock, coalesce(is_active, false) AS is_active,
+         creation_date
+  FROM raw_products WHERE product_id IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY name NULLS FIRST,
+          category_id NULLS FIRST, subcategory_id NULLS FIRST, base_price NULLS FIRST,
+          coalesce(current_stock, 0), coalesce(is_active, false), creation_date NULLS FIRST) = 1""",
     "clean_transactions": """
   SELECT transaction_id, session_id, user_id, "timestamp", subtotal,
          coalesce(discount, 0.0) AS discount, total, payment_method, status
   FROM transactions WHERE total IS NOT NULL AND total >= 0
+  QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY session_id NULLS FIRST,
+          user_id NULLS FIRST, "timestamp" NULLS FIRST, subtotal NULLS FIRST,
+          coalesce(discount, 0.0) NULLS FIRST, total NULLS FIRST,
+          payment_method NULLS FIRST, status NULLS FIRST) = 1""",
+    "cleaned_raw_transactions": """
+  SELECT transaction_id, session_id, user_id, "timestamp", subtotal,
+         coalesce(discount, 0.0) AS discount, total, payment_method, status
+  FROM raw_transactions WHERE total IS NOT NULL AND NOT isnan(total) AND total >= 0
   QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY session_id NULLS FIRST,
           user_id NULLS FIRST, "timestamp" NULLS FIRST, subtotal NULLS FIRST,
           coalesce(discount, 0.0) NULLS FIRST, total NULLS FIRST,
@@ -207,6 +255,10 @@ VIEWS = {
 # Dependencies between the CTEs above (each view lists what it reads).
 DEPS = {
     "txn_items": ["transactions"], "ev2": ["ev"], "sessions": ["ev2"], "plookup": ["products"],
+    "raw_users": ["users"], "marked_products": ["products"], "raw_products": ["marked_products"],
+    "marked_transactions": ["transactions"], "raw_transactions": ["marked_transactions"], "invoices": ["transactions"],
+    "cleaned_raw_users": ["raw_users"], "cleaned_raw_products": ["raw_products"],
+    "cleaned_raw_transactions": ["raw_transactions"],
     "clean_users": ["users"], "clean_products": ["products"],
     "clean_transactions": ["transactions"], "clean_sessions": ["sessions"],
     "summary": ["transactions", "txn_items", "plookup"], "ue": ["users", "summary"],
@@ -234,15 +286,11 @@ def sql(uses: list[str], body: str) -> str:
     return f"WITH {ctes}\n{body}"
 
 
-def _product_lookup_cols() -> str:
-    return "product_id, product_name, category_id"
-
-
 ORACLE: dict[str, str] = {
     # ---- A
-    "clean_users": sql(["clean_users"], "SELECT user_id, country, state, registration_date, last_active FROM clean_users"),
-    "clean_products": sql(["clean_products"], "SELECT * FROM clean_products"),
-    "clean_transactions": sql(["clean_transactions"], "SELECT * FROM clean_transactions"),
+    "clean_users": sql(["cleaned_raw_users"], "SELECT user_id, country, state, registration_date, last_active FROM cleaned_raw_users"),
+    "clean_products": sql(["cleaned_raw_products"], "SELECT * FROM cleaned_raw_products"),
+    "clean_transactions": sql(["cleaned_raw_transactions"], "SELECT * FROM cleaned_raw_transactions"),
     "clean_sessions": sql(["clean_sessions"], """SELECT session_id, user_id, start_time, end_time,
         duration_seconds, n_events, device_type, referrer, conversion_status FROM clean_sessions"""),
     "table_counts": sql(["clean_users", "clean_products", "clean_transactions", "clean_sessions"], """
@@ -330,6 +378,9 @@ ORACLE: dict[str, str] = {
     "session_behaviour": sql(["beh"], "SELECT * FROM beh"),
     "clv_scores": sql(["scored"], "SELECT * FROM scored"),
     "clv_tiers": sql(["tiered"], "SELECT * FROM tiered"),
+    "clv_tiers_approx": sql(["scored"], """
+        SELECT q AS quantile, (SELECT count(clv_score) FROM scored) AS user_count, true AS rank_ok
+        FROM (VALUES (CAST(0.25 AS DOUBLE)), (CAST(0.5 AS DOUBLE)), (CAST(0.75 AS DOUBLE))) v(q)"""),
     "clv_tier_summary": sql(["tier_summary"], "SELECT * FROM tier_summary ORDER BY avg_clv_score DESC"),
     "clv_top_customers": sql(["tiered"], """
         SELECT user_id, country, clv_tier, clv_score, total_spent, total_orders, total_sessions,
@@ -379,7 +430,7 @@ ORACLE: dict[str, str] = {
                """ + HU(f"{D('transitions')} / {D('sum(transitions) OVER (PARTITION BY from_page)')}", 4)
         + """ AS share
         FROM steps"""),
-    "invoice_check": sql(["transactions", "txn_items"], """
+    "invoice_check": sql(["invoices", "txn_items"], """
         , per AS (SELECT transaction_id, count(*) AS n_items,
                          CAST(sum(CASE WHEN CAST(""" + HU("quantity * unit_price") + """ AS DECIMAL(18,2))
                                        = CAST(subtotal AS DECIMAL(18,2)) THEN 0 ELSE 1 END) AS BIGINT)
@@ -394,7 +445,7 @@ ORACLE: dict[str, str] = {
                            AS subtotal_ok,
                          coalesce(CAST(""" + HU("t.subtotal - coalesce(t.discount, 0)") + """ AS DECIMAL(18,2))
                                   = CAST(t.total AS DECIMAL(18,2)), false) AS total_ok
-                  FROM transactions t LEFT JOIN per ON t.transaction_id = per.transaction_id)
+                  FROM invoices t LEFT JOIN per ON t.transaction_id = per.transaction_id)
         SELECT * FROM chk WHERE bad_items > 0 OR NOT subtotal_ok OR NOT total_ok"""),
     "stock_ledger": sql(["clean_products", "txn_items"], """
         SELECT p.product_id, p.current_stock, CAST(coalesce(s.sold, 0) AS BIGINT) AS units_sold,
@@ -402,7 +453,7 @@ ORACLE: dict[str, str] = {
         FROM clean_products p
         LEFT JOIN (SELECT product_id, sum(quantity) AS sold FROM txn_items GROUP BY 1) s
           ON p.product_id = s.product_id"""),
-    "key_and_domain_check": sql(["transactions", "txn_items", "users", "products", "sessions"], """
+    "key_and_domain_check": sql(["transactions", "txn_items", "users", "products", "sessions", "pp"], """
         SELECT 'orphan_user' AS check_name, CAST(user_id AS VARCHAR) AS value, count(*) AS n_rows
         FROM transactions t WHERE NOT EXISTS (SELECT 1 FROM users u WHERE u.user_id = t.user_id)
         GROUP BY 2
@@ -431,7 +482,15 @@ ORACLE: dict[str, str] = {
            OR referrer NOT IN ('direct', 'email', 'social', 'search_engine', 'affiliate') GROUP BY 2
         UNION ALL
         SELECT 'bad_device_type', device_type, count(*) FROM sessions
-        WHERE device_type IS NULL OR device_type NOT IN ('mobile', 'desktop', 'tablet') GROUP BY 2"""),
+        WHERE device_type IS NULL OR device_type NOT IN ('mobile', 'desktop', 'tablet') GROUP BY 2
+        UNION ALL
+        SELECT 'unplaced_event', 'user_id', count(*) FROM events WHERE user_id IS NULL HAVING count(*) > 0
+        UNION ALL
+        SELECT 'unplaced_event', 'ts', count(*) FROM events WHERE ts IS NULL HAVING count(*) > 0
+        UNION ALL
+        SELECT 'unplaced_price', 'product_id', count(*) FROM pp WHERE product_id IS NULL HAVING count(*) > 0
+        UNION ALL
+        SELECT 'unplaced_price', 'date', count(*) FROM pp WHERE "date" IS NULL HAVING count(*) > 0"""),
     "price_history": sql(["pp"], """
         , w AS (SELECT *, lag(price) OVER (PARTITION BY product_id ORDER BY "date", price) AS prev_price
                 FROM pp WHERE "date" IS NOT NULL)

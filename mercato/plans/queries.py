@@ -46,8 +46,8 @@ def clv_scored(t: DriverTables) -> DataFrame:
     return clv.clv_scores(fin, beh)
 
 
-def clv_tiered(t: DriverTables, method: str = "exact") -> DataFrame:
-    return clv.clv_tiers(clv_scored(t), method)
+def clv_tiered(t: DriverTables) -> DataFrame:
+    return clv.clv_tiers(clv_scored(t))
 
 
 def _q(fn: Callable[[DriverTables], DataFrame]) -> Query:
@@ -60,15 +60,15 @@ def _q(fn: Callable[[DriverTables], DataFrame]) -> Query:
 
 # -- A: sources, cleaning, enrichment -----------------------------------
 def q_clean_users(t):
-    return _flat_users(clean.clean_users(t.users()))
+    return _flat_users(clean.clean_users(t.raw_users()))
 
 
 def q_clean_products(t):
-    return clean.clean_products(t.products())
+    return clean.clean_products(t.raw_products())
 
 
 def q_clean_transactions(t):
-    return clean.clean_transactions(t.transactions())
+    return clean.clean_transactions(t.raw_transactions())
 
 
 def q_clean_sessions(t):
@@ -102,23 +102,19 @@ def q_enrich_users(t):
 
 
 def q_enrich_transactions(t):
-    return enrich.enrich_transactions(t.transactions(), t.txn_items(), t.products())
+    return enrich.enrich_transactions(t.transactions(), t.lines(), t.products())
 
 
 # -- B / C / D: reports --------------------------------------------------
 def q_product_affinity(t):
-    return reports.product_affinity(clean_items(t))
-
-
-def clean_items(t: DriverTables) -> DataFrame:
-    """Line items of clean transactions (the batch jobs read clean tables)."""
-    ct = clean.clean_transaction_ids(t.transactions())
-    return t.txn_items().join(ct, "transaction_id", "left_semi")
+    # the items carry their order's total: no second join with clean orders
+    return reports.product_affinity(t.txn_items().where(clean.valid_total()))
 
 
 def q_cohort_analysis(t):
     return reports.cohort_analysis(clean.clean_users(t.users()),
-                                   clean.clean_transactions(t.transactions()))
+                                   clean.clean_transactions(
+                                       t.transactions(), ["transaction_id", "user_id", "timestamp", "total"]))
 
 
 def q_revenue_by_category(t):
@@ -138,7 +134,7 @@ def q_monthly_revenue(t):
 
 
 def q_product_popularity(t):
-    return reports.product_popularity(items_enriched(t), t.products())
+    return reports.product_popularity(t.txn_items(), t.products())
 
 
 def q_user_segmentation(t):
@@ -167,7 +163,7 @@ def q_clv_tiers(t):
 
 
 def q_clv_tiers_approx(t):
-    return clv_tiered(t, "approx")
+    return clv.tier_rank_check(clv_scored(t))
 
 
 def q_clv_tier_summary(t):
@@ -184,7 +180,7 @@ def q_clv_by_country(t):
 
 # -- F: chart datasets ------------------------------------------------------
 def q_chart_product_revenue(t):
-    return charts.chart_product_revenue(items_enriched(t))
+    return charts.chart_product_revenue(t.txn_items(), t.products())
 
 
 def q_chart_category_revenue_series(t):
@@ -213,7 +209,7 @@ def q_page_transitions(t):
 
 
 def q_invoice_check(t):
-    return quality.invoice_check(t.transactions(), t.txn_items())
+    return quality.invoice_check(t.invoices(), t.lines())
 
 
 def q_stock_ledger(t):
@@ -222,7 +218,7 @@ def q_stock_ledger(t):
 
 def q_key_and_domain_check(t):
     return quality.key_and_domain_check(t.transactions(), t.txn_items(), t.users(),
-                                        t.products(), t.sessions())
+                                        t.products(), t.sessions(), t.raw("events"), t.price_points())
 
 
 def q_price_history(t):

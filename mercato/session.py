@@ -9,7 +9,6 @@ coalescing, skew-join splitting), UTC month keys, and no web UI.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -34,26 +33,4 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder of the session.
-
-    The cluster's folder wins: one already set on the context, else the one
-    named by ``spark.checkpoint.dir``.  Only when neither exists (local
-    tests) is a fresh scratch folder used.
-    """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # Spark Connect: the server's configuration applies
-        return spark.conf.get("spark.checkpoint.dir", None)
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="mercato-ckpt-")
-    sc.setCheckpointDir(current)
-    return current

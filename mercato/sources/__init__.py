@@ -1 +1 @@
-from mercato.sources.driver import driver_tables  # noqa: F401
+"""Readers, sinks and the driver tables as the data model."""

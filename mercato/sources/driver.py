@@ -8,6 +8,8 @@
 | transactions  | orders (header only; F/O/P -> completed/processing/shipped) |
 | txn_items     | lineitem joined to its order (one row per line item)      |
 | price_points  | distinct (part, ship date, unit price) of line items      |
+| invoices      | orders with a discount from their lines' l_discount; the subtotal is the lines' sum, and the total net of the discount, for most order numbers by rule |
+| raw_*         | users, products and transactions with repeated and unusable rows added by rule, for the cleaners |
 | page_views    | events with their session and the next event of it        |
 | sessions      | sessions cut from events at 12-hour gaps                  |
 
@@ -25,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.functions.domains import DEVICE_TYPES, REFERRERS
+from mercato.functions.exprs import cents, from_cents, half_up, money_sum
 from mercato.operators.sessions import TWELVE_HOURS, build_sessions, sessionize
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -144,19 +147,56 @@ class DriverTables:
             F.col("o_orderpriority").alias("payment_method"),
             _status("o_orderstatus").alias("status"))
 
-    def txn_items(self) -> DataFrame:
-        li = self.raw("lineitem").select(
-            "l_orderkey", "l_linenumber",
+    def lines(self) -> DataFrame:
+        """Line items without their order; the unit price in whole cents."""
+        return self.raw("lineitem").select(
+            F.col("l_orderkey").alias("transaction_id"), F.col("l_linenumber").alias("line_number"),
             F.col("l_partkey").alias("product_id"),
             F.col("l_quantity").cast("long").alias("quantity"),
-            (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
+            half_up(F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
             F.col("l_extendedprice").alias("subtotal"))
+
+    def txn_items(self) -> DataFrame:
         t = self.transactions().select("transaction_id", "user_id", "timestamp", "total",
                                        "payment_method", "status")
-        return (li.join(t, li.l_orderkey == t.transaction_id)
+        return (self.lines().join(t, "transaction_id")
                   .select("transaction_id", "user_id", "timestamp", "total", "payment_method",
-                          "status", F.col("l_linenumber").alias("line_number"),
-                          "product_id", "quantity", "unit_price", "subtotal"))
+                          "status", "line_number", "product_id", "quantity", "unit_price", "subtotal"))
+
+    def invoices(self) -> DataFrame:
+        """Orders as invoices.  The discount is the sum of the lines'
+        discounts.  So that every rule holds for some orders and fails for
+        others, every fourth order keeps its order price as subtotal and every
+        third its order price as total."""
+        per = (self.raw("lineitem").groupBy("l_orderkey")
+               .agg(money_sum("l_extendedprice").alias("lines"),
+                    from_cents(F.sum(cents(F.col("l_extendedprice") * F.col("l_discount")))).alias("off")))
+        t = self.transactions().drop("subtotal", "discount").join(per, F.col("transaction_id") == F.col("l_orderkey"), "left")
+        t = t.withColumn("discount", F.coalesce("off", F.lit(0.0))).withColumn(
+            "subtotal", F.when(F.col("transaction_id") % 4 == 0, F.col("total")).otherwise(F.col("lines")))
+        return t.withColumn("total", F.when(F.col("transaction_id") % 3 == 0, F.col("total")).otherwise(
+            half_up(F.col("subtotal") - F.col("discount")))).drop("lines", "off", "l_orderkey")
+
+    # -- rows that a cleaner must drop or merge ---------------------------
+    def raw_users(self) -> DataFrame:
+        u = self.users()
+        return (u.unionByName(u.where("user_id % 7 = 0").withColumn("registration_date", F.col("last_active")))
+                 .unionByName(u.where("user_id % 11 = 0").withColumn("user_id", F.lit(None).cast("long"))))
+
+    def raw_products(self) -> DataFrame:
+        p = self.products()
+        p = p.withColumn("current_stock", F.when(F.col("product_id") % 5 > 0, F.col("current_stock"))).withColumn(
+            "is_active", F.when(F.col("product_id") % 6 > 0, F.col("is_active")))
+        return (p.unionByName(p.where("product_id % 7 = 0").withColumn("base_price", F.col("base_price") - 1))
+                 .unionByName(p.where("product_id % 11 = 0").withColumn("product_id", F.lit(None).cast("long"))))
+
+    def raw_transactions(self) -> DataFrame:
+        t = self.transactions()
+        id_ = F.col("transaction_id")
+        t = t.withColumn("discount", F.when(id_ % 5 > 0, F.col("discount"))).withColumn(
+            "total", F.when(id_ % 13 == 0, -F.col("total")).when(id_ % 17 == 0, F.lit("NaN").cast("double"))
+            .when(id_ % 11 > 0, F.col("total")))
+        return t.unionByName(t.where("transaction_id % 7 = 0").withColumn("status", F.lit("delivered")))
 
     # -- behaviour -----------------------------------------------------
     def _events(self) -> DataFrame:
@@ -181,7 +221,3 @@ class DriverTables:
                      F.lit(None).cast("string").alias("browser")).alias("device_profile"),
             _pick(REFERRERS, k % 5).alias("referrer"),
             "conversion_status")
-
-
-def driver_tables(spark: SparkSession, sf_dir: str) -> DriverTables:
-    return DriverTables(spark, sf_dir)

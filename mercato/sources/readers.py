@@ -14,15 +14,18 @@ RAW_FILES = {"users": "users.json", "products": "products.json",
              "sessions": "sessions_*.json"}
 
 
-def read_raw(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
-    """One raw table.  The files are single JSON arrays, hence ``multiLine``;
-    such a file cannot be split, so land it as Parquet once (see sinks)."""
-    return (spark.read.schema(RAW[name]).option("multiLine", True)
+def read_raw(spark: SparkSession, data_dir: str, name: str, multi_line: bool = False) -> DataFrame:
+    """One raw table: JSON lines (split between tasks), or files that hold one
+    array on one line.  ``multi_line`` is for arrays printed over several
+    lines only: Spark then reads one JSON value per file, in one task, so
+    land such files as Parquet once (see sinks) and never use it for JSON
+    lines, of which it would return the first row of each file."""
+    return (spark.read.schema(RAW[name]).option("multiLine", multi_line)
             .json(os.path.join(data_dir, RAW_FILES[name])))
 
 
-def read_raw_tables(spark: SparkSession, data_dir: str) -> dict[str, DataFrame]:
-    return {name: read_raw(spark, data_dir, name) for name in RAW_FILES}
+def read_raw_tables(spark: SparkSession, data_dir: str, multi_line: bool = False) -> dict[str, DataFrame]:
+    return {name: read_raw(spark, data_dir, name, multi_line) for name in RAW_FILES}
 
 
 def read_curated(spark: SparkSession, root: str, name: str) -> DataFrame:

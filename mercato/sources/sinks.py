@@ -1,10 +1,8 @@
-"""Sinks: curated Parquet tables and small CSV reports (A12, A13).
+"""Sinks: curated Parquet tables and CSV reports (A12, A13).
 
 Curated tables replace the document store: written once per batch
-(overwrite), clustered the way they are read.  Reports are small results
-written as a single CSV file with a header; anything per user or per line
-item must go through ``write_curated`` instead, which keeps one file per
-task.
+(overwrite), clustered the way they are read.  Reports are CSV folders with
+a header in every file, written by as many tasks as the result has.
 """
 
 from __future__ import annotations
@@ -16,22 +14,21 @@ from pyspark.sql import functions as F
 
 from mercato.functions.exprs import month_key
 
-# The largest result ``write_report_csv`` will funnel into one file.
-REPORT_MAX_ROWS = 1_000_000
-
 
 def write_curated(df: DataFrame, path: str, cluster_by: Sequence[str] = (),
                   partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
     """Write a curated table as Parquet.
 
-    ``cluster_by`` hash-partitions the rows on those keys and sorts each
-    file by them, so readers filtering on the keys skip row groups by their
-    min/max statistics (what secondary indexes did in the document store);
-    ``partition_by`` adds directory partitions for partition pruning.
+    ``cluster_by`` range-partitions the rows on those keys and sorts each
+    file by them, so readers filtering on the keys skip files and row groups
+    by their min/max statistics (what secondary indexes did in the document
+    store).  Ranges run over all keys together, so a hot first key is cut at
+    values of the next one.  ``partition_by`` adds directory partitions and
+    leads the range, so a task writes into few of them.
     """
     out = df
     if cluster_by:
-        out = out.repartition(*[F.col(c) for c in (*partition_by, cluster_by[0])])
+        out = out.repartitionByRange(*partition_by, *cluster_by)
         out = out.sortWithinPartitions(*partition_by, *cluster_by)
     w = out.write.mode(mode)
     if partition_by:
@@ -55,21 +52,18 @@ def with_month(df: DataFrame, ts: str = "timestamp", name: str = "month") -> Dat
     return df.withColumn(name, month_key(F.col(ts)))
 
 
-def write_report_csv(df: DataFrame, path: str, max_rows: int = REPORT_MAX_ROWS) -> None:
-    """One CSV file with a header (overwrite) for a small report.  The row
-    bound is enforced before the data is funnelled into a single task."""
-    n = df.limit(max_rows + 1).count()
-    if n > max_rows:
-        raise ValueError(f"report has more than {max_rows} rows; use write_curated")
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def write_report_csv(df: DataFrame, path: str) -> None:
+    """A report of any size as a CSV folder (overwrite), a header in every
+    file; read the folder, in which an ordered report keeps its order."""
+    df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def land_raw_json(df: DataFrame, path: str, max_records_per_file: int = 50_000) -> None:
+def land_raw_json(df: DataFrame, path: str, max_records_per_file: int = 5_000_000) -> None:
     """Land a raw JSON table as Parquet (a one-array JSON file cannot be split
     between tasks; Parquet can), in files of at most ``max_records_per_file``."""
     df.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file).parquet(path)
 
 
-def export_json(df: DataFrame, path: str, max_records_per_file: int = 50_000) -> None:
+def export_json(df: DataFrame, path: str, max_records_per_file: int = 5_000_000) -> None:
     """JSON-lines export in chunks of at most ``max_records_per_file`` rows."""
     df.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file).json(path)

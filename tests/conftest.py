@@ -12,8 +12,6 @@ SF_CHECK = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from pyspark.sql import SparkSession
-
-    from mercato.session import ensure_checkpoint_dir
     s = (SparkSession.builder.master("local[4]")
          .config("spark.sql.shuffle.partitions", "4")
          .config("spark.ui.enabled", "false")
@@ -22,7 +20,6 @@ def spark():
          .config("spark.sql.adaptive.enabled", "true")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(s)
     yield s
 
 

@@ -49,6 +49,31 @@ def test_exact_thresholds_match_percentile_disc(spark):
     assert len(approx) == 3
 
 
+def test_exact_thresholds_with_negative_scores(spark):
+    import random
+    rnd = random.Random(2)
+    vals = [round(rnd.uniform(-5_000_000, 100), 2) for _ in range(3000)] + [-1e9, 50.0, 50.0]
+    s = spark.createDataFrame([(v,) for v in vals] + [(None,)], "clv_score double").repartition(5)
+    srt = sorted(vals)
+    exp = tuple(next(v for i, v in enumerate(srt) if i + 1 >= q * len(srt)) for q in (0.25, 0.5, 0.75))
+    assert rows(clv.tier_thresholds(s))[0] == exp
+
+
+def test_negative_totals_have_a_tier(spark):
+    fin = _fin(spark, [("u1", "US", "CA", 2, 100.0, 50.0, "a"), ("u2", "US", "IL", 1, -5000.0, -5000.0, "a"),
+                       ("u3", "US", "IL", 1, 90.0, 90.0, "a"), ("u4", "CA", "ON", 4, 10.0, 2.5, None)])
+    s = clv.clv_scores(fin, clv.session_behaviour(fx.sessions(spark)))
+    got = {r.user_id: (r.clv_score, r.clv_tier) for r in clv.clv_tiers(s).collect()}
+    # of four scores the smallest is the 25 % threshold itself
+    assert got["u2"][0] < -2900 and got["u2"][1] == "Medium Value" and got["u1"][1] == "Premium"
+
+
+def test_rank_check_of_approximate_thresholds(spark):
+    s = spark.range(5000).selectExpr("CAST(id % 997 AS DOUBLE) AS clv_score").repartition(6)
+    assert rows(clv.tier_rank_check(s)) == [(0.25, 5000, True), (0.5, 5000, True), (0.75, 5000, True)]
+    assert rows(clv.tier_rank_check(s.where("false"))) == []
+
+
 def test_all_equal_scores_make_one_tier(spark):
     fin = _fin(spark, [(f"u{i}", "US", "CA", 1, 10.0, 10.0, None) for i in range(5)])
     beh = spark.createDataFrame(
@@ -64,7 +89,7 @@ def test_all_equal_scores_make_one_tier(spark):
 def test_zero_maximum_gives_null_score(spark):
     fin = _fin(spark, [("u1", "US", "CA", 1, 0.0, 0.0, None), ("u2", "US", "CA", 1, 0.0, 0.0, None)])
     beh = clv.session_behaviour(fx.sessions(spark)).limit(0)
-    s = clv.clv_scores(fin, beh, checkpoint=False)
+    s = clv.clv_scores(fin, beh)
     assert rows(s, "clv_score") == [(None,), (None,)]
     assert set(rows(clv.clv_tiers(s), "clv_tier")) == {("Low Value",)}
 

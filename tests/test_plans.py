@@ -1,4 +1,8 @@
-"""Plan properties of every registered query (what must hold at scale)."""
+"""Plan properties of every registered query (what must hold at scale).
+
+Plans are whole: no query runs a job while it is built, so nothing is hidden
+behind a checkpoint.
+"""
 
 import re
 
@@ -7,7 +11,7 @@ import pytest
 from tests.conftest import SF_SMALL
 
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
-             "ArrowEvalPython", "FlatMapGroupsInPandas"]
+             "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInArrow", "ExistingRDD"]
 
 
 def _names():
@@ -15,10 +19,25 @@ def _names():
     return sorted(queries())
 
 
+def _build(spark, name):
+    from mercato.plans.queries import queries
+    return queries()[name](spark, SF_SMALL)
+
+
+def _plan(spark, name):
+    return _build(spark, name)._jdf.queryExecution().executedPlan().toString()
+
+
+def _scans(plan, *columns):
+    """Parquet scans that read any of the columns."""
+    reads = re.findall(r"FileScan parquet \[([^\]]*)\]", plan)
+    return [r for r in reads if any(re.search(rf"\b{c}#", r) for c in columns)]
+
+
 @pytest.mark.parametrize("name", _names())
 def test_plan_has_no_unscalable_operator(spark, name):
-    from mercato.plans.queries import queries
-    plan = queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    plan = _plan(spark, name)
+    assert "FileScan parquet" in plan
     for op in FORBIDDEN:
         assert op not in plan, (name, op)
     # ordered per-key scans over rows carry the time bucket in their
@@ -29,16 +48,70 @@ def test_plan_has_no_unscalable_operator(spark, name):
         keys, order = m.group(1), m.group(2)
         if re.search(r"\b(user_id|product_id)#", keys) and "_b#" not in keys:
             assert order.startswith("_b#"), (name, keys, order)
+    # a window without partitioning reads the handful of tier rows only
+    alone = re.findall(r"Window \[[^\n]*windowspecdefinition\((?:specifiedwindowframe|[^,]*(?:ASC|DESC))", plan)
+    assert not alone or name == "chart_tier_share", (name, alone)
+
+
+def test_building_a_query_runs_no_job(spark):
+    sc = spark.sparkContext
+    sc.setJobGroup("building", "plans")
+    try:
+        for name in _names():
+            _build(spark, name)
+        assert list(sc.statusTracker().getJobIdsForGroup("building")) == []
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
 
 
-def test_broadcasts_are_bounded_or_runtime_decided(spark):
-    """Explicit broadcast hints are used only on top-k results; every other
-    broadcast in the plans is chosen by the planner from measured sizes."""
-    import inspect
+@pytest.mark.parametrize("name", ["product_popularity", "chart_product_revenue"])
+def test_top_products_read_line_items_once(spark, name):
+    assert len(_scans(_plan(spark, name), "l_extendedprice", "l_orderkey")) == 1
 
-    from mercato.operators import charts, clean, clv, enrich, quality, reports, sessions
-    for mod in (charts, clean, clv, enrich, quality, reports, sessions):
-        src = inspect.getsource(mod)
-        for line in src.splitlines():
-            if "F.broadcast(" in line:
-                assert "top" in line or "info" in line or "names" in line or "probe" in line, line
+
+def test_enriched_transactions_move_lines_twice(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(spark, "enrich_transactions")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(_scans(plan, "l_orderkey")) == 1 and len(_scans(plan, "o_orderkey")) == 1
+    moved = [x for x in re.findall(r"Exchange hashpartitioning\(([a-z_]+)#", plan) if x in ("product_id", "transaction_id")]
+    assert len(moved) <= 4  # lines twice, the catalogue and the orders once
+
+
+def test_cohorts_read_only_their_columns(spark):
+    scans = _scans(_plan(spark, "cohort_analysis"), "o_orderkey")
+    assert any("o_totalprice" in s for s in scans)
+    assert not any("o_orderpriority" in s or "o_orderstatus" in s for s in scans)
+
+
+def test_lookup_join_uses_the_grouping(spark):
+    """The catalogue is grouped by its key, so the join moves it once."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        from mercato.operators import enrich
+        from mercato.sources.driver import DriverTables
+        t = DriverTables(spark, SF_SMALL)
+        plan = enrich.enrich_items(t.lines(), t.products())._jdf.queryExecution().executedPlan().toString()
+        unused = enrich.enrich_items(t.lines(), t.products()).select("quantity")._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert "Join" not in unused
+
+
+def test_clv_plans_hold_the_whole_pipeline(spark):
+    plan = _plan(spark, "clv_tier_summary")
+    assert _scans(plan, "l_quantity") and _scans(plan, "o_totalprice") and _scans(plan, "event_type")
+
+
+@pytest.mark.parametrize("name", _names())
+def test_broadcast_hints_are_bounded(spark, name):
+    """A hint stands on a limit, or on the cuts of at most HEAVY limited
+    buckets; every other broadcast is the planner's, from measured sizes."""
+    lines = _build(spark, name)._jdf.queryExecution().analyzed().toString().split("\n")
+    for i, line in enumerate(lines):
+        if "ResolvedHint (strategy=broadcast)" in line:
+            below = "\n".join(lines[i + 1:i + 5])
+            assert "GlobalLimit" in below or "percentile_approx(_us" in below, (name, below)

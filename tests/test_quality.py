@@ -32,6 +32,22 @@ def test_key_and_domain_check(spark):
                    ("bad_status", "lost", 1), ("orphan_product", "p9", 1)]
 
 
+def test_rows_without_a_place_on_a_time_line_are_counted(spark):
+    tx, pr, us, se = fx.transactions(spark), fx.products(spark), fx.users(spark), fx.sessions(spark)
+    ev = spark.createDataFrame([(1, None), (None, None), (None, 5), (1, 5)], "user_id long, ts long")
+    pts = spark.createDataFrame([("p1", None), ("p1", 1)], "product_id string, date long")
+    got = sorted(rows(quality.key_and_domain_check(tx, enrich.flatten_items(tx), us, pr, se, ev, pts)))
+    assert [r for r in got if r[0].startswith("unplaced")] == [
+        ("unplaced_event", "ts", 2), ("unplaced_event", "user_id", 2), ("unplaced_price", "date", 1)]
+
+
+def test_orphan_sessions(spark):
+    tx, pr, us = fx.transactions(spark), fx.products(spark), fx.users(spark)
+    gone = fx.sessions(spark).where("session_id <> 's3'")
+    got = rows(quality.key_and_domain_check(tx, enrich.flatten_items(tx), us, pr, gone))
+    assert ("orphan_session", "s3", 1) in got
+
+
 def test_price_changes_and_check(spark):
     pr = fx.products(spark)
     pts = quality.price_points_from_products(pr).selectExpr(

@@ -4,7 +4,7 @@ import random
 from collections import Counter
 
 from mercato.operators import enrich, reports
-from mercato.plans.catalog import SQL_REPORTS, register_views, sql_report
+from mercato.plans.catalog import REPORT_VIEWS, register_reports, register_views, sql_report
 from tests import fixtures as fx
 from tests.conftest import rows
 
@@ -22,7 +22,7 @@ def _items_df(spark, baskets):
     return spark.createDataFrame(data, "transaction_id string, product_id long")
 
 
-def test_product_affinity_matches_brute_force_with_ties(spark):
+def test_product_affinity_matches_brute_force_with_ties(spark, monkeypatch):
     rnd = random.Random(7)
     baskets = {}
     for t in range(300):
@@ -33,15 +33,15 @@ def test_product_affinity_matches_brute_force_with_ties(spark):
     df = _items_df(spark, baskets)
     for top_n in (5, 20):
         exp = brute_affinity(baskets, top_n)
-        for prune in (True, False, "auto"):
-            got = rows(reports.product_affinity(df, top_n=top_n, prune=prune, probe_products=10))
-            assert got == exp, (top_n, prune)
+        for probe in (2, 10, 200):
+            monkeypatch.setattr(reports, "PROBE_PRODUCTS", probe)
+            assert rows(reports.product_affinity(df, top_n=top_n)) == exp, (top_n, probe)
 
 
 def test_product_affinity_all_pairs_count_one(spark):
     baskets = {f"t{i}": [i * 3, i * 3 + 1, i * 3 + 2] for i in range(10)}
     df = _items_df(spark, baskets)
-    assert rows(reports.product_affinity(df, top_n=7, probe_products=2)) == brute_affinity(baskets, 7)
+    assert rows(reports.product_affinity(df, top_n=7)) == brute_affinity(baskets, 7)
 
 
 def test_cohort_analysis(spark):
@@ -61,6 +61,9 @@ def test_revenue_by_category_and_sql_twin(spark):
     register_views(spark, {"transactions": tx, "products": pr, "users": fx.users(spark),
                            "sessions": fx.sessions(spark)})
     assert rows(sql_report(spark, "revenue_by_category")) == got
+    assert register_reports(spark) == sorted(REPORT_VIEWS)
+    assert rows(spark.sql("SELECT * FROM revenue_by_category")) == got
+    assert rows(spark.sql("SELECT * FROM conversion_funnel")) == rows(reports.conversion_funnel(fx.sessions(spark)))
 
 
 def test_top_users_completed_only(spark):
@@ -93,14 +96,13 @@ def test_monthly_revenue(spark):
                    ("2024-03", 1, 1, 0.0, 0.0)]
     register_views(spark, {"transactions": fx.transactions(spark)})
     assert rows(sql_report(spark, "monthly_revenue")) == got
-    assert set(SQL_REPORTS) == {"revenue_by_category", "top_users", "conversion_funnel",
+    assert set(REPORT_VIEWS) == {"revenue_by_category", "top_users", "conversion_funnel",
                                 "monthly_revenue"}
 
 
 def test_product_popularity_lookup_after_limit(spark):
     tx, pr = fx.transactions(spark), fx.products(spark)
-    ie = enrich.enrich_items(enrich.flatten_items(tx), pr)
-    got = rows(reports.product_popularity(ie, pr, limit=3))
+    got = rows(reports.product_popularity(enrich.flatten_items(tx), pr, limit=3))
     assert got == [("p2", "Lamp", "cat_a", 4, 80.0, 2, None, None),
                    ("p1", "Ergonomic Steel Chair With A Very Long Name", "cat_a", 3, 30.0, 2, 5, True),
                    ("p3", "Desk", "cat_b", 1, 30.0, 1, 1, False)]
@@ -134,3 +136,16 @@ def test_chart_category_revenue_series(spark):
     got = rows(chart_category_revenue_series(ie))
     assert got == [("cat_a", "2024-01", 40.0), (None, "2024-02", 5.0), ("cat_a", "2024-02", 70.0),
                    ("cat_b", "2024-02", 30.0)]
+
+
+def test_money_has_one_rule(spark):
+    """1.005 is the double below it, so it is 100 cents; NaN is no amount."""
+    rows_ = [("t1", "u1", "2024-01-05T00:00:00", 1.005, "completed"), ("t2", "u1", "2024-01-06T00:00:00", 2.0, "completed"),
+             ("t3", "u1", "2024-01-07T00:00:00", float("nan"), "completed")]
+    tx = spark.createDataFrame(rows_, "transaction_id string, user_id string, timestamp string, total double, status string")
+    register_views(spark, {"transactions": tx})
+    want = [("2024-01", 3, 1, 3.0, 1.0)]
+    assert rows(reports.monthly_revenue(tx)) == want and rows(sql_report(spark, "monthly_revenue")) == want
+    from mercato.operators import clean
+    full = tx.withColumn("discount", tx.total)
+    assert sorted(rows(clean.clean_transactions(full), "transaction_id")) == [("t1",), ("t2",)]

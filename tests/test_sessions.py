@@ -99,6 +99,42 @@ def test_hot_user_is_spread_over_tasks(spark):
     assert len(per_task) >= 3 and max(per_task) < 3000 * 0.6
 
 
+def test_one_hot_bucket_is_cut(spark, monkeypatch):
+    """One user holds 90 % of the rows, all within one day."""
+    from pyspark.sql import functions as F
+
+    from mercato.functions import ordered
+    monkeypatch.setattr(ordered, "LIGHT_ROWS", 100)
+    monkeypatch.setattr(ordered, "HEAVY", 20)
+    rnd = random.Random(4)
+    ev = [(i, T0 + dt.timedelta(seconds=rnd.randrange(80_000)), 0 if i % 10 else 1 + i % 7,
+           rnd.choice(["view", "click"]), 1) for i in range(4000)]
+    df = spark.createDataFrame(ev, "event_id long, ts timestamp, user_id long, event_type string, k int")
+    for gap in (60, 12 * 3600):
+        seq, nxt = brute_sessions(ev, gap)
+        got = sessionize(df, gap_seconds=gap, bucket_seconds=10 * 86400, next_of=["event_type"])
+        got = {r.event_id: (r.session_seq, r.next_event_type) for r in got.collect()}
+        assert got == {i: (seq[i], nxt[i]) for i in seq}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        d = ordered._bucketed(df, "user_id", "ts", 10 * 86400)
+        most = [r[1] for r in d.groupBy("user_id", "_b").count().select("_b", "count").collect()]
+        s = sessionize(df, bucket_seconds=10 * 86400).where("user_id = 0")
+        tasks = [r[1] for r in s.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert max(most) < 0.1 * len(ev) and len(tasks) > 1 and max(tasks) < 0.6 * len(ev)
+
+
+def test_session_products(spark):
+    from mercato.operators.sessions import session_products
+    ev = [(1, T0, 7, "view", 5), (2, T0, 7, "click", 5), (3, T0, 7, "click", 5), (4, T0, 7, "view", 6),
+          (5, T0, 7, "signup", 9), (6, T0 + dt.timedelta(days=2), 7, "click", 6), (7, T0, 8, "view", None)]
+    df = spark.createDataFrame(ev, "event_id long, ts timestamp, user_id long, event_type string, product_id long")
+    got = session_products(sessionize(df)).orderBy("user_id", "session_id", "product_id")
+    assert rows(got) == [(7, "7-1", 5, True, 2), (7, "7-1", 6, True, 0), (7, "7-2", 6, False, 1)]
+
+
 def test_session_check_rules(spark):
     from mercato.operators.sessions import session_check
     got = rows(session_check(fx.sessions(spark)).orderBy("session_id"),

@@ -46,8 +46,7 @@ def test_sinks_round_trip(spark):
     back = readers.read_curated(spark, d, "txn_items")
     assert back.count() == items.count()
     sinks.write_report_csv(t.transactions().limit(5), os.path.join(d, "report"))
-    csvs = [f for f in os.listdir(os.path.join(d, "report")) if f.endswith(".csv")]
-    assert len(csvs) == 1
+    assert spark.read.option("header", True).csv(os.path.join(d, "report")).count() == 5
     sinks.export_json(t.users(), os.path.join(d, "users_json"), max_records_per_file=40)
     assert spark.read.json(os.path.join(d, "users_json")).count() == t.users().count()
     sinks.land_raw_json(t.users(), os.path.join(d, "users_landed"), max_records_per_file=40)
@@ -56,6 +55,41 @@ def test_sinks_round_trip(spark):
     assert readers.read_curated(spark, d, "users_landed").count() == t.users().count()
 
 
+def test_json_lines_and_one_line_arrays_are_read_whole(spark):
+    d = tempfile.mkdtemp(prefix="mercato-json-")
+    users = spark.range(1000).selectExpr(
+        "CAST(id AS STRING) AS user_id", "named_struct('city', 'c', 'state', 's', 'country', 'x') AS geo_data",
+        "'2024-01-01T00:00:00' AS registration_date", "CAST(NULL AS STRING) AS last_active").repartition(4)
+    sinks.export_json(users, os.path.join(d, "users.json"))
+    assert readers.read_raw(spark, d, "users").select("user_id").distinct().count() == 1000
+    for name, indent in (("line", None), ("pretty", 2)):
+        os.makedirs(os.path.join(d, name))
+        with open(os.path.join(d, name, "users.json"), "w") as f:
+            json.dump([r.asDict(recursive=True) for r in users.collect()], f, indent=indent)
+    assert readers.read_raw(spark, os.path.join(d, "line"), "users").count() == 1000
+    assert readers.read_raw(spark, os.path.join(d, "pretty"), "users", multi_line=True).count() == 1000
+
+
+def test_large_report_is_written_whole(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="mercato-report-"), "r")
+    sinks.write_report_csv(spark.range(1_200_000).selectExpr("id", "id % 7 AS k"), path)
+    back = spark.read.option("header", True).csv(path)
+    assert back.columns == ["id", "k"] and back.count() == 1_200_000
+    assert len([f for f in os.listdir(path) if f.endswith(".csv")]) > 1
+
+
+def test_hot_cluster_key_is_split(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="mercato-curated-"), "t")
+    df = spark.range(40_000).selectExpr("CASE WHEN id % 10 > 0 THEN 1 ELSE id END AS user_id", "id AS ts")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sinks.write_curated(df, path, cluster_by=["user_id", "ts"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    per_file = [r[1] for r in spark.read.parquet(path).selectExpr("input_file_name() f").groupBy("f").count().collect()]
+    assert len(per_file) > 1 and max(per_file) < 0.6 * 40_000
+
+
 def test_driver_views_shapes(spark):
     t = DriverTables(spark, SF_SMALL)
     assert t.users().columns == ["user_id", "geo_data", "registration_date", "last_active"]
