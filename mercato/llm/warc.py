@@ -131,15 +131,21 @@ _MANIFEST_SCHEMA = pa.schema([("file", pa.string()), ("bytes", pa.int64()), ("re
 
 def _write(folder: str, file_bytes: int, date: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        roll = None
+        roll, revisit = None, None
         for batch in batches:
             for row in batch.to_pylist():
+                key = (row["page_id"], row["digest"])
+                if not row["page"]:  # comes before the pages that it holds for
+                    revisit = (*key, row["first"])
+                    continue
+                first = revisit[2] if revisit and revisit[:2] == key else None
                 if roll is None or roll.shard != row["shard"]:
                     if roll is not None:
                         roll.close()
                         yield pa.RecordBatch.from_pylist(roll.done, schema=_MANIFEST_SCHEMA)
                     roll = _Roll(folder, row["shard"], file_bytes)
-                roll.add(page_record(row["page_id"], row["url"], row["payload"], row["n"], row["digest"], row["first"], date))
+                roll.add(page_record(*key[:1], row["url"], row["payload"] if first is None else None,
+                                     row["n"], row["digest"], first, date))
         if roll is not None:
             roll.close()
             yield pa.RecordBatch.from_pylist(roll.done, schema=_MANIFEST_SCHEMA)
@@ -163,11 +169,15 @@ def write_warc(pages: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES, fi
     first = narrow.where(F.col("n") >= MIN_REVISIT).groupBy("digest").agg(F.min("page_id").alias("first"))
     key = F.coalesce("page_id", F.lit(_NULL_ID))
     shard = F.size(F.filter(F.array(*map(F.lit, bounds)).cast("array<bigint>"), lambda b: b <= key)) if bounds else F.lit(0)
-    again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
-    records = (rows.join(first, "digest", "left").select(
-        shard.alias("shard"), "page_id", "url", F.when(~again, F.col("payload")).alias("payload"), "digest", "n",
-        F.when(again, F.col("first")).alias("first"))
-        .repartition("shard").sortWithinPartitions("shard", "page_id", "url", "digest"))
+    # which pages revisit which goes to the shards beside the payloads, so
+    # payloads move once
+    revisits = narrow.select("page_id", "digest").distinct().join(first, "digest").where(
+        ~F.col("page_id").eqNullSafe(F.col("first")))
+    records = (rows.select(shard.alias("shard"), "page_id", "digest", F.lit(True).alias("page"), "url", "payload", "n",
+                           F.lit(None).cast("long").alias("first"))
+               .unionByName(revisits.select(shard.alias("shard"), "page_id", "digest", F.lit(False).alias("page"), "first"),
+                            allowMissingColumns=True)
+               .repartition("shard").sortWithinPartitions("shard", "page_id", "digest", "page", "url"))
     records.mapInArrow(_write(folder, file_bytes, date), _MANIFEST).write.json(f"{folder}/_manifest")
     store, base = fs.FileSystem.from_uri(folder)
     if store.get_file_info(f"{base}/_attempts").type == fs.FileType.Directory:
@@ -218,8 +228,8 @@ def _pages(raw: bytes) -> Iterator[dict]:
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for file, content, sha in zip(*(batch.column(c).to_pylist() for c in ("file", "content", "sha256")), strict=True):
-            if content is None or hashlib.sha256(content).hexdigest() != sha:
-                raise ValueError(f"{file} is missing or differs from the manifest")
+            if hashlib.sha256(content).hexdigest() != sha:
+                raise ValueError(f"{file} differs from the manifest")
             held: list[dict] = []
             for page in _pages(content):
                 held.append(page)
@@ -235,8 +245,12 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
     manifest = spark.read.schema(_MANIFEST).json(f"{folder}/_manifest")
     content = (spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder)
                .select(F.element_at(F.split("path", "/"), -1).alias("_name"), "content"))
+    named = F.col("file") == F.col("_name")
+    missing = manifest.join(content.select("_name"), named, "left_anti").select("file").limit(5).collect()
+    if missing:
+        raise ValueError(f"files of the manifest are missing: {[r.file for r in missing]}")
     # a file is at most file_bytes and a record; a task takes a few of them
-    return (manifest.join(content, F.col("file") == F.col("_name"), "left").select("file", "sha256", "content")
+    return (content.join(manifest, named).select("file", "sha256", "content")
             .mapInArrow(_read, "page_id long, url string, payload binary, payload_bytes long, payload_digest string, "
                                "record_type string, refers_to long"))
 

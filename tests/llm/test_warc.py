@@ -87,6 +87,11 @@ def test_damage_is_noticed(spark):
     open(f"{path}/{name}", "wb").write(found[name][:-20])
     with pytest.raises(Exception, match="differs from the manifest"):
         A.read_warc(spark, folder).count()
+    os.truncate(f"{path}/{name}", 0)
+    spark.read.schema(A._MANIFEST).json(f"{folder}/_manifest").selectExpr(
+        "concat('gone-', file) AS file", "bytes", "records", "sha256").write.mode("append").json(f"{folder}/_manifest")
+    with pytest.raises(ValueError, match="missing"):
+        A.read_warc(spark, folder)
 
 
 def test_empty_table(spark):
