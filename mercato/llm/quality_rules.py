@@ -58,12 +58,6 @@ GRID = [round(0.01 * i, 2) for i in range(1, 10)] + [round(0.05 * i, 2) for i in
 _COLUMNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_bangs"]
 
 
-def _line_numbers(data: np.ndarray, offs: np.ndarray, w: W.Words) -> np.ndarray:
-    """A number for the line of each word, lines being split at newlines and rows."""
-    breaks = np.cumsum(data == 0x0A)
-    return (breaks[w.start] if len(w) else np.zeros(0, dtype=np.int64)) + w.row
-
-
 def statistics_of(data: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
     """The base statistics of each row of a slice."""
     n = len(offs) - 1

@@ -18,8 +18,9 @@ shard the same split goes on down to small leaves.
 
 Only different fingerprints enter the search, so copies cost nothing there;
 a shard reports a spanning star of what it linked, not all pairs.  The upper
-levels are fitted on at most ``SAMPLE`` fingerprints (which sets balance, not
-results); every fingerprint is searched.
+levels are fitted on a sample of ``PER_SHARD`` fingerprints for each shard,
+about one in three hundred (which sets balance, not results); every
+fingerprint is searched.
 
 Cases: null, empty and blank texts have fingerprint zero and link to each
 other like any others; a null doc_id never names a component that has another
@@ -42,9 +43,10 @@ from mercato.llm.words import LOWER
 
 SEED = 42
 NULL_ID = -(1 << 63)
-SAMPLE = 4096
 #: Fingerprints that live in a shard, about; a shard's task also sees its visitors.
 SHARD = 20_000
+#: Fingerprints sampled for each shard, and the most levels of shards.
+PER_SHARD, MAX_DEPTH = 64, 14
 LEAF = 256
 _LOWER = LOWER.tobytes()
 
@@ -192,9 +194,9 @@ def links(unique: DataFrame, max_bits: int = 3) -> DataFrame:
     ``max_bits``; ``unique`` has one row for each different fp."""
     spark = unique.sparkSession
     n = unique.count()
-    depth = min(max(0, int(np.ceil(np.log2(max(1, n) / SHARD)))), int(np.log2(SAMPLE)) - 2)
-    sample = np.array([x[0] for x in unique.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()],
-                      dtype=np.int64).view(np.uint64)
+    depth = min(max(0, int(np.ceil(np.log2(max(1, n) / SHARD)))), MAX_DEPTH)
+    sample = np.array([x[0] for x in unique.orderBy(F.xxhash64("fp"), "fp").limit(PER_SHARD << depth).collect()]
+                      if depth else [], dtype=np.int64).view(np.uint64)
     trees = [shard_tree(halves(sample, half), depth) for half in (0, 1)]
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
