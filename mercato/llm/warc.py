@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import io
 import re
 import uuid
 from collections.abc import Iterator
@@ -207,7 +208,10 @@ _PAGE = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload", pa
 
 
 def _pages(raw: bytes) -> Iterator[dict]:
-    for h, block in parse(gzip.decompress(raw)):
+    # GzipFile reads on through small buffers; decompress() copies the whole rest for each member
+    with gzip.GzipFile(fileobj=io.BytesIO(raw)) as members:
+        whole = members.read()
+    for h, block in parse(whole):
         if h["WARC-Block-Digest"] != f"sha256:{hashlib.sha256(block).hexdigest()}":
             raise ValueError(f"block digest of {h['WARC-Record-ID']} differs")
         if h["WARC-Type"] == "warcinfo":
