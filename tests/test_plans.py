@@ -24,8 +24,26 @@ def _build(spark, name):
     return queries()[name](spark, SF_SMALL)
 
 
+def _texts(df):
+    q = df._jdf.queryExecution()
+    return q.analyzed().toString(), q.executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def plans(spark):
+    """Analyzed and physical plan of every query, built once, and the jobs
+    that ran meanwhile."""
+    sc = spark.sparkContext
+    sc.setJobGroup("building", "plans")
+    try:
+        out = {name: _texts(_build(spark, name)) for name in _names()}
+        return out, list(sc.statusTracker().getJobIdsForGroup("building"))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
 def _plan(spark, name):
-    return _build(spark, name)._jdf.queryExecution().executedPlan().toString()
+    return _texts(_build(spark, name))[1]
 
 
 def _scans(plan, *columns):
@@ -35,8 +53,8 @@ def _scans(plan, *columns):
 
 
 @pytest.mark.parametrize("name", _names())
-def test_plan_has_no_unscalable_operator(spark, name):
-    plan = _plan(spark, name)
+def test_plan_has_no_unscalable_operator(plans, name):
+    plan = plans[0][name][1]
     assert "FileScan parquet" in plan
     for op in FORBIDDEN:
         assert op not in plan, (name, op)
@@ -53,20 +71,13 @@ def test_plan_has_no_unscalable_operator(spark, name):
     assert not alone or name == "chart_tier_share", (name, alone)
 
 
-def test_building_a_query_runs_no_job(spark):
-    sc = spark.sparkContext
-    sc.setJobGroup("building", "plans")
-    try:
-        for name in _names():
-            _build(spark, name)
-        assert list(sc.statusTracker().getJobIdsForGroup("building")) == []
-    finally:
-        sc.setLocalProperty("spark.jobGroup.id", None)
+def test_building_a_query_runs_no_job(plans):
+    assert plans[1] == []
 
 
 @pytest.mark.parametrize("name", ["product_popularity", "chart_product_revenue"])
-def test_top_products_read_line_items_once(spark, name):
-    assert len(_scans(_plan(spark, name), "l_extendedprice", "l_orderkey")) == 1
+def test_top_products_read_line_items_once(plans, name):
+    assert len(_scans(plans[0][name][1], "l_extendedprice", "l_orderkey")) == 1
 
 
 def test_enriched_transactions_move_lines_twice(spark):
@@ -80,8 +91,8 @@ def test_enriched_transactions_move_lines_twice(spark):
     assert len(moved) <= 4  # lines twice, the catalogue and the orders once
 
 
-def test_cohorts_read_only_their_columns(spark):
-    scans = _scans(_plan(spark, "cohort_analysis"), "o_orderkey")
+def test_cohorts_read_only_their_columns(plans):
+    scans = _scans(plans[0]["cohort_analysis"][1], "o_orderkey")
     assert any("o_totalprice" in s for s in scans)
     assert not any("o_orderpriority" in s or "o_orderstatus" in s for s in scans)
 
@@ -101,16 +112,16 @@ def test_lookup_join_uses_the_grouping(spark):
     assert "Join" not in unused
 
 
-def test_clv_plans_hold_the_whole_pipeline(spark):
-    plan = _plan(spark, "clv_tier_summary")
+def test_clv_plans_hold_the_whole_pipeline(plans):
+    plan = plans[0]["clv_tier_summary"][1]
     assert _scans(plan, "l_quantity") and _scans(plan, "o_totalprice") and _scans(plan, "event_type")
 
 
 @pytest.mark.parametrize("name", _names())
-def test_broadcast_hints_are_bounded(spark, name):
+def test_broadcast_hints_are_bounded(plans, name):
     """A hint stands on a limit, or on the cuts of at most HEAVY limited
     buckets; every other broadcast is the planner's, from measured sizes."""
-    lines = _build(spark, name)._jdf.queryExecution().analyzed().toString().split("\n")
+    lines = plans[0][name][0].split("\n")
     for i, line in enumerate(lines):
         if "ResolvedHint (strategy=broadcast)" in line:
             below = "\n".join(lines[i + 1:i + 5])
