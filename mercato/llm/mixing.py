@@ -29,7 +29,7 @@ are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.llm.store import keep
@@ -41,13 +41,27 @@ BLOCK, SEED = 8, 20240607
 SHARD_WORDS, SHARD_ROWS = 500_000, 20_000
 
 
+def _hash(*parts) -> Column:
+    """MD5 of the seed and the parts: a hash that any SQL engine has."""
+    return F.md5(F.concat_ws("|", F.lit(str(SEED)), *parts))
+
+
+def _number(h, start: int) -> Column:
+    """Eight hex digits of a hash as a number."""
+    return F.conv(F.substring(h, start, 8), 16, 10).cast("long")
+
+
+def _row_hash(id_col: str, text_col: str) -> Column:
+    return _hash(F.coalesce(F.col(id_col).cast("long").cast("string"), F.lit("")), F.coalesce(F.col(text_col), F.lit("")))
+
+
 def sizes(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           source_col: str = "source") -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     return documents.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
         F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("size"),
-        F.xxhash64(F.lit(SEED), F.col(id_col).cast("long"), text).alias("h"))
+        _row_hash(id_col, text_col).alias("h"))
 
 
 def targets(by_source: DataFrame, weights: tuple = WEIGHTS, total_share: float = TOTAL_SHARE,
@@ -117,7 +131,7 @@ def mix(documents: DataFrame, weights: tuple = WEIGHTS, total_share: float = TOT
                          .alias("n_shards")))
     of_source = keep(of_source, "quotas")
     dealt = (docs.alias("d").join(of_source.select("source", "n_shards").alias("s"), F.expr("d.source <=> s.source"))
-             .select("d.*", F.expr("pmod(xxhash64(d.h, d.doc_id), s.n_shards)").alias("shard")))
+             .select("d.*", (_number("d.h", 25) % F.col("s.n_shards")).alias("shard")))
     of_shard = (dealt.groupBy("source", "shard").agg(F.sum("size").alias("shard_words")).alias("d")
                 .join(of_source.alias("s"), F.expr("d.source <=> s.source"))
                 .select("d.*", "s.source_size", "s.target", F.col("s.quota").alias("seats"))
@@ -127,7 +141,7 @@ def mix(documents: DataFrame, weights: tuple = WEIGHTS, total_share: float = TOT
               .withColumn("n", F.greatest(blocks, F.lit(1).cast("long")))
               .withColumn("q", F.least("quota", max_repeats * F.col("n")))
               .withColumn("passes", F.expr("q div n")).withColumn("r", F.expr("q % n"))
-              .withColumn("s", F.expr(f"pmod(xxhash64({SEED}, source, shard), n)")))
+              .withColumn("s", _number(_hash(F.coalesce("source", F.lit("")), F.col("shard").cast("string")), 1) % F.col("n")))
     stream = Window.partitionBy("source", "shard").orderBy("h", "doc_id", "size")
     placed = dealt.withColumn("o", F.coalesce(F.sum("size").over(
         stream.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long")))
@@ -156,8 +170,7 @@ def mixed_documents(documents: DataFrame, id_col: str = "doc_id", text_col: str
     counts = (mix(documents, id_col=id_col, text_col=text_col, source_col=source_col, **how)
               .groupBy(F.col("doc_id").alias("_llm_d"), F.col("t").alias("_llm_t"))
               .agg(F.ceil(F.sum("taken") / F.count("*")).alias("_llm_taken")).where("_llm_taken > 0"))
-    docs = documents.withColumn("_llm_t", F.xxhash64(
-        F.lit(SEED), F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit(""))))
+    docs = documents.withColumn("_llm_t", _row_hash(id_col, text_col))
     same = (F.col("d._llm_t") == F.col("m._llm_t")) & F.col(f"d.`{id_col}`").cast("long").eqNullSafe(F.col("m._llm_d"))
     return docs.alias("d").join(counts.alias("m"), same).select(
         *(F.col(f"d.`{c}`") for c in documents.columns), F.col("m._llm_taken").alias("taken"))

@@ -106,3 +106,60 @@ lone AS (
     FROM r WHERE call_id NOT IN (SELECT call_id FROM c))
 SELECT * FROM calls UNION ALL SELECT * FROM lone
 """
+
+# quotients and blocks are listed one by one here; the operator settles them in closed form
+ORACLE["op2_mixing"] = r"""
+WITH d AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+           md5(concat_ws('|', '20240607', coalesce(doc_id::VARCHAR, ''), coalesce(text, ''))) AS h
+    FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, count(*) AS n_docs FROM d GROUP BY source),
+w AS (
+    SELECT *, (CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3
+               WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END)::DOUBLE AS weight,
+           2.0::DOUBLE * source_size AS cap, 1.5::DOUBLE * sum(source_size) OVER () AS total
+    FROM s),
+full_at AS (  -- what all sources take at the level where this one reaches its cap
+    SELECT a.source, sum(least(b.cap, a.cap / a.weight * b.weight)) AS taken FROM w a, w b GROUP BY a.source),
+c AS (SELECT w.*, f.taken <= w.total AS capped FROM w JOIN full_at f ON w.source IS NOT DISTINCT FROM f.source),
+goal AS (
+    SELECT *, CASE WHEN capped THEN cap ELSE
+               (total - coalesce(sum(cap) FILTER (WHERE capped) OVER (), 0))
+               / sum(weight) FILTER (WHERE NOT capped) OVER () * weight END AS target
+    FROM c),
+quotient AS (
+    SELECT source, unnest(range(1, (target / 8)::BIGINT + 20)) AS k, target FROM goal WHERE target > 0),
+won AS (
+    SELECT source FROM quotient
+    QUALIFY row_number() OVER (ORDER BY target / (2 * k - 1) DESC, source NULLS FIRST, k)
+            <= (SELECT round(sum(target) / 8) FROM goal)),
+quota AS (
+    SELECT g.source, g.source_size, g.target, ceil(g.source_size / 500000 + g.n_docs / 20000)::BIGINT AS n_shards,
+           (SELECT count(*) FROM won WHERE won.source IS NOT DISTINCT FROM g.source) AS seats
+    FROM goal g),
+dealt AS (
+    SELECT d.*, q.source_size, q.target, q.seats, ('0x' || substr(h, 25, 8))::BIGINT % q.n_shards AS shard
+    FROM d JOIN quota q ON d.source IS NOT DISTINCT FROM q.source),
+shard AS (SELECT source, shard, sum(size)::BIGINT AS words, any_value(seats) AS seats FROM dealt GROUP BY source, shard),
+shard_won AS (
+    SELECT source, shard FROM (SELECT *, unnest(range(1, seats + 1)) AS k FROM shard WHERE words > 0)
+    QUALIFY row_number() OVER (PARTITION BY source ORDER BY words / (2 * k - 1) DESC, shard, k) <= seats),
+plan AS (
+    SELECT x.source, x.shard, greatest(ceil(x.words / 8)::BIGINT, 1) AS n,
+           (SELECT count(*) FROM shard_won y WHERE y.source IS NOT DISTINCT FROM x.source AND y.shard = x.shard) AS seats,
+           ('0x' || substr(md5(concat_ws('|', '20240607', coalesce(x.source, ''), x.shard::VARCHAR)), 1, 8))::BIGINT AS start
+    FROM shard x),
+placed AS (
+    SELECT dealt.*, p.n, least(p.seats, 2 * p.n) // p.n AS passes, least(p.seats, 2 * p.n) % p.n AS r, p.start % p.n AS st,
+           coalesce(sum(size) OVER (PARTITION BY dealt.source, dealt.shard ORDER BY h, doc_id, size
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS o
+    FROM dealt JOIN plan p ON dealt.source IS NOT DISTINCT FROM p.source AND dealt.shard = p.shard),
+block AS (SELECT *, unnest(range(o // 8, (o + size - 1) // 8 + 1)) AS j FROM placed WHERE size > 0),
+part AS (
+    SELECT doc_id, h, sum(CASE WHEN ((j + 1) * r + st) // n > (j * r + st) // n
+                               THEN least(o + size, (j + 1) * 8) - greatest(o, j * 8) ELSE 0 END) AS words
+    FROM block GROUP BY doc_id, h)
+SELECT p.doc_id, p.size, p.source_size, p.target,
+       (p.passes * p.size + coalesce(part.words, 0))::BIGINT AS taken
+FROM placed p LEFT JOIN part ON p.h = part.h
+"""
