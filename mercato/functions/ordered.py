@@ -10,11 +10,10 @@ map-side-combined aggregate with one row per non-empty bucket.  The result is
 exact: identical to an unsplit window over the whole key.
 
 Buckets have a fixed width in time.  The ``HEAVY`` buckets of most rows (a
-bot's day, a bestseller's month) are cut again at quantiles of their own
-times if they have over ``LIGHT_ROWS`` rows; any other bucket has at most one
-in ``HEAVY`` of all rows.  So a window never sees more than about that share,
-unless rows agree on key and microsecond.  The table of cuts has at most
-``HEAVY`` rows of fewer than ``HEAVY`` times (8 MB) and is broadcast.
+bot's day, a bestseller's month) are cut again into ``HEAVY`` equal pieces of
+the time they span, if they have over ``LIGHT_ROWS`` rows; any other bucket
+has at most one in ``HEAVY`` of all rows.  The table of heavy buckets has at
+most ``HEAVY`` rows and is broadcast.
 
 Rows without a key or a time have no place on a time line and are not
 scanned; ``key_and_domain_check`` reports how many there are.
@@ -41,19 +40,15 @@ def _bucketed(df: DataFrame, key: str, ts: str, bucket_seconds: int) -> DataFram
     rows = (df.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
               .withColumn("_us", epoch_micros(df, ts))
               .withColumn("_w", F.floor(F.col("_us") / F.lit(bucket_seconds * _US))))
-    times = rows.select(F.col(key).alias("_hk"), F.col("_w").alias("_hw"), "_us")
-    heavy = (times.groupBy("_hk", "_hw").agg(F.count(F.lit(1)).alias("_n"))
+    heavy = (rows.groupBy(F.col(key).alias("_hk"), F.col("_w").alias("_hw"))
+             .agg(F.count(F.lit(1)).alias("_n"), F.min("_us").alias("_lo"), F.max("_us").alias("_hi"))
              .where(F.col("_n") > F.lit(LIGHT_ROWS)).orderBy(F.desc("_n"), "_hk", "_hw").limit(HEAVY)
-             .select("_hk", "_hw"))
-    # one literal, cast when the plan is folded: cheaper to build than HEAVY of them
-    points = F.split(F.lit(" ".join(str(i / HEAVY) for i in range(1, HEAVY))), " ").cast("array<double>")
-    cuts = (times.join(F.broadcast(heavy), ["_hk", "_hw"], "left_semi").groupBy("_hk", "_hw")
-            .agg(F.array_distinct(F.percentile_approx("_us", points)).alias("_cuts")))
-    cut = rows.join(F.broadcast(cuts), (F.col(key) == F.col("_hk")) & (F.col("_w") == F.col("_hw")), "left")
-    piece = F.when(F.col("_cuts").isNull(), 0).otherwise(
-        F.size(F.filter("_cuts", lambda c: c <= F.col("_us"))))
+             .drop("_n"))
+    cut = rows.join(F.broadcast(heavy), (F.col(key) == F.col("_hk")) & (F.col("_w") == F.col("_hw")), "left")
+    piece = F.coalesce(F.floor((F.col("_us") - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1) * HEAVY),
+                       F.lit(0).cast("long"))
     return (cut.withColumn("_b", F.struct(F.col("_w").alias("w"), piece.alias("p")))
-               .drop("_hk", "_hw", "_cuts", "_w"))
+               .drop("_hk", "_hw", "_lo", "_hi", "_w"))
 
 
 def with_neighbours(df: DataFrame, key: str, ts: str, tiebreak: str,
