@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.llm import decontaminate, mil_quality, mixing, secrets_cnn, simhash
-from mercato.llm.store import keep
+from mercato.llm.store import keep, ship
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -27,6 +28,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component (3-word shingles, 3 bits)."""
+    ship(spark)
     return simhash.keep_first(docs, shingle=3, max_bits=3)
 
 
@@ -37,12 +39,14 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets redacted; n_chars follows the text."""
+    ship(spark)
     clean = secrets_cnn.redact(docs)
     return clean.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else clean
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of the mix, with the words it takes of each."""
+    ship(spark)
     return mixing.mixed_documents(docs)
 
 
