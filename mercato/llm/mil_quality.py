@@ -131,8 +131,9 @@ def _forward(p: dict, x: np.ndarray, per_row: np.ndarray) -> dict:
 
 
 def fit(x: np.ndarray, per_row: np.ndarray, y: np.ndarray, hidden: int = 16, gate: int = 8,
-        steps: int = 300, rate: float = 0.02, decay: float = 1e-4, seed: int = 7) -> Model:
-    """Adam on the log loss of whole bags; gradients by hand."""
+        steps: int = 300, bags: int = 512, rate: float = 0.02, decay: float = 1e-4, seed: int = 7) -> Model:
+    """Adam on the log loss of ``bags`` whole documents a step, each round of
+    steps over all of them in a new order; gradients by hand."""
     if len(y) == 0 or y.min() == y.max():
         return Model({}, float(y.mean()) if len(y) else 1.0)
     rng = np.random.default_rng(seed)
@@ -144,13 +145,20 @@ def fit(x: np.ndarray, per_row: np.ndarray, y: np.ndarray, hidden: int = 16, gat
          "d": np.array(np.log(y.mean() / (1 - y.mean())))}
     learned = ["W", "b", "V", "U", "w", "c", "d"]
     m1, m2 = ({k: np.zeros_like(p[k]) for k in learned} for _ in range(2))
+    first = np.cumsum(per_row) - per_row
+    order = np.zeros(0, dtype=np.int64)
     for step in range(1, steps + 1):
-        f = _forward(p, x, per_row)
+        if not len(order):
+            order = rng.permutation(len(y))
+        some, order = np.sort(order[:bags]), order[bags:]
+        size = per_row[some]
+        rows = np.repeat(first[some] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        f = _forward(p, x[rows], size)
         h, t, g, a = f["h"], f["t"], f["g"], f["a"]
-        dl = (1 / (1 + np.exp(-f["logit"])) - y) / len(y)
-        dz = np.repeat(dl[:, None] * p["c"], per_row, axis=0)
+        dl = (1 / (1 + np.exp(-f["logit"])) - y[some]) / len(some)
+        dz = np.repeat(dl[:, None] * p["c"], size, axis=0)
         da = (dz * h).sum(axis=1)
-        de = a * (da - np.repeat(np.add.reduceat(a * da, f["starts"]), per_row))
+        de = a * (da - np.repeat(np.add.reduceat(a * da, f["starts"]), size))
         dt, dg = de[:, None] * p["w"] * g * (1 - t * t), de[:, None] * p["w"] * t * g * (1 - g)
         dh = a[:, None] * dz + dt @ p["V"].T + dg @ p["U"].T
         du = dh * (1 - h * h)
