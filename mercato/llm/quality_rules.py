@@ -2,16 +2,23 @@
 
 Every document has statistics (``RULES``); a rule rejects a document whose
 statistic exceeds the rule's cutoff.  Cutoffs are chosen for each stratum
-(language) from a fixed grid, on labelled documents: a cutoff is taken if
-the exact binomial test rejects "it rejects more than ``alpha`` of the good
-documents", P(Bin(n, alpha) <= k) <= delta / m, for n good labelled
-documents of which it rejects k.  m counts every cutoff of every rule and
-stratum that was tested (Bonferroni), and alpha is shared evenly by the
-rules, so with probability 1 - delta all rules together reject at most alpha
-of the good documents of every stratum.  Among the cutoffs that pass, the
-lowest one that also rejects some bad document more often than good ones is
-used; without one the rule rejects nothing in that stratum.  Strata with too
-few labels therefore keep all their documents.
+(language) from a fixed grid, on labelled documents: a cutoff passes if the
+exact binomial test rejects "it rejects more than a of the good documents",
+P(Bin(n, a) <= k) <= d, for n good labelled documents of which it rejects k.
+A rule's cutoffs are tested from the loosest to the tightest up to the first
+failure (fixed sequence), so they need no division of d.  delta is shared
+evenly by the strata; in a stratum, its delta and alpha are shared by the
+rules in proportion to the square of the power they show: the largest excess
+of rejected bad over rejected good documents at a cutoff that rejects at
+most alpha of the good ones.  Power is measured on a part of the good
+documents (one in ``PICK``, by hash of the id) that no test uses, so the
+shares do not depend on what is tested, and with probability 1 - delta all
+rules together reject at most alpha of the good documents of every stratum.
+Among the cutoffs that pass, the lowest one that also rejects some bad
+document more often than good ones is used; without one the rule rejects
+nothing in that stratum.  One rule with all the power needs
+log(delta / strata) / log(1 - alpha) good documents to be tested; strata
+with fewer labels keep all their documents.
 
 Statistics come from one pass over whole texts, vectorised over slices; the
 labelled counts are aggregated in Spark, and only rules x cutoffs x strata
@@ -39,6 +46,8 @@ from mercato.llm.store import keep
 
 RUN = 8
 ALPHA, DELTA = 0.05, 0.05
+#: One in this many good labelled documents measures power and is not tested.
+PICK = 5
 MAX_STRATA = 1000
 _SYMBOLS = np.zeros(256, dtype=bool)
 _SYMBOLS[list(b"#*$%&|<>")] = True
@@ -155,33 +164,56 @@ def binomial_tail(k: int, n: int, p: float) -> float:
     return min(1.0, math.exp(top) * math.fsum(math.exp(x - top) for x in logs))
 
 
+def power_shares(counts: list[tuple[str, str, float, int, int, int, int]], alpha: float = ALPHA
+                 ) -> dict[tuple[str, str], float]:
+    """(stratum, rule) -> its share of the stratum's alpha and delta, from rows
+    as ``choose_cutoffs`` has them, of good documents that are not tested."""
+    power: dict[str, dict[str, float]] = {}
+    for stratum, rule, _, good, good_out, bad, bad_out in counts:
+        mine = power.setdefault(stratum, dict.fromkeys(RULES, 0.0))
+        if good and bad and good_out <= alpha * good:
+            mine[rule] = max(mine[rule], bad_out / bad - good_out / good)
+    shares = {}
+    for stratum, mine in power.items():
+        total = sum(x * x for x in mine.values())
+        shares |= {(stratum, r): x * x / total if total else 1 / len(RULES) for r, x in mine.items()}
+    return shares
+
+
 def choose_cutoffs(counts: list[tuple[str, str, float, int, int, int, int]], alpha: float = ALPHA,
-                   delta: float = DELTA) -> dict[tuple[str, str], float]:
+                   delta: float = DELTA, shares: dict[tuple[str, str], float] | None = None
+                   ) -> dict[tuple[str, str], float]:
     """(stratum, rule) -> cutoff, from rows (stratum, rule, cutoff, good
-    labelled, good rejected, bad labelled, bad rejected)."""
-    tests = len(counts)
-    share = alpha / len(RULES)
+    labelled, good rejected, bad labelled, bad rejected); ``shares`` as of
+    ``power_shares``, even ones without it."""
+    strata = len({c[0] for c in counts})
     best: dict[tuple[str, str], float] = {}
-    for stratum, rule, cutoff, good, good_out, bad, bad_out in counts:
-        useful = bad_out * good > good_out * bad
-        if useful and binomial_tail(good_out, good, share) <= delta / tests:
-            best[stratum, rule] = min(cutoff, best.get((stratum, rule), math.inf))
+    failed = set()
+    for stratum, rule, cutoff, good, good_out, bad, bad_out in sorted(counts, key=lambda c: -c[2]):
+        share = 1 / len(RULES) if shares is None else shares.get((stratum, rule), 0.0)
+        if (stratum, rule) in failed or share == 0:
+            continue
+        if binomial_tail(good_out, good, alpha * share) > delta * share / strata:
+            failed.add((stratum, rule))
+        elif bad_out * good > good_out * bad:
+            best[stratum, rule] = cutoff
     return best
 
 
 def labelled_counts(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                     label_col: str = "quality") -> DataFrame:
-    """For each stratum, rule and cutoff: good and bad labelled documents that
-    the base rule passes, and how many of them the cutoff rejects."""
+    """For each stratum, rule and grid cell: good and bad labelled documents
+    that the base rule passes; ``picked`` are the good ones that measure power."""
     marks = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
              .groupBy(F.col(id_col).cast("long").alias("_id")).agg(F.min(label_col).alias("good")))
     # the grid cell of a statistic: how many cutoffs it exceeds
     cell = [sum(((F.expr(stat) > c).cast("int") for c in GRID), F.lit(0)).alias(rule)
             for rule, stat in RULES.items()]
-    joined = stats.where(~base_failed()).join(marks, F.col("doc_id") == F.col("_id")).select("stratum", "good", *cell)
-    return (joined.select("stratum", "good", F.explode(F.create_map(
+    joined = stats.where(~base_failed()).join(marks, F.col("doc_id") == F.col("_id")).select(
+        "stratum", "good", ((F.col("good") == 1) & (F.pmod(F.xxhash64("doc_id"), F.lit(PICK)) == 0)).alias("picked"), *cell)
+    return (joined.select("stratum", "good", "picked", F.explode(F.create_map(
         *(x for r in RULES for x in (F.lit(r), F.col(r))))).alias("rule", "cell"))
-        .groupBy("stratum", "rule", "good", "cell").count())
+        .groupBy("stratum", "rule", "good", "picked", "cell").count())
 
 
 def strata_of(stats: DataFrame) -> list[str]:
@@ -193,14 +225,16 @@ def strata_of(stats: DataFrame) -> list[str]:
 def fit_cutoffs(stats: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA,
                 id_col: str = "doc_id", label_col: str = "quality") -> dict[tuple[str, str], float]:
     cells: dict[tuple[str, str], list[list[int]]] = {}
-    for stratum, rule, good, cell, n in labelled_counts(stats, labels, id_col, label_col).collect():
-        cells.setdefault((stratum, rule), [[0] * (len(GRID) + 1) for _ in range(2)])[int(good == 1)][cell] += n
-    counts = []
-    for (stratum, rule), (bad, good) in sorted(cells.items()):
+    for stratum, rule, good, picked, cell, n in labelled_counts(stats, labels, id_col, label_col).collect():
+        kind = int(good == 1) + int(picked)  # bad, tested good, picked good
+        cells.setdefault((stratum, rule), [[0] * (len(GRID) + 1) for _ in range(3)])[kind][cell] += n
+    tested, power = [], []
+    for (stratum, rule), (bad, *goods) in sorted(cells.items()):
         # grid values in ascending order; a document in cell c exceeds the c smallest
         for i, cutoff in enumerate(sorted(GRID)):
-            counts.append((stratum, rule, cutoff, sum(good), sum(good[i + 1:]), sum(bad), sum(bad[i + 1:])))
-    return choose_cutoffs(counts, alpha, delta)
+            for out, good in zip((tested, power), goods, strict=True):
+                out.append((stratum, rule, cutoff, sum(good), sum(good[i + 1:]), sum(bad), sum(bad[i + 1:])))
+    return choose_cutoffs(tested, alpha, delta, power_shares(power, alpha))
 
 
 def quality_rules(documents: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA,

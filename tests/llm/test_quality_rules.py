@@ -83,3 +83,27 @@ def test_rules_reject_junk(spark):
     assert all(kept[i] == (i % 4 > 0) for i in kept)
     none = R.quality_rules(df.drop("lang"), labels.where("false")).where("kept").count()
     assert none == 4000
+
+
+def test_bad_documents_go_in_every_language(spark):
+    rnd = random.Random(3)
+
+    def text(bad):
+        return " ".join(("%%% " if bad else "") + "".join(rnd.choices("abcdefgh", k=5)) for _ in range(40))
+    docs = [(i, text(i % 10 == 0), lang) for i, lang in enumerate(["de", "en", "es", "fr"] * 340)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 10 > 0)) for i in range(len(docs))], "doc_id long, quality int")
+    rows = R.quality_rules(df, labels).collect()
+    assert all(r.kept == (r.doc_id % 10 > 0) for r in rows)
+
+
+def test_fixed_sequence_and_power_shares():
+    def row(cutoff, good_out, bad_out, good=5000, rule="symbols"):
+        return ("en", rule, cutoff, good, good_out, 400, bad_out)
+    # a pass below the first failure does not count
+    assert R.choose_cutoffs([row(.1, 0, 100), row(.05, 400, 300), row(.02, 0, 390)]) == {("en", "symbols"): .1}
+    shares = R.power_shares([row(.1, 0, 300), row(.05, 4000, 400), row(.3, 0, 100, rule="upper")])
+    assert shares["en", "symbols"] == pytest.approx(.9) and shares["en", "upper"] == pytest.approx(.1)
+    # one rule with all the power needs log(delta) / log(1 - alpha) = 59 good documents
+    for good, want_ in ((58, {}), (59, {("en", "symbols"): .1})):
+        assert R.choose_cutoffs([row(.1, 0, 300, good)], shares={("en", "symbols"): 1.0}) == want_
