@@ -202,11 +202,13 @@ def is_contaminated():
 
 def keep_clean(documents: DataFrame, benchmark: DataFrame, window: int = 13,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that are not contaminated, with all their columns.  Rows
-    with a null doc_id stay; rows that share an id go together."""
-    judged = decontaminate(documents, benchmark, window, id_col, text_col)
+    """The documents that are not contaminated, with all their columns.  A
+    verdict is one of the text alone, so rows are found again by a hash of
+    their text: each goes or stays by its own, whatever its doc_id."""
+    key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    judged = decontaminate(documents.withColumn("_llm_t", key), benchmark, window, "_llm_t", text_col)
     gone = judged.where(is_contaminated()).select(F.col("doc_id").alias("_gone")).distinct()
-    return documents.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    return documents.join(gone, key == F.col("_gone"), "left_anti")
 
 
 def digest(judged: DataFrame) -> DataFrame:

@@ -77,3 +77,13 @@ def test_edge_rows(spark):
     assert run(spark, docs, items) == brute(docs, items)
     assert run(spark, docs, []) == brute(docs, [])
     assert run(spark, [], items) == []
+
+
+def test_keep_clean_with_null_and_shared_ids(spark):
+    item = " ".join(f"w{i}" for i in range(20))
+    docs = [(None, item, "a"), (None, "clean text", "b"), (None, None, "c"), (2, item, "d"), (2, "clean too", "e"),
+            (2, "", "f"), (3, item, "g"), (3, item, "h"), (4, "clean", "i"), (4, "clean", "j")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(3)
+    clean = D.keep_clean(df, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert clean.columns == df.columns
+    assert sorted(r.lang for r in clean.collect()) == ["b", "c", "e", "f", "i", "j"]
