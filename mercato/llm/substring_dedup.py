@@ -77,7 +77,7 @@ def unplanes(b: bytes, kind: type, n: int) -> np.ndarray:
 
 
 ANCHOR_ROWS = ("bucket int, docs binary, texts binary, counts binary, n_docs int, hash binary, "
-               "context binary, place binary, n int, d long, t long, settled array<int>, "
+               "context binary, known binary, place binary, n int, d long, t long, settled array<int>, "
                "compare array<int>")
 MARKS = "d long, t long, settled array<int>, compare array<int>"
 
@@ -142,14 +142,15 @@ def _settle_chunk(ids, texts, doc, place, h, c, buckets: int) -> Iterator[dict]:
     bucket = ((h[at] >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
     by = np.lexsort((place[at], doc[at], bucket))
     at, bucket, known = at[by], bucket[by], known[by]
-    flagged = (c[at] & np.uint32(0x7FFFFFFF)) | (known.astype(np.uint32) << np.uint32(31))
+    c = c[at]
     cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(at) else np.zeros(0, int)
     for lo, hi in zip(cuts, np.r_[cuts[1:], len(at)] if len(at) else [], strict=True):
         d, counts = np.unique(doc[at[lo:hi]], return_counts=True)
         yield {"bucket": int(bucket[lo]), "n": int(hi - lo), "n_docs": len(d),
                "docs": planes(ids[d]), "texts": planes(texts[d]),
                "counts": planes(counts.astype(np.uint32)),
-               "hash": h[at[lo:hi]].tobytes(), "context": flagged[lo:hi].tobytes(),
+               "hash": h[at[lo:hi]].tobytes(), "context": c[lo:hi].tobytes(),
+               "known": known[lo:hi].tobytes(),
                "place": planes(place[at[lo:hi]].astype(np.uint32))}
 
 
@@ -162,7 +163,7 @@ _INTS = pa.list_(pa.int32())
 _ANCHOR_SCHEMA = pa.schema([
     ("bucket", pa.int32()), ("docs", pa.binary()), ("texts", pa.binary()), ("counts", pa.binary()),
     ("n_docs", pa.int32()), ("hash", pa.binary()), ("context", pa.binary()),
-    ("place", pa.binary()), ("n", pa.int32()), ("d", pa.int64()), ("t", pa.int64()),
+    ("known", pa.binary()), ("place", pa.binary()), ("n", pa.int32()), ("d", pa.int64()), ("t", pa.int64()),
     ("settled", _INTS), ("compare", _INTS)])
 _MARK_SCHEMA = pa.schema([("d", pa.int64()), ("t", pa.int64()), ("settled", _INTS),
                           ("compare", _INTS)])
@@ -191,7 +192,7 @@ def _anchors(window: int, buckets: int):
         c = W.mix(W.range_sums(hashes, at - before, at + length + after, 2)
                   + (before * 64 + after).astype(np.uint64))
         return (part.column("_d").to_numpy(), part.column("_t").to_numpy(), w.row[at], place[at],
-                h, (c >> np.uint64(33)).astype(np.uint32))
+                h, c)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []
@@ -231,7 +232,8 @@ def _settle_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         doc = np.repeat(np.arange(len(ids)), counts)
         place = np.concatenate([unplanes(r["place"], np.uint32, r["n"]) for r in held]).astype(np.int64)
         h = np.concatenate([np.frombuffer(r["hash"], np.uint64) for r in held])
-        c = np.concatenate([np.frombuffer(r["context"], np.uint32) for r in held])
+        c = np.concatenate([np.frombuffer(r["context"], np.uint64) for r in held])
+        known = np.concatenate([np.frombuffer(r["known"], bool) for r in held])
         held.clear()
         by_key = np.lexsort((texts, ids))
         new = np.r_[True, (ids[by_key][1:] != ids[by_key][:-1])
@@ -239,7 +241,7 @@ def _settle_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         rank = np.empty(len(ids), dtype=np.int64)
         rank[by_key] = np.cumsum(new) - 1
         order, later, first, group, several = _judge(
-            h, c & np.uint32(0x7FFFFFFF), (rank[doc] << 32) | place, (c >> np.uint32(31)) > 0)
+            h, c, (rank[doc] << 32) | place, known)
         rows = _mark_rows(ids, texts, doc[order], place[order], np.flatnonzero(later),
                           np.flatnonzero(~later & several[group]))
         for i in range(0, len(rows), 8192):

@@ -1,9 +1,12 @@
 import hashlib
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from mercato.llm import substring_dedup as S
 from mercato.llm.substring_dedup import anchor_plan, digest, substring_dedup
 from tests.conftest import SF_SMALL
 
@@ -86,3 +89,18 @@ def test_driver_table(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     got = {r[0]: tuple(r)[1:] for r in digest(substring_dedup(docs.withColumn("h1", F.lit(1)))).collect()}
     assert got == brute([tuple(r) for r in docs.select("doc_id", "text").collect()])
+
+
+def test_contexts_are_compared_whole(monkeypatch):
+    """Contexts that agree in the upper 31 bits are different ones."""
+    mix = S.W.mix
+    monkeypatch.setattr(S.W, "mix", lambda x: mix(x) & np.uint64((1 << 33) - 1))
+    shared = " ".join(f"s{i}" for i in range(8))
+    texts = [" ".join([*(f"{d}a{i}" for i in range(13)), shared, *(f"{d}b{i}" for i in range(13))]) for d in "xyz"]
+    batches = [pa.RecordBatch.from_pydict({"_d": [i], "_t": [i], "_text": [t]}) for i, t in enumerate(texts)]
+    together = pa.Table.from_batches(batches).combine_chunks().to_batches()
+    for chunks in ([together], [[b] for b in batches]):  # in one map chunk, and in several
+        sent = [b for chunk in chunks for b in S._anchors(20, 1)(iter(chunk))]
+        rows = [r for b in S._settle_buckets(iter(sent)) for r in b.to_pylist()]
+        assert not any(r["settled"] for r in rows)
+        assert {r["d"] for r in rows if r["compare"]} == {0, 1, 2}
