@@ -4,8 +4,9 @@ A rule is ``host/path``; it fits that host and its subdomains if the url's
 path starts with the rule's, and the longest rule wins.  Other urls get the
 verdict of gradient-boosted trees on lexical features: length, depth, digit
 ratio, entropy, parameter counts and statistics of the host's suffixes.  The
-labelled urls that the trees learn from are those a rule decides, at most
-``sample`` of them (smallest hash first).
+labelled urls are those a rule decides.  The statistics count all their rows;
+the trees learn from at most ``sample`` different ones (smallest hash first,
+of each label where those would all have one).
 
 DataFrame functions only; the trees are Spark's own.
 
@@ -108,8 +109,8 @@ def parsed(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str, url
 
 def _with_statistics(rows: DataFrame, labelled: DataFrame) -> DataFrame:
     """Smoothed share of blocked urls and the count of each suffix, as labelled."""
-    for s in SUFFIXES:
-        stats = labelled.groupBy(F.col(s).alias(f"_{s}")).agg(
+    for s, pattern in SUFFIXES.items():
+        stats = labelled.groupBy(F.regexp_extract("host", pattern, 0).alias(f"_{s}")).agg(
             ((F.sum("label") + 1) / (F.count("*") + 2)).alias(f"{s}_blocked"),
             F.log1p(F.count("*")).alias(f"{s}_seen"))
         rows = (rows.join(stats, F.col(s) == F.col(f"_{s}"), "left").drop(f"_{s}")
@@ -117,26 +118,41 @@ def _with_statistics(rows: DataFrame, labelled: DataFrame) -> DataFrame:
     return rows
 
 
+def _fitting_sample(labelled: DataFrame, sample: int) -> DataFrame:
+    """At most ``sample`` different urls with their labels; both labels, if
+    there are both."""
+    urls = labelled.select("url", "label").distinct()
+    smallest = [F.xxhash64("url"), F.col("url")]
+    chosen = urls.orderBy(*smallest).limit(sample)
+    if chosen.agg(F.count_distinct("label")).first()[0] > 1:
+        return chosen
+    share = max(1, sample // 2)
+    return (urls.where("label = 0").orderBy(*smallest).limit(share)
+            .union(urls.where("label = 1").orderBy(*smallest).limit(share)))
+
+
 def url_verdicts(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, sample: int = SAMPLE,
                  rounds: int = 10, depth: int = 3, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """page_id, url, host, path, rule, verdict and, where no rule fits, the
     trees' probability of ``block``."""
     rows = parsed(pages, rules, id_col, url_col)
-    # the sample is taken from few columns and only then measured
-    chosen = (pages.select(F.col(url_col).cast("string").alias("url"))
-              .withColumn("fit", rule_for(host_of(F.col("url")), path_of(F.col("url")), rules))
-              .where("fit IS NOT NULL").select("url").orderBy(F.xxhash64("url"), "url").limit(sample))
-    labelled = (parsed(chosen, rules, "url", "url")
-                .withColumn("label", (F.col("fit.verdict") == "block").cast("double")))
+    # labels, counted and sampled from few columns; only the sample is measured
+    url = F.col(url_col).cast("string")
+    labelled = (pages.select(url.alias("url"), host_of(url).alias("host"), rule_for(host_of(url), path_of(url), rules).alias("fit"))
+                .where("fit IS NOT NULL")
+                .select("url", "host", (F.col("fit.verdict") == "block").cast("double").alias("label")))
     n, blocked = labelled.agg(F.count("*"), F.sum("label")).first()
     if n == 0 or blocked in (0, n):
         judged = rows.withColumn("p_block", F.lit(float(n > 0 and blocked == n)))
     else:
+        chosen = _fitting_sample(labelled, sample)
+        measured = (parsed(chosen.select("url"), rules, "url", "url")
+                    .withColumn("label", (F.col("fit.verdict") == "block").cast("double")))
         names = [*lexical(F.col("url"), F.col("host"), F.col("path")),
                  *(f"{s}_{x}" for s in SUFFIXES for x in ("blocked", "seen"))]
         vector = VectorAssembler(inputCols=names, outputCol="features")
         trees = GBTClassifier(labelCol="label", maxIter=rounds, maxDepth=depth, stepSize=0.3, seed=SEED)
-        model = trees.fit(vector.transform(_with_statistics(labelled, labelled)).select("features", "label"))
+        model = trees.fit(vector.transform(_with_statistics(measured, labelled)).select("features", "label"))
         scored = model.transform(vector.transform(_with_statistics(rows, labelled)))
         judged = scored.withColumn("p_block", vector_to_array("probability")[1])
     return judged.select(

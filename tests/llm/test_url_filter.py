@@ -88,3 +88,15 @@ def test_trees_learn_what_the_rules_label(spark):
 def test_plan_has_no_python(spark):
     plan = U.url_verdicts(spark.read.parquet(f"{SF_CHECK}/pages.parquet"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "html" not in plan.split("Physical Plan")[1]
+
+
+def test_statistics_cover_all_labels_and_copies_do_not_fill_the_sample(spark):
+    rnd = random.Random(6)
+    truth = {f"h{i:03d}x.com": rnd.choice(["allow", "block"]) for i in range(100, 200)}
+    rules = [(v, h, "/r/") for h, v in truth.items()]
+    urls = [f"http://{h}/{kind}/page" for h in truth for kind in "ru"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    hot = df.where("contains(url, '/r/')").orderBy(F.xxhash64("url")).first().url
+    got = U.url_verdicts(df.union(spark.createDataFrame([(-1, hot)] * 300, df.schema)), rules, sample=40).collect()
+    assert len(got) == 500
+    assert all(r.verdict == truth[r.host] for r in got)
