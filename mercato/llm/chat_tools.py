@@ -85,6 +85,26 @@ def schema_error(value: Any, schema: dict, at: str = "") -> str | None:
     return None
 
 
+_CHECKS = {"type", "enum", "properties", "required", "additionalProperties", "items", "minimum", "maximum",
+           "minLength", "maxLength"}
+_NOTES = {"title", "description", "default", "examples", "deprecated", "$schema", "$id", "$comment"}
+
+
+def check_schema(schema: Any, at: str = "") -> None:
+    """Raise ``ValueError`` if a schema uses what ``schema_error`` does not check."""
+    if not isinstance(schema, dict):
+        raise ValueError(f"unsupported schema at {at or '.'}: {schema!r}")
+    unknown = sorted(set(schema) - _CHECKS - _NOTES)
+    if not isinstance(schema.get("additionalProperties", True), bool):
+        unknown.append("additionalProperties with a schema")
+    if unknown:
+        raise ValueError(f"unsupported schema keywords at {at or '.'}: {', '.join(unknown)}")
+    for name, part in schema.get("properties", {}).items():
+        check_schema(part, f"{at}/{name}")
+    if "items" in schema:
+        check_schema(schema["items"], f"{at}/items")
+
+
 def references(value: Any) -> set[str]:
     if isinstance(value, dict):
         if set(value) == {"$ref"} and isinstance(value["$ref"], str):
@@ -114,6 +134,9 @@ _CHECKED = ("conv_id long, call_id string, turn long, name string, arguments str
 
 
 def check_calls(calls: DataFrame, schemas: dict[str, dict]) -> DataFrame:
+    for name, schema in schemas.items():
+        check_schema(schema, name)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = [checked_arguments(n, a, schemas) for n, a in

@@ -133,3 +133,13 @@ def test_driver_table(spark):
             assert (line["result"] or {}).get("content") == answer and C.canonical(line) == r.json
         else:
             assert (r.conv_id, r.result_turn - 1) not in users
+
+
+@pytest.mark.parametrize("part", [{"const": 1}, {"pattern": "a"}, {"anyOf": []}, {"exclusiveMinimum": 0}, {"minItems": 1},
+                                  {"uniqueItems": True}, {"additionalProperties": {"type": "string"}}, True])
+def test_unsupported_schemas_are_errors(part):
+    for schema in (part, {"properties": {"a": part}}, {"items": {"items": part}}):
+        with pytest.raises(ValueError, match="unsupported"):
+            C.check_calls(None, {"tool": schema})
+    for schema in (*SCHEMAS.values(), *C.REPLY.values()):
+        C.check_schema(schema)
