@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from mercato.llm import (
-    chat_tools, decontaminate, mil_quality, mixing, quality_rules, secrets_cnn, simhash, substring_dedup, url_filter, warc,
+    bpe, chat_tools, decontaminate, mil_quality, mixing, quality_rules, secrets_cnn, simhash, substring_dedup, url_filter, warc,
 )
 from mercato.llm.store import ship
 
@@ -61,5 +61,16 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digest(warc.round_trip(table(spark, sf_dir, "pages")))
 
 
+def op13_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    if vocabulary is None:
+        import public_tokenizers  # installed beside the vocabulary files
+
+        vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    tables = bpe.load(vocabulary)
+    coded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), tables)
+    return bpe.digest(bpe.decode(coded.drop("text"), tables))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_mixing, op3_tool_calls, op4_simhash_dedup, op5_url_filter, op6_secrets, op7_quality, op8_decontaminate, op9_quality_rules, op10_warc)}
+    f.__name__: f for f in (op1_substring_dedup, op2_mixing, op3_tool_calls, op4_simhash_dedup, op5_url_filter, op6_secrets, op7_quality, op8_decontaminate, op9_quality_rules, op10_warc,
+                                op13_bpe)}
