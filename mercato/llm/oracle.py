@@ -163,3 +163,68 @@ SELECT p.doc_id, p.size, p.source_size, p.target,
        (p.passes * p.size + coalesce(part.words, 0))::BIGINT AS taken
 FROM placed p LEFT JOIN part ON p.h = part.h
 """
+
+ORACLE["op11_hard_negatives"] = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+           list_inner_product(a.q, b.q)::BIGINT AS score
+    FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+pos AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM (
+    SELECT p.anchor_id, p.positive_id, p.positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+           row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+    FROM pos p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same
+     AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score)
+WHERE rank <= 10
+"""
+
+
+def _codes_sql() -> str:
+    """Two rounds and the last assignment, each as its own pair of steps."""
+    step = """
+a{r} AS (
+    SELECT v.vec_id, v.part, min({{'d': (v.x1 - c.x1) ** 2 + (v.x2 - c.x2) ** 2 + (v.x3 - c.x3) ** 2 + (v.x4 - c.x4) ** 2,
+                                  'e': c.entry}}) AS best
+    FROM v JOIN c{r} c USING (part) GROUP BY v.vec_id, v.part)"""
+    update = """
+c{n} AS (
+    SELECT c.part, c.entry, coalesce(m.x1, c.x1) AS x1, coalesce(m.x2, c.x2) AS x2,
+           coalesce(m.x3, c.x3) AS x3, coalesce(m.x4, c.x4) AS x4
+    FROM c{r} c LEFT JOIN (
+        SELECT v.part, a.best.e AS entry, floor(sum(v.x1) / count(*)) AS x1, floor(sum(v.x2) / count(*)) AS x2,
+               floor(sum(v.x3) / count(*)) AS x3, floor(sum(v.x4) / count(*)) AS x4
+        FROM v JOIN a{r} a USING (vec_id, part) GROUP BY v.part, a.best.e) m USING (part, entry))"""
+    steps = [step.format(r=0), update.format(r=0, n=1), step.format(r=1), update.format(r=1, n=2), step.format(r=2)]
+    return """
+WITH q AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS (
+    SELECT vec_id, part, q[4 * part + 1] AS x1, q[4 * part + 2] AS x2, q[4 * part + 3] AS x3, q[4 * part + 4] AS x4
+    FROM q, range(16) AS p(part)),
+c0 AS (
+    SELECT part, dense_rank() OVER (ORDER BY vec_id) - 1 AS entry, x1, x2, x3, x4
+    FROM v WHERE vec_id IN (SELECT vec_id FROM q ORDER BY vec_id LIMIT 64)),
+""" + ",".join(steps) + """,
+coded AS (
+    SELECT vec_id, string_agg(format('{:02x}', best.e::BIGINT), '' ORDER BY part) AS code, sum(best.d)::BIGINT AS error
+    FROM a2 GROUP BY vec_id)
+SELECT coded.vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+       (SELECT sha256(string_agg(concat_ws(',', x1::BIGINT, x2::BIGINT, x3::BIGINT, x4::BIGINT), ',' ORDER BY part, entry))
+        FROM c2) AS codebooks_sha256
+FROM coded JOIN q ON coded.vec_id = q.vec_id
+"""
+
+
+#: For vectors of 64 components, cut into parts of four.
+ORACLE["op12_vector_codes"] = _codes_sql()

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from mercato.llm import (
-    bpe, chat_tools, decontaminate, mil_quality, mixing, quality_rules, secrets_cnn, simhash, substring_dedup, url_filter, warc,
+    bpe, chat_tools, decontaminate, hard_negatives, mil_quality, mixing, quality_rules, secrets_cnn, simhash, substring_dedup,
+    url_filter, vector_codes, warc,
 )
 from mercato.llm.store import ship
 
@@ -61,6 +63,16 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digest(warc.round_trip(table(spark, sf_dir, "pages")))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors.withColumn("label", label), F.col("id") % 100 == 0)
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.digest(*vector_codes.vector_codes(table(spark, sf_dir, "embeddings")))
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
     if vocabulary is None:
         import public_tokenizers  # installed beside the vocabulary files
@@ -72,5 +84,6 @@ def op13_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) ->
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_mixing, op3_tool_calls, op4_simhash_dedup, op5_url_filter, op6_secrets, op7_quality, op8_decontaminate, op9_quality_rules, op10_warc,
-                                op13_bpe)}
+    f.__name__: f for f in (
+        op1_substring_dedup, op2_mixing, op3_tool_calls, op4_simhash_dedup, op5_url_filter, op6_secrets, op7_quality,
+        op8_decontaminate, op9_quality_rules, op10_warc, op11_hard_negatives, op12_vector_codes, op13_bpe)}

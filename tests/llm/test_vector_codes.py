@@ -1,0 +1,106 @@
+import hashlib
+import math
+import random
+
+import numpy as np
+import pytest
+
+from mercato.llm import vector_codes as vc
+
+SCHEMA = "vec_id long, embedding array<double>, label int, code int, q string, id int"
+
+
+def brute(rows, parts, entries, rounds=2):
+    """Every part against every entry, in plain Python."""
+    kept = [(i, lab, [math.floor(256 * x) for x in v]) for i, v, lab, *_ in rows
+            if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    lengths = [len(q) for *_, q in kept]
+    width = max(set(lengths), key=lambda n: (lengths.count(n), n), default=0)
+    kept = [r for r in kept if len(r[2]) == width]
+    d = width // parts
+    cut = [[q[j * d:(j + 1) * d] for j in range(parts)] for *_, q in kept]
+    start = sorted(range(len(kept)), key=lambda k: (kept[k][0] is None, kept[k][0] or 0, kept[k][2]))[:entries]
+    books = [[list(cut[k][j]) for k in start] for j in range(parts)]
+
+    def nearest():
+        return [[min((sum((a - b) ** 2 for a, b in zip(x[j], e)), n) for n, e in enumerate(books[j])) for j in range(parts)] for x in cut]
+    for _ in range(rounds):
+        got = nearest()
+        for j in range(parts):
+            for n in range(len(books[j])):
+                own = [x[j] for x, g in zip(cut, got) if g[j][1] == n]
+                if own:
+                    books[j][n] = [sum(c) // len(own) for c in zip(*own)]
+    out = []
+    for (i, lab, _), g in zip(kept, nearest()):
+        out.append((i, lab, "".join(f"{n:02x}" for _, n in g), sum(e for e, _ in g)))
+    of = {}
+    for _, lab, _, e in out:
+        of[lab] = of.get(lab, 0) + e
+    sha = hashlib.sha256(",".join(str(c) for b in books for e in b for c in e).encode()).hexdigest()
+    return sorted(((i, code, e, of[lab], sha) for i, lab, code, e in out), key=str)
+
+
+def coded(spark, rows, parts=4, entries=8, **kw):
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    return sorted((tuple(r) for r in vc.digest(*vc.vector_codes(df, parts=parts, entries=entries, **kw)).collect()), key=str)
+
+
+def vectors(n, dim, seed, values=None):
+    r = random.Random(seed)
+    pick = (lambda: r.choice(values)) if values else (lambda: r.uniform(-1, 1))
+    return [(i * 3 - 50, [pick() for _ in range(dim)], r.choice([0, 1, 2, None]), 1, "x", 2) for i in range(n)]
+
+
+def test_against_brute_force(spark):
+    rows = vectors(150, 12, 1)
+    assert coded(spark, rows) == brute(rows, 4, 8)
+    assert coded(spark, rows, rounds=0) == brute(rows, 4, 8, rounds=0)
+    assert coded(spark, rows, rounds=4) == brute(rows, 4, 8, rounds=4)
+
+
+def test_ties_repeated_and_unusable_rows(spark):
+    rows = vectors(60, 8, 2, values=[0.0, 1 / 256, -1 / 256, 0.5])
+    rows += rows[:20] * 3 + [(None, [0.5] * 8, 1, 1, "x", 2)] * 30
+    rows += [(5, None, 1, 1, "x", 2), (6, [None] * 8, 1, 1, "x", 2), (7, [float("nan")] * 8, 1, 1, "x", 2),
+             (8, [float("-inf")] * 8, 1, 1, "x", 2), (9, [], 1, 1, "x", 2), (10, [1.0] * 4, 1, 1, "x", 2)]
+    assert coded(spark, rows) == brute(rows, 4, 8)
+
+
+def test_few_rows_none_and_empty_vectors(spark):
+    rows = vectors(3, 4, 3)
+    assert coded(spark, rows) == brute(rows, 4, 8)
+    assert coded(spark, []) == []
+    assert coded(spark, [(1, [], 1, 1, "x", 2), (2, [], None, 1, "x", 2)]) == brute([(1, [], 1), (2, [], None)], 4, 8)
+    with pytest.raises(ValueError):
+        coded(spark, [(1, [1.0] * 6, 1, 1, "x", 2)])
+
+
+def test_large_components_stay_exact(spark):
+    rows = [(i, [float(r.randint(-(1 << 17), 1 << 17)) for _ in range(8)], 1, 1, "x", 2) for r in [random.Random(5)] for i in range(40)]
+    assert coded(spark, rows) == brute(rows, 4, 8)
+
+
+def test_active_entries_save_work_and_change_nothing():
+    r = np.random.default_rng(4)
+    for seed in range(30):
+        x = r.integers(-3, 4, (200, 2, 3))
+        books = r.integers(-3, 4, (2, 16, 3))
+        codes, dists = vc.assign(x, books)
+        new, moved = books.copy(), np.zeros((2, 16), dtype=bool)
+        moved[:, r.choice(16, seed % 6, replace=False)] = True
+        new[moved] += r.integers(-2, 3, (moved.sum(), 3))
+        got = vc.reassign(x, codes, dists, new, moved)
+        want = vc.assign(x, new)
+        assert (got[0] == want[0]).all() and (got[1] == want[1]).all()
+        still = sum((~moved[j][codes[:, j]]).sum() for j in range(2))
+        assert got[2] == sum((~moved[j][codes[:, j]]).sum() * moved[j].sum() + moved[j][codes[:, j]].sum() * 16 for j in range(2))
+        assert got[2] < 200 * 2 * 16 or not still
+
+
+def test_decode_gives_the_entries(spark):
+    df = spark.createDataFrame(vectors(50, 8, 6), SCHEMA)
+    out, books = vc.vector_codes(df, parts=4, entries=8)
+    source = {r.vec_id: [math.floor(256 * x) for x in r.embedding] for r in df.collect()}
+    for r in vc.decode(out, books).collect():
+        assert sum((a - b) ** 2 for a, b in zip(r.approx, source[r.vec_id])) == r.error
