@@ -22,12 +22,14 @@ TWELVE_HOURS = 12 * 3600
 
 def sessionize(events: DataFrame, user: str = "user_id", ts: str = "ts",
                tiebreak: str = "event_id", gap_seconds: int = TWELVE_HOURS,
-               bucket_seconds: int = 86400, next_of: Sequence[str] = ()) -> DataFrame:
+               bucket_seconds: int = 86400, next_of: Sequence[str] = (),
+               keep_bucket: bool = False) -> DataFrame:
     """Events plus ``session_seq`` / ``session_id`` (``"<user>-<seq>"``) and
     ``_us``; with ``next_of`` also ``next_<c>`` for the following event of the
-    same session (NULL at a session's last event)."""
+    same session (NULL at a session's last event), with ``keep_bucket`` the
+    bucket ``_b`` of the user's time line (for ``funnel.ordered_steps``)."""
     d = assign_sessions(events, user, ts, tiebreak, gap_seconds, bucket_seconds,
-                        carry_next=next_of)
+                        carry_next=next_of, keep_bucket=keep_bucket)
     d = d.withColumn("session_id", F.concat_ws("-", F.col(user).cast("string"),
                                                F.col("session_seq").cast("string")))
     if next_of:

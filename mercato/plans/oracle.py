@@ -507,3 +507,72 @@ ORACLE: dict[str, str] = {
                p.creation_date, l.first_price_date, p.creation_date = l.first_price_date AS date_matches
         FROM clean_products p LEFT JOIN l ON p.product_id = l.product_id"""),
 }
+
+PRICED = """
+  SELECT l_orderkey AS transaction_id, l_linenumber AS line_number, l_partkey AS product_id, l_shipdate AS sold_at,
+         """ + HU("l_extendedprice / l_quantity") + """ AS unit_price FROM lineitem"""
+
+ORACLE |= {
+    # ---- G on time lines
+    "price_at_sale": f"""
+        WITH priced AS ({PRICED}),
+        list AS (SELECT product_id, sold_at AS since, max(unit_price) AS price FROM priced
+                 WHERE line_number = 1 GROUP BY 1, 2)
+        SELECT p.transaction_id, p.line_number, p.product_id, p.sold_at, p.unit_price, l.price AS list_price,
+               l.since AS list_price_since, p.unit_price = l.price AS price_ok,
+               sign((p.unit_price - l.price) / l.price * {D(100)})
+               * """ + HU(f"abs((p.unit_price - l.price) / l.price * {D(100)})") + """ AS deviation_pct
+        FROM priced p ASOF LEFT JOIN list l ON p.product_id = l.product_id AND p.sold_at >= l.since""",
+    "stock_timeline": """
+        WITH moves AS (
+            SELECT l_partkey AS product_id, l_shipdate AS moved_at, l_orderkey AS transaction_id, l_linenumber AS line_number,
+                   -CAST(l_quantity AS BIGINT) AS quantity FROM lineitem
+            UNION ALL
+            SELECT l_partkey, l_shipdate + INTERVAL 30 DAY, l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT)
+            FROM lineitem WHERE l_returnflag = 'R'),
+        run AS (
+            SELECT m.*, p.p_size * 20 + sum(quantity) OVER line AS stock, row_number() OVER line AS pos
+            FROM moves m JOIN part p ON m.product_id = p.p_partkey
+            WINDOW line AS (PARTITION BY m.product_id ORDER BY moved_at, transaction_id, line_number, quantity
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+        per AS (
+            SELECT product_id, count(*) AS n, sum(CASE WHEN quantity < 0 THEN -quantity ELSE 0 END) AS units_out,
+                   sum(CASE WHEN quantity > 0 THEN quantity ELSE 0 END) AS units_in, min(stock) AS lowest,
+                   min(pos) FILTER (WHERE stock < 0) AS first_pos
+            FROM run GROUP BY product_id)
+        SELECT p.p_partkey AS product_id, CAST(p.p_size * 20 AS BIGINT) AS opening_stock,
+               coalesce(per.n, 0) AS n_movements, CAST(coalesce(per.units_out, 0) AS BIGINT) AS units_out,
+               CAST(coalesce(per.units_in, 0) AS BIGINT) AS units_in,
+               CAST(p.p_size * 20 - coalesce(per.units_out, 0) + coalesce(per.units_in, 0) AS BIGINT) AS closing_stock,
+               CAST(least(p.p_size * 20, coalesce(per.lowest, p.p_size * 20)) AS BIGINT) AS lowest_stock,
+               f.moved_at AS oversold_at, f.transaction_id AS oversold_transaction, f.line_number AS oversold_line,
+               CAST(-f.stock AS BIGINT) AS units_missing
+        FROM part p LEFT JOIN per ON p.p_partkey = per.product_id
+        LEFT JOIN run f ON f.product_id = per.product_id AND f.pos = per.first_pos""",
+}
+
+FUNNEL = """
+    , pos AS (SELECT *, row_number() OVER (PARTITION BY user_id, session_seq ORDER BY ts, event_id) AS pos FROM ev2),
+    v AS (SELECT user_id, session_seq, count(*) AS n_events, min(pos) FILTER (WHERE event_type = 'view') AS p1
+          FROM pos GROUP BY 1, 2),
+    c AS (SELECT v.user_id, v.session_seq, v.n_events, v.p1, min(pos.pos) FILTER (WHERE event_type = 'click' AND pos.pos > v.p1) AS p2
+          FROM v JOIN pos USING (user_id, session_seq) GROUP BY 1, 2, 3, 4),
+    taken AS (SELECT c.user_id, c.session_seq, c.n_events,
+                     CASE WHEN c.p1 IS NULL THEN 0 WHEN c.p2 IS NULL THEN 1
+                          WHEN count(*) FILTER (WHERE event_type = 'purchase' AND pos.pos > c.p2) = 0 THEN 2 ELSE 3 END AS steps_taken
+              FROM c JOIN pos USING (user_id, session_seq) GROUP BY 1, 2, 3, c.p1, c.p2)"""
+
+ORACLE |= {
+    "ordered_funnel": sql(["ev2"], FUNNEL + """
+        SELECT CAST(user_id AS VARCHAR) || '-' || CAST(session_seq AS VARCHAR) AS session_id, user_id,
+               CAST(n_events AS BIGINT) AS n_events, CAST(steps_taken AS INTEGER) AS steps_taken,
+               CASE steps_taken WHEN 1 THEN 'view' WHEN 2 THEN 'cart' WHEN 3 THEN 'checkout' END AS furthest_step
+        FROM taken"""),
+    "funnel_steps": sql(["ev2"], FUNNEL + """
+        , n AS (SELECT step, step_name, count(*) FILTER (WHERE steps_taken >= step) AS sessions, count(*) AS total,
+                       count(*) FILTER (WHERE steps_taken >= step - 1) AS prior
+                FROM taken, (VALUES (1, 'view'), (2, 'cart'), (3, 'checkout')) s(step, step_name) GROUP BY 1, 2)
+        SELECT CAST(step AS INTEGER) AS step, step_name, sessions, """ + HU("sessions * " + D(100) + " / total") + """ AS pct_of_sessions,
+               """ + HU("sessions * " + D(100) + " / nullif(prior, 0)") + """ AS pct_of_previous
+        FROM n"""),
+}

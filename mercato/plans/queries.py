@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.operators import charts, clean, clv, enrich, quality, reports
+from mercato.operators import charts, clean, clv, enrich, funnel, quality, reports, timeline
 from mercato.operators.sessions import page_transitions
 from mercato.sources.driver import DriverTables
 
@@ -229,6 +229,23 @@ def q_price_check(t):
     return quality.price_check(clean.clean_products(t.products()), t.price_points())
 
 
+# -- G: the same rules on time lines -------------------------------------------
+def q_price_at_sale(t):
+    return timeline.price_at_sale(t.shipped_lines(), t.price_list())
+
+
+def q_stock_timeline(t):
+    return timeline.stock_timeline(t.opening_stock(), t.movements())
+
+
+def q_ordered_funnel(t):
+    return funnel.ordered_steps(t.session_events())
+
+
+def q_funnel_steps(t):
+    return funnel.funnel_steps(funnel.ordered_steps(t.session_events()))
+
+
 def queries() -> dict[str, Query]:
     out = {}
     for name, fn in list(globals().items()):

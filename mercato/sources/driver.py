@@ -8,6 +8,8 @@
 | transactions  | orders (header only; F/O/P -> completed/processing/shipped) |
 | txn_items     | lineitem joined to its order (one row per line item)      |
 | price_points  | distinct (part, ship date, unit price) of line items      |
+| price_list    | distinct (part, ship date, unit price) of the first line of each order |
+| movements     | line items leaving the stock when shipped, returned ones coming back 30 days later |
 | invoices      | orders with a discount from their lines' l_discount; the subtotal is the lines' sum, and the total net of the discount, for most order numbers by rule |
 | raw_*         | users, products and transactions with repeated and unusable rows added by rule, for the cleaners |
 | page_views    | events with their session and the next event of it        |
@@ -134,6 +136,33 @@ class DriverTables:
                           (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"))
                   .distinct())
 
+    def price_list(self) -> DataFrame:
+        """Prices set by the first line of an order, from its ship date on."""
+        li = self.raw("lineitem").where(F.col("l_linenumber") == 1)
+        return li.select(F.col("l_partkey").alias("product_id"), F.col("l_shipdate").alias("date"),
+                         half_up(F.col("l_extendedprice") / F.col("l_quantity")).alias("price")).distinct()
+
+    def shipped_lines(self) -> DataFrame:
+        """Line items sold when they were shipped."""
+        return self.lines(F.col("l_shipdate").alias("timestamp"))
+
+    def opening_stock(self) -> DataFrame:
+        """Twenty times the size of a part."""
+        return self.raw("part").select(F.col("p_partkey").alias("product_id"),
+                                       (F.col("p_size").cast("long") * 20).alias("opening_stock"))
+
+    def movements(self) -> DataFrame:
+        """Shipped lines leave the stock; returned ones are back 30 days later."""
+        li = self.raw("lineitem").select(
+            F.col("l_partkey").alias("product_id"), F.col("l_shipdate").alias("timestamp"),
+            F.col("l_orderkey").alias("transaction_id"), F.col("l_linenumber").alias("line_number"),
+            F.col("l_quantity").cast("long").alias("quantity"), "l_returnflag")
+        legs = F.when(F.col("l_returnflag") == "R", F.array(F.lit(-1), F.lit(1))).otherwise(F.array(F.lit(-1)))
+        d = li.withColumn("leg", F.explode(legs))
+        back = F.col("timestamp") + F.expr("INTERVAL 30 DAYS")
+        return d.select("product_id", F.when(F.col("leg") == 1, back).otherwise(F.col("timestamp")).alias("timestamp"),
+                        "transaction_id", "line_number", (F.col("quantity") * F.col("leg")).alias("quantity"))
+
     # -- orders --------------------------------------------------------
     def transactions(self) -> DataFrame:
         return self.raw("orders").select(
@@ -147,9 +176,10 @@ class DriverTables:
             F.col("o_orderpriority").alias("payment_method"),
             _status("o_orderstatus").alias("status"))
 
-    def lines(self) -> DataFrame:
+    def lines(self, *more) -> DataFrame:
         """Line items without their order; the unit price in whole cents."""
         return self.raw("lineitem").select(
+            *more,
             F.col("l_orderkey").alias("transaction_id"), F.col("l_linenumber").alias("line_number"),
             F.col("l_partkey").alias("product_id"),
             F.col("l_quantity").cast("long").alias("quantity"),
@@ -204,6 +234,10 @@ class DriverTables:
             "event_id", "ts", "user_id", "event_type",
             F.get_json_object("props", "$.k").cast("int").alias("k"))
 
+    def session_events(self) -> DataFrame:
+        return sessionize(self.raw("events").select("event_id", "ts", "user_id", "event_type"),
+                          gap_seconds=self.gap_seconds, keep_bucket=True)
+
     def page_views(self) -> DataFrame:
         d = sessionize(self._events(), gap_seconds=self.gap_seconds, next_of=["event_type"])
         return d.select("session_id", "user_id", "event_id", "ts",
