@@ -4,6 +4,8 @@
 2. ``batch_reports`` product affinity and cohorts (clean tables) -> CSV
 3. ``sql_reports``   the four SQL reports over temp views (raw tables) -> CSV
 4. ``clv_job``       CLV scores, tiers and reports -> per-user Parquet + CSV
+5. ``check_raw``     raw JSON -> Parquet tables, rejected records apart
+6. ``refresh_summary`` a batch of new transactions -> the curated purchase states
 
 Each job reads what the previous one wrote (or the raw files) and writes
 its outputs; reports go to CSV folders, per-user and per-item tables to
@@ -16,9 +18,9 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mercato.operators import clean, clv, enrich, reports
+from mercato.operators import clean, clv, enrich, reports, states
 from mercato.plans.catalog import REPORT_VIEWS, register_reports, register_views, sql_report
-from mercato.sources import readers, sinks
+from mercato.sources import readers, sinks, snapshots
 
 
 def curate(spark: SparkSession, raw_dir: str, out_dir: str) -> dict[str, int]:
@@ -42,6 +44,34 @@ def curate(spark: SparkSession, raw_dir: str, out_dir: str) -> dict[str, int]:
     return counts
 
 
+def check_raw(spark: SparkSession, raw_dir: str, out_dir: str) -> dict[str, dict[str, int]]:
+    """Raw JSON -> one Parquet table of good rows and one of rejected records
+    per raw table (``out_dir/<name>``, ``out_dir/rejected/<name>``).  Files
+    are parsed for each of the two; what comes after reads Parquet.  Returns
+    the counts."""
+    counts = {}
+    for name in readers.RAW_FILES:
+        good, rejected = readers.read_checked(spark, raw_dir, name)
+        sinks.land_raw_json(good, os.path.join(out_dir, name))
+        sinks.land_raw_json(rejected, os.path.join(out_dir, "rejected", name))
+        counts[name] = {"good": spark.read.parquet(os.path.join(out_dir, name)).count()} | {
+            r["reason"]: r["count"] for r in spark.read.parquet(os.path.join(out_dir, "rejected", name)).groupBy("reason").count().collect()}
+    return counts
+
+
+def refresh_summary(transactions: DataFrame, items: DataFrame, products: DataFrame, root: str, batch_id: str,
+                    ranges: int = snapshots.RANGES) -> snapshots.Merged:
+    """Merge a batch of new transactions into the purchase states at ``root``.
+    The same batch again changes nothing; only ranges of users that the batch
+    names are rewritten.  ``read_summary`` gives the summary."""
+    batch = states.purchase_states(transactions, items, products)
+    return snapshots.merge_batch(batch, root, batch_id, "user_id", states.merge_states, ranges)
+
+
+def read_summary(spark: SparkSession, root: str) -> DataFrame:
+    return states.summary_of(snapshots.read_snapshot(spark, root))
+
+
 def batch_reports(spark: SparkSession, raw_dir: str, out_dir: str,
                   top_n: int = 20) -> dict[str, DataFrame]:
     raw = readers.read_raw_tables(spark, raw_dir)

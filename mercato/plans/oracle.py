@@ -576,3 +576,24 @@ ORACLE |= {
                """ + HU("sessions * " + D(100) + " / nullif(prior, 0)") + """ AS pct_of_previous
         FROM n"""),
 }
+
+ORACLE |= {
+    "purchase_summary_merged": ORACLE["purchase_summary"],
+    "order_line_differences": """
+        WITH cut AS (
+            SELECT l_orderkey AS transaction_id, CASE WHEN l_orderkey % 19 = 0 THEN -l_partkey ELSE l_partkey END AS product_id,
+                   unnest(CASE WHEN l_orderkey % 13 = 0 AND l_quantity > 1 THEN [l_quantity - 1, 1]
+                               WHEN l_orderkey % 11 = 0 THEN [l_quantity + 1] ELSE [l_quantity] END) AS quantity
+            FROM lineitem WHERE l_orderkey % 17 > 0 OR l_linenumber > 1),
+        s AS (SELECT l_orderkey AS transaction_id, l_partkey AS product_id, count(*) AS n, CAST(sum(l_quantity) AS BIGINT) AS q
+              FROM lineitem GROUP BY 1, 2),
+        i AS (SELECT transaction_id, product_id, count(*) AS n, CAST(sum(quantity) AS BIGINT) AS q FROM cut GROUP BY 1, 2),
+        both_sides AS (
+            SELECT coalesce(s.transaction_id, i.transaction_id) AS transaction_id, coalesce(s.product_id, i.product_id) AS product_id,
+                   coalesce(s.n, 0) AS shipped_lines, coalesce(i.n, 0) AS invoiced_lines,
+                   coalesce(s.q, 0) AS shipped_quantity, coalesce(i.q, 0) AS invoiced_quantity,
+                   CASE WHEN i.n IS NULL THEN 'only_shipped' WHEN s.n IS NULL THEN 'only_invoiced'
+                        WHEN s.q <> i.q THEN 'quantity' WHEN s.n <> i.n THEN 'split' END AS difference
+            FROM s FULL JOIN i ON s.transaction_id = i.transaction_id AND s.product_id = i.product_id)
+        SELECT * FROM both_sides WHERE difference IS NOT NULL""",
+}

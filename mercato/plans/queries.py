@@ -12,7 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.operators import charts, clean, clv, enrich, funnel, quality, reports, timeline
+from mercato.operators import (
+    charts, clean, clv, enrich, funnel, quality, reconcile, reports, states, timeline,
+)
 from mercato.operators.sessions import page_transitions
 from mercato.sources.driver import DriverTables
 
@@ -97,6 +99,14 @@ def q_purchase_summary(t):
     return enrich.purchase_summary(t.transactions(), t.txn_items(), t.products())
 
 
+def q_purchase_summary_merged(t):
+    """The summary from the states of three batches of orders."""
+    orders, items = t.transactions(), t.txn_items()
+    batch = F.col("transaction_id") % 3
+    return states.summary_of(states.merge_states(*[
+        states.purchase_states(orders.where(batch == i), items.where(batch == i), t.products()) for i in range(3)]))
+
+
 def q_enrich_users(t):
     return enrich.flatten_user_profile(users_enriched(t))
 
@@ -234,6 +244,11 @@ def q_price_at_sale(t):
     return timeline.price_at_sale(t.shipped_lines(), t.price_list())
 
 
+def q_order_line_differences(t):
+    """Shipped lines against invoiced lines, with differences by rule."""
+    return reconcile.reconcile(t.shipped_lines(), t.invoiced_lines(), ["transaction_id", "product_id"], names=("shipped", "invoiced"))
+
+
 def q_stock_timeline(t):
     return timeline.stock_timeline(t.opening_stock(), t.movements())
 

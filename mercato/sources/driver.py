@@ -9,6 +9,7 @@
 | txn_items     | lineitem joined to its order (one row per line item)      |
 | price_points  | distinct (part, ship date, unit price) of line items      |
 | price_list    | distinct (part, ship date, unit price) of the first line of each order |
+| invoiced_lines | line items with missing, changed, cut and renamed ones by rule |
 | movements     | line items leaving the stock when shipped, returned ones coming back 30 days later |
 | invoices      | orders with a discount from their lines' l_discount; the subtotal is the lines' sum, and the total net of the discount, for most order numbers by rule |
 | raw_*         | users, products and transactions with repeated and unusable rows added by rule, for the cleaners |
@@ -146,6 +147,16 @@ class DriverTables:
         """Line items sold when they were shipped."""
         return self.lines(F.col("l_shipdate").alias("timestamp"))
 
+    def invoiced_lines(self) -> DataFrame:
+        """Line items as invoiced: by rule some are missing, some have another
+        quantity, some are cut in two or stand for another product."""
+        li, id_ = self.lines(), F.col("transaction_id")
+        q = F.col("quantity")
+        cut = F.when((id_ % 13 == 0) & (q > 1), F.array(q - 1, F.lit(1).cast("long"))).when(
+            id_ % 11 == 0, F.array(q + 1)).otherwise(F.array(q))
+        return (li.where((id_ % 17 > 0) | (F.col("line_number") > 1)).withColumn("quantity", F.explode(cut))
+                .withColumn("product_id", F.when(id_ % 19 == 0, -F.col("product_id")).otherwise(F.col("product_id"))))
+
     def opening_stock(self) -> DataFrame:
         """Twenty times the size of a part."""
         return self.raw("part").select(F.col("p_partkey").alias("product_id"),

@@ -1,0 +1,50 @@
+import random
+from collections import Counter
+
+from mercato.operators import reconcile as rc
+from mercato.sources.schemas import SESSIONS, TRANSACTIONS
+from tests import fixtures as fx
+
+LINE = "session_id string, product_id string, quantity long"
+
+
+def brute(left, right):
+    out = {}
+    for key in {x[:2] for x in left + right}:
+        a, b = ([x[2] or 0 for x in side if x[:2] == key] for side in (left, right))
+        kind = "only_left" if not b else "only_right" if not a else "quantity" if sum(a) != sum(b) else "split" if len(a) != len(b) else None
+        if kind:
+            out[key] = (len(a), len(b), sum(a), sum(b), kind)
+    return out
+
+
+def test_against_brute_force(spark):
+    r = random.Random(1)
+    line = lambda: (r.choice(["hot"] * 6 + ["s1", "s2", "s3", None]), r.choice(["p1", "p2", "p3", "p4", None]), r.choice([1, 2, 3, None]))
+    for n, m in ((200, 200), (8, 8), (0, 5), (5, 0), (0, 0)):
+        left, right = [line() for _ in range(n)], [line() for _ in range(m)]
+        got = rc.reconcile(spark.createDataFrame(left, LINE), spark.createDataFrame(right, LINE), ["session_id", "product_id"])
+        want = brute(left, right)
+        assert {(x[0], x[1]): tuple(x[2:]) for x in got.collect()} == want
+        assert {x.difference: x.n_keys for x in rc.difference_counts(got).collect()} == dict(Counter(v[-1] for v in want.values()))
+
+
+def test_one_aggregate_and_no_join(spark):
+    df = spark.createDataFrame([("s", "p", 1)], LINE)
+    plan = rc.reconcile(df, df, ["session_id", "product_id"])._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1
+
+
+def test_carts_against_orders_of_nested_documents(spark):
+    base = {f.name: None for f in SESSIONS.fields}
+    cart = lambda **q: {p: (n, 1.0) for p, n in q.items()}
+    docs = [base | {"session_id": s, "conversion_status": c, "cart_contents": k} for s, c, k in [
+        ("ok", "converted", cart(p1=2, p2=1)), ("less", "converted", cart(p1=3)), ("none", "converted", cart(p1=1, p9=0)),
+        ("left", "abandoned", cart(p1=5)), ("empty", "converted", None)]]
+    sessions = spark.createDataFrame([tuple(d[f.name] for f in SESSIONS.fields) for d in docs], SESSIONS)
+    tx = lambda s, *items: ("t" + str(s), s, "u", "2024-01-01", [(p, q, 1.0, q * 1.0) for p, q in items], 1.0, 0.0, 1.0, "paypal", "completed")
+    orders = spark.createDataFrame([tx("ok", ("p1", 2), ("p2", 1)), tx("less", ("p1", 1), ("p1", 1)), tx("ghost", ("p3", 1)),
+                                    tx(None, ("p1", 7)), tx("empty")], TRANSACTIONS)
+    got = sorted(tuple(r) for r in rc.carts_against_orders(sessions, orders).collect())
+    assert got == [("ghost", "p3", 0, 1, 0, 1, "only_order"), ("less", "p1", 1, 2, 3, 2, "quantity"), ("none", "p1", 1, 0, 1, 0, "only_cart")]
+    assert rc.carts_against_orders(fx.sessions(spark), fx.transactions(spark)).count() >= 0
