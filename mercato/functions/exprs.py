@@ -124,7 +124,8 @@ def dedupe(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(pick).select(*[c if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
-def top_k(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
+def top_k(df: DataFrame, order: Sequence[Column], n: int | None) -> DataFrame:
     """ORDER BY … LIMIT n; Spark plans it as a per-task top-n heap
-    (TakeOrderedAndProject), so only n rows per task reach the driver."""
-    return df.orderBy(*order).limit(n)
+    (TakeOrderedAndProject), so only n rows per task reach the driver.
+    ``None`` keeps all rows, unordered."""
+    return df if n is None else df.orderBy(*order).limit(n)

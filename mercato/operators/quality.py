@@ -145,13 +145,13 @@ def price_changes(points: DataFrame, bucket_seconds: int = 30 * 86400) -> DataFr
 
 def price_check(products: DataFrame, points: DataFrame) -> DataFrame:
     """Per product: does the list price equal the latest price of its time
-    line, and the creation date its first date?"""
+    line to the cent, and the creation date its first date?"""
     last = points.groupBy("product_id").agg(
         F.max_by("price", F.struct("date", "price")).alias("latest_price"),
         F.min("date").alias("first_price_date"),
         F.count(F.lit(1)).alias("n_points"))
     j = products.select("product_id", "base_price", "creation_date").join(last, "product_id", "left")
     return j.select("product_id", "base_price", "latest_price", "n_points",
-                    (F.col("base_price") == F.col("latest_price")).alias("price_matches"),
+                    (cents("base_price") == cents("latest_price")).alias("price_matches"),
                     "creation_date", "first_price_date",
                     (F.col("creation_date") == F.col("first_price_date")).alias("date_matches"))

@@ -88,7 +88,7 @@ def cohort_analysis(users: DataFrame, transactions: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- C1
-def revenue_by_category(items: DataFrame, products: DataFrame, limit: int = 10) -> DataFrame:
+def revenue_by_category(items: DataFrame, products: DataFrame, limit: int | None = 10) -> DataFrame:
     """Per category of the sold products: distinct products sold, units,
     gross revenue, mean list price weighted by line items, and revenue per
     distinct transaction; highest revenue first.  No status filter; raw
@@ -110,7 +110,7 @@ def revenue_by_category(items: DataFrame, products: DataFrame, limit: int = 10)
 
 
 # ---------------------------------------------------------------- C2
-def top_users(transactions: DataFrame, users: DataFrame, limit: int = 10) -> DataFrame:
+def top_users(transactions: DataFrame, users: DataFrame, limit: int | None = 10) -> DataFrame:
     """Completed transactions per user (with country/state): distinct
     orders, spend, mean order value, first and last purchase.
 

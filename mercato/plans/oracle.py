@@ -453,44 +453,54 @@ ORACLE: dict[str, str] = {
         FROM clean_products p
         LEFT JOIN (SELECT product_id, sum(quantity) AS sold FROM txn_items GROUP BY 1) s
           ON p.product_id = s.product_id"""),
-    "key_and_domain_check": sql(["transactions", "txn_items", "users", "products", "sessions", "pp"], """
+    "key_and_domain_check": sql(["transactions", "users", "products", "sessions", "pp"], """
+        , ct AS (SELECT transaction_id, CASE WHEN transaction_id % 997 = 0 THEN -user_id ELSE user_id END AS user_id,
+                        CASE WHEN transaction_id % 50 = 0 THEN CAST(user_id % 200 AS VARCHAR) || '-1' END AS session_id,
+                        CASE WHEN transaction_id % 101 = 0 THEN 'lost' ELSE status END AS status, payment_method FROM transactions),
+        ci AS (SELECT CASE WHEN l_orderkey % 997 = 0 THEN -l_partkey ELSE l_partkey END AS product_id FROM lineitem),
+        cs AS (SELECT session_id, CASE WHEN user_id % 37 = 0 THEN 'fax' ELSE referrer END AS referrer,
+                      CASE WHEN user_id % 43 = 0 THEN 'maybe' ELSE conversion_status END AS conversion_status,
+                      CASE WHEN user_id % 41 = 0 THEN 'fridge' ELSE device_type END AS device_type FROM sessions),
+        ce AS (SELECT CASE WHEN event_id % 89 > 0 THEN user_id END AS user_id, CASE WHEN event_id % 83 > 0 THEN ts END AS ts FROM events),
+        cp AS (SELECT CASE WHEN product_id % 61 > 0 THEN product_id END AS product_id,
+                      CASE WHEN product_id % 59 > 0 THEN "date" END AS "date" FROM pp)
         SELECT 'orphan_user' AS check_name, CAST(user_id AS VARCHAR) AS value, count(*) AS n_rows
-        FROM transactions t WHERE NOT EXISTS (SELECT 1 FROM users u WHERE u.user_id = t.user_id)
+        FROM ct t WHERE NOT EXISTS (SELECT 1 FROM users u WHERE u.user_id = t.user_id)
         GROUP BY 2
         UNION ALL
-        SELECT 'orphan_product', CAST(product_id AS VARCHAR), count(*) FROM txn_items i
+        SELECT 'orphan_product', CAST(product_id AS VARCHAR), count(*) FROM ci i
         WHERE NOT EXISTS (SELECT 1 FROM products p WHERE p.product_id = i.product_id) GROUP BY 2
         UNION ALL
-        SELECT 'orphan_session', session_id, count(*) FROM transactions t
+        SELECT 'orphan_session', session_id, count(*) FROM ct t
         WHERE session_id IS NOT NULL
-          AND NOT EXISTS (SELECT 1 FROM sessions s WHERE s.session_id = t.session_id) GROUP BY 2
+          AND NOT EXISTS (SELECT 1 FROM cs s WHERE s.session_id = t.session_id) GROUP BY 2
         UNION ALL
-        SELECT 'bad_status', status, count(*) FROM transactions
+        SELECT 'bad_status', status, count(*) FROM ct
         WHERE status IS NULL OR status NOT IN ('completed', 'processing', 'shipped', 'delivered')
         GROUP BY 2
         UNION ALL
-        SELECT 'bad_payment_method', payment_method, count(*) FROM transactions
+        SELECT 'bad_payment_method', payment_method, count(*) FROM ct
         WHERE payment_method IS NULL OR payment_method NOT IN ('credit_card', 'paypal', 'apple_pay',
               'crypto', 'bank_transfer', 'gift_card') GROUP BY 2
         UNION ALL
-        SELECT 'bad_conversion_status', conversion_status, count(*) FROM sessions
+        SELECT 'bad_conversion_status', conversion_status, count(*) FROM cs
         WHERE conversion_status IS NULL
            OR conversion_status NOT IN ('converted', 'abandoned', 'browsed') GROUP BY 2
         UNION ALL
-        SELECT 'bad_referrer', referrer, count(*) FROM sessions
+        SELECT 'bad_referrer', referrer, count(*) FROM cs
         WHERE referrer IS NULL
            OR referrer NOT IN ('direct', 'email', 'social', 'search_engine', 'affiliate') GROUP BY 2
         UNION ALL
-        SELECT 'bad_device_type', device_type, count(*) FROM sessions
+        SELECT 'bad_device_type', device_type, count(*) FROM cs
         WHERE device_type IS NULL OR device_type NOT IN ('mobile', 'desktop', 'tablet') GROUP BY 2
         UNION ALL
-        SELECT 'unplaced_event', 'user_id', count(*) FROM events WHERE user_id IS NULL HAVING count(*) > 0
+        SELECT 'unplaced_event', 'user_id', count(*) FROM ce WHERE user_id IS NULL HAVING count(*) > 0
         UNION ALL
-        SELECT 'unplaced_event', 'ts', count(*) FROM events WHERE ts IS NULL HAVING count(*) > 0
+        SELECT 'unplaced_event', 'ts', count(*) FROM ce WHERE ts IS NULL HAVING count(*) > 0
         UNION ALL
-        SELECT 'unplaced_price', 'product_id', count(*) FROM pp WHERE product_id IS NULL HAVING count(*) > 0
+        SELECT 'unplaced_price', 'product_id', count(*) FROM cp WHERE product_id IS NULL HAVING count(*) > 0
         UNION ALL
-        SELECT 'unplaced_price', 'date', count(*) FROM pp WHERE "date" IS NULL HAVING count(*) > 0"""),
+        SELECT 'unplaced_price', 'date', count(*) FROM cp WHERE "date" IS NULL HAVING count(*) > 0"""),
     "price_history": sql(["pp"], """
         , w AS (SELECT *, lag(price) OVER (PARTITION BY product_id ORDER BY "date", price) AS prev_price
                 FROM pp WHERE "date" IS NOT NULL)
@@ -498,14 +508,21 @@ ORACLE: dict[str, str] = {
                sign((price - prev_price) / prev_price * """ + D(100) + """)
                * """ + HU(f"abs((price - prev_price) / prev_price * {D(100)})") + """ AS change_pct
         FROM w WHERE prev_price IS NULL OR price <> prev_price"""),
-    "price_check": sql(["clean_products", "pp"], """
+    "price_check": sql(["products", "pp"], """
         , l AS (SELECT product_id, arg_max(price, {'d': "date", 'p': price}) AS latest_price,
                        min("date") AS first_price_date, count(*) AS n_points
                 FROM pp GROUP BY product_id)
-        SELECT p.product_id, p.base_price, l.latest_price, l.n_points,
-               p.base_price = l.latest_price AS price_matches,
-               p.creation_date, l.first_price_date, p.creation_date = l.first_price_date AS date_matches
-        FROM clean_products p LEFT JOIN l ON p.product_id = l.product_id"""),
+        , listed AS (
+            SELECT p.product_id, l.latest_price, l.n_points, l.first_price_date,
+                   CASE WHEN p.product_id % 3 = 0 AND l.latest_price IS NOT NULL THEN """ + HU("l.latest_price") + """
+                        ELSE p.base_price END AS base_price,
+                   CASE WHEN p.product_id % 4 = 0 THEN l.first_price_date
+                        WHEN p.product_id % 4 = 1 THEN l.first_price_date - INTERVAL 1 DAY END AS creation_date
+            FROM products p LEFT JOIN l ON p.product_id = l.product_id)
+        SELECT product_id, base_price, latest_price, n_points,
+               """ + HU("base_price") + " = " + HU("latest_price") + """ AS price_matches,
+               creation_date, first_price_date, creation_date = first_price_date AS date_matches
+        FROM listed"""),
 }
 
 PRICED = """
@@ -597,3 +614,37 @@ ORACLE |= {
             FROM s FULL JOIN i ON s.transaction_id = i.transaction_id AND s.product_id = i.product_id)
         SELECT * FROM both_sides WHERE difference IS NOT NULL""",
 }
+
+BUYERS = """
+    , b AS (SELECT DISTINCT strftime("timestamp", '%Y-%m') AS month, year("timestamp") * 12 + month("timestamp") AS n, user_id
+            FROM transactions WHERE status = 'completed')"""
+
+ORACLE |= {
+    "nested_transactions": sql(["transactions", "plookup"], """
+        , l AS (SELECT l_orderkey AS transaction_id, l_linenumber AS line_number, l_partkey AS product_id, p.product_name, p.category_id,
+                       CAST(l_quantity AS BIGINT) AS quantity,
+                       CAST(round(""" + HU("l_extendedprice / l_quantity") + """ * 100) AS BIGINT) AS price,
+                       CAST(round(l_extendedprice * 100) AS BIGINT) AS subtotal
+                FROM lineitem LEFT JOIN plookup p ON l_partkey = p.product_id)
+        , cut AS (SELECT *, (line_number - 1) // 4 AS piece,
+                         (row_number() OVER (PARTITION BY transaction_id, (line_number - 1) // 4
+                                             ORDER BY line_number, product_id, product_name, category_id, quantity, price, subtotal) - 1) // 4 AS cut
+                  FROM l)
+        , parts AS (SELECT transaction_id, piece, cut, count(*) AS n_items,
+                           string_agg(concat_ws(':', line_number, product_id, product_name, category_id, quantity, price, subtotal), '|'
+                                      ORDER BY line_number, product_id, product_name, category_id, quantity, price, subtotal) AS lines
+                    FROM cut GROUP BY 1, 2, 3)
+        , numbered AS (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY piece, cut) AS part,
+                              count(*) OVER (PARTITION BY transaction_id) AS n_parts FROM parts)
+        SELECT t.transaction_id, t.user_id, t."timestamp", CAST(coalesce(n.part, 1) AS INTEGER) AS part, coalesce(n.n_parts, 1) AS n_parts,
+               CAST(coalesce(n.n_items, 0) AS INTEGER) AS n_items, coalesce(n.lines, '') AS lines
+        FROM transactions t LEFT JOIN numbered n ON t.transaction_id = n.transaction_id"""),
+    "rolling_buyers": sql(["transactions"], BUYERS + """
+        , e AS (SELECT DISTINCT month, n FROM b)
+        SELECT e.month AS last_month, CAST(k AS INTEGER) AS months, count(DISTINCT b.user_id) AS unique_buyers, true AS within_error
+        FROM e, (VALUES (1), (3), (12)) v(k) JOIN b ON b.n BETWEEN e.n - k + 1 AND e.n GROUP BY 1, 2"""),
+    "returning_buyers": sql(["transactions"], BUYERS + """
+        SELECT b.month, count(p.user_id) AS returning_buyers, true AS within_error
+        FROM b LEFT JOIN b p ON p.n = b.n - 1 AND p.user_id = b.user_id
+        WHERE b.n - 1 IN (SELECT n FROM b) GROUP BY b.month"""),
+}

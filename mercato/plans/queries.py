@@ -12,8 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mercato.functions.exprs import cents
 from mercato.operators import (
-    charts, clean, clv, enrich, funnel, quality, reconcile, reports, states, timeline,
+    baskets, buyers, charts, clean, clv, enrich, funnel, quality, reconcile, reports, states, timeline,
 )
 from mercato.operators.sessions import page_transitions
 from mercato.sources.driver import DriverTables
@@ -115,6 +116,15 @@ def q_enrich_transactions(t):
     return enrich.enrich_transactions(t.transactions(), t.lines(), t.products())
 
 
+def q_nested_transactions(t):
+    """Baskets nested in parts of four lines; the lines as text, in order."""
+    nested = baskets.nest_transactions(t.transactions(), t.lines(), t.products(), part_size=4)
+    line = F.transform("items", lambda i: F.concat_ws(":", i["line_number"], i["product_id"], i["product_name"], i["category_id"],
+                                                      i["quantity"], cents(i["unit_price"]), cents(i["subtotal"])))
+    return nested.select("transaction_id", "user_id", "timestamp", "part", "n_parts", F.size("items").alias("n_items"),
+                         F.array_join(line, "|").alias("lines"))
+
+
 # -- B / C / D: reports --------------------------------------------------
 def q_product_affinity(t):
     # the items carry their order's total: no second join with clean orders
@@ -143,6 +153,15 @@ def q_monthly_revenue(t):
     return reports.monthly_revenue(t.transactions())
 
 
+def q_rolling_buyers(t):
+    """With small sketches, so that their error shows at small scale too."""
+    return buyers.rolling_buyers_check(t.transactions(), lg_k=8)
+
+
+def q_returning_buyers(t):
+    return buyers.returning_buyers_check(t.transactions(), lg_k=8)
+
+
 def q_product_popularity(t):
     return reports.product_popularity(t.txn_items(), t.products())
 
@@ -227,8 +246,8 @@ def q_stock_ledger(t):
 
 
 def q_key_and_domain_check(t):
-    return quality.key_and_domain_check(t.transactions(), t.txn_items(), t.users(),
-                                        t.products(), t.sessions(), t.raw("events"), t.price_points())
+    return quality.key_and_domain_check(t.checked_transactions(), t.checked_items(), t.users(), t.products(),
+                                        t.checked_sessions(), t.checked_events(), t.checked_price_points())
 
 
 def q_price_history(t):
@@ -236,7 +255,7 @@ def q_price_history(t):
 
 
 def q_price_check(t):
-    return quality.price_check(clean.clean_products(t.products()), t.price_points())
+    return quality.price_check(clean.clean_products(t.listed_products()), t.price_points())
 
 
 # -- G: the same rules on time lines -------------------------------------------

@@ -12,6 +12,7 @@
 | invoiced_lines | line items with missing, changed, cut and renamed ones by rule |
 | movements     | line items leaving the stock when shipped, returned ones coming back 30 days later |
 | invoices      | orders with a discount from their lines' l_discount; the subtotal is the lines' sum, and the total net of the discount, for most order numbers by rule |
+| checked_*, listed_products | the tables with rows by rule that break each check, and products that keep and break the price rules |
 | raw_*         | users, products and transactions with repeated and unusable rows added by rule, for the cleaners |
 | page_views    | events with their session and the next event of it        |
 | sessions      | sessions cut from events at 12-hour gaps                  |
@@ -218,6 +219,45 @@ class DriverTables:
         return t.withColumn("total", F.when(F.col("transaction_id") % 3 == 0, F.col("total")).otherwise(
             half_up(F.col("subtotal") - F.col("discount")))).drop("lines", "off", "l_orderkey")
 
+    # -- rows that break a rule, for the checks -----------------------------
+    def checked_transactions(self) -> DataFrame:
+        """Some orders of unknown users and sessions, some with a bad status."""
+        id_, user = F.col("transaction_id"), F.col("user_id")
+        return self.transactions().withColumns({
+            "user_id": F.when(id_ % 997 == 0, -user).otherwise(user),
+            "session_id": F.when(id_ % 50 == 0, F.concat((user % 200).cast("string"), F.lit("-1"))),
+            "status": F.when(id_ % 101 == 0, "lost").otherwise(F.col("status"))})
+
+    def checked_items(self) -> DataFrame:
+        id_, product = F.col("transaction_id"), F.col("product_id")
+        return self.lines().withColumn("product_id", F.when(id_ % 997 == 0, -product).otherwise(product))
+
+    def checked_sessions(self) -> DataFrame:
+        u, device = F.col("user_id"), F.col("device_profile")
+        return self.sessions().withColumns({
+            "referrer": F.when(u % 37 == 0, "fax").otherwise(F.col("referrer")),
+            "conversion_status": F.when(u % 43 == 0, "maybe").otherwise(F.col("conversion_status")),
+            "device_profile": device.withField("type", F.when(u % 41 == 0, "fridge").otherwise(device["type"]))})
+
+    def checked_events(self) -> DataFrame:
+        id_ = F.col("event_id")
+        return self.raw("events").withColumns({"user_id": F.when(id_ % 89 > 0, F.col("user_id")), "ts": F.when(id_ % 83 > 0, F.col("ts"))})
+
+    def checked_price_points(self) -> DataFrame:
+        p = F.col("product_id")
+        return self.price_points().withColumns({"product_id": F.when(p % 61 > 0, p), "date": F.when(p % 59 > 0, F.col("date"))})
+
+    def listed_products(self) -> DataFrame:
+        """Every third product is listed at its latest price; every fourth was
+        created at its first one, the next a day before."""
+        points = self.price_points().groupBy("product_id").agg(
+            F.max_by("price", F.struct("date", "price")).alias("_last"), F.min("date").alias("_first"))
+        p = F.col("product_id")
+        return (self.products().join(points, "product_id", "left")
+                .withColumn("base_price", F.when((p % 3 == 0) & F.col("_last").isNotNull(), half_up("_last")).otherwise(F.col("base_price")))
+                .withColumn("creation_date", F.when(p % 4 == 0, F.col("_first")).when(p % 4 == 1, F.col("_first") - F.expr("INTERVAL 1 DAY")))
+                .drop("_last", "_first"))
+
     # -- rows that a cleaner must drop or merge ---------------------------
     def raw_users(self) -> DataFrame:
         u = self.users()

@@ -1,0 +1,65 @@
+import datetime as dt
+import random
+
+from mercato.sources import sinks
+
+SCHEMA = "transaction_id string, user_id long, timestamp timestamp, category string, total double"
+N, FILES = 40_000, 64
+
+
+def table(spark):
+    r = random.Random(1)
+    rows = [(f"{r.getrandbits(64):016x}", r.randint(1, 5000), dt.datetime(2024, 1, 1) + dt.timedelta(minutes=r.randint(0, 500_000)),
+             f"c{r.randint(0, 31):02d}", float(i)) for i in range(N)]
+    return rows, spark.createDataFrame(rows, SCHEMA)
+
+
+def rows_read(spark, path, where):
+    """Result rows, and rows that the Parquet scan handed on."""
+    df = spark.read.parquet(path).where(where)
+    got = df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    assert leaves.size() == 1
+    return len(got), leaves.apply(0).metrics().apply("numOutputRows").value()
+
+
+def test_filters_on_any_key_read_fewer_rows(spark, tmp_path):
+    rows, df = table(spark)
+    path = str(tmp_path / "z")
+    sinks.write_interleaved(df, path, ["user_id", "timestamp", "category"], bloom={"transaction_id": N // FILES}, files=FILES)
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == sorted(rows)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for where in ("user_id = 1234", "timestamp BETWEEN TIMESTAMP'2024-06-01' AND TIMESTAMP'2024-06-08'", "category = 'c07'",
+                      "user_id < 300 AND timestamp < TIMESTAMP'2024-02-01'"):
+            found, read = rows_read(spark, path, where)
+            assert 0 < found <= read < 0.55 * N, (where, read)
+        # two filters together skip more than each alone
+        sides = ["user_id < 300", "timestamp < TIMESTAMP'2024-02-01'"]
+        assert rows_read(spark, path, " AND ".join(sides))[1] < 0.7 * min(rows_read(spark, path, w)[1] for w in sides)
+        # one sort key alone serves its own filter only
+        sinks.write_curated(df, str(tmp_path / "one"), cluster_by=["user_id"])
+        assert rows_read(spark, str(tmp_path / "one"), "category = 'c07'")[1] == N
+        # an id outside the clustering: by bloom filter
+        found, read = rows_read(spark, path, f"transaction_id = '{rows[5][0]}'")
+        assert found == 1 and read < 0.2 * N
+        sinks.write_interleaved(df, str(tmp_path / "plain"), ["user_id", "timestamp", "category"], files=FILES)
+        assert rows_read(spark, str(tmp_path / "plain"), f"transaction_id = '{rows[5][0]}'")[1] > 0.9 * N
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_nulls_empty_tables_and_equal_values(spark, tmp_path):
+    df = spark.createDataFrame([("a", None, None, None, None), ("b", 1, None, "c", None), ("b", 1, None, "c", None)], SCHEMA)
+    for n, part in ((3, df), (0, df.limit(0))):
+        path = str(tmp_path / str(n))
+        sinks.write_interleaved(part, path, ["user_id", "timestamp", "category"])
+        assert spark.read.schema(SCHEMA).parquet(path).count() == n
+
+
+def test_key_interleaves_bits(spark):
+    df = spark.createDataFrame([(i, j) for i in range(4) for j in range(4)], "a int, b int")
+    key = sinks.interleaved_key(df, ["a", "b"], bits=2)
+    got = {(r.a, r.b): r.z for r in df.withColumn("z", key).collect()}
+    assert len(set(got.values())) == 16
+    assert all(got[(i, j)] == sum(((i >> k & 1) << 2 * k) + ((j >> k & 1) << 2 * k + 1) for k in range(2)) for i, j in got)
