@@ -83,6 +83,37 @@ def session_products(sessionized: DataFrame, product: str = "product_id", user:
     return g.where(F.col("viewed") | (F.col("cart_quantity") > 0))
 
 
+def cart_outcomes(sessionized: DataFrame, product: str = "product_id", user: str = "user_id",
+                  event_type: str = "event_type", view_types: Sequence[str] = ("view",),
+                  cart_types: Sequence[str] = ("click",), convert_types: Sequence[str] = ("purchase",),
+                  quantity: str = "quantity") -> DataFrame:
+    """One row per session of events that carry a product: how many products
+    were viewed, how many are in the cart and with how many units, and the
+    outcome by the cart.
+
+    A session is converted if something was ever put into its cart and a
+    conversion event came; abandoned if something was put into the cart;
+    else browsed.  The outcome looks at the cart before entries without a
+    positive quantity are removed (a cart event of quantity 0 or NULL makes a
+    session abandoned), the cart's products and units after.  Events are first
+    summed per (session, product), so a session of any length is combined in
+    every task; events without a product count for the conversion only."""
+    et = F.col(event_type)
+    is_cart = et.isin(*cart_types) & F.col(product).isNotNull()
+    entry = sessionized.groupBy(user, "session_id", product).agg(
+        F.max(F.coalesce(et.isin(*view_types) & F.col(product).isNotNull(), F.lit(False))).alias("_viewed"),
+        F.max(F.coalesce(is_cart, F.lit(False))).alias("_in_cart"),
+        F.max(F.coalesce(et.isin(*convert_types), F.lit(False))).alias("_converts"),
+        F.sum(F.when(is_cart, F.coalesce(F.col(quantity), F.lit(0))).otherwise(0)).cast("long").alias("_units"))
+    kept = F.col("_units") > 0
+    s = entry.groupBy(user, "session_id").agg(
+        F.count(F.when(F.col("_viewed"), 1)).alias("viewed_products"), F.count(F.when(kept, 1)).alias("cart_products"),
+        F.sum(F.when(kept, F.col("_units")).otherwise(0)).cast("long").alias("cart_units"),
+        F.max("_in_cart").alias("_cart"), F.max("_converts").alias("_conv"))
+    status = F.when(F.col("_cart") & F.col("_conv"), "converted").when(F.col("_cart"), "abandoned").otherwise("browsed")
+    return s.withColumn("conversion_status", status).drop("_cart", "_conv")
+
+
 def page_transitions(page_views: DataFrame, page: str = "page_type",
                      next_page: str = "next_page_type") -> DataFrame:
     """Step matrix: how often each page is followed by each next page within a

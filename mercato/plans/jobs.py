@@ -25,8 +25,14 @@ from mercato.sources import readers, sinks, snapshots
 
 def curate(spark: SparkSession, raw_dir: str, out_dir: str) -> dict[str, int]:
     """Enriched products, users (with purchase summary) and transactions as
-    curated Parquet; returns the row count of each written table."""
-    raw = readers.read_raw_tables(spark, raw_dir)
+    curated Parquet; returns the row count of each written table.
+
+    Raw files that hold one array are read by one task each, so every table is
+    parsed once and landed as Parquet (``out_dir/raw``, rejected records in
+    ``out_dir/raw/rejected``); everything after reads that in many tasks."""
+    landed = os.path.join(out_dir, "raw")
+    check_raw(spark, raw_dir, landed)
+    raw = {name: readers.read_curated(spark, landed, name) for name in readers.RAW_FILES}
     items = enrich.flatten_items(raw["transactions"])
     tables: dict[str, tuple[DataFrame, list[str], list[str]]] = {
         "products": (enrich.enrich_products(raw["products"], raw["categories"]),

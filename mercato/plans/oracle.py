@@ -648,3 +648,16 @@ ORACLE |= {
         FROM b LEFT JOIN b p ON p.n = b.n - 1 AND p.user_id = b.user_id
         WHERE b.n - 1 IN (SELECT n FROM b) GROUP BY b.month"""),
 }
+
+ORACLE["cart_outcomes"] = sql(["ev2"], """
+    , e AS (SELECT user_id, CAST(user_id AS VARCHAR) || '-' || CAST(session_seq AS VARCHAR) AS session_id, event_type,
+                   CASE WHEN event_id % 9 > 0 THEN k END AS product_id, event_id % 4 AS quantity FROM ev2)
+    , c AS (SELECT session_id, product_id, sum(quantity) AS units FROM e
+            WHERE event_type = 'click' AND product_id IS NOT NULL GROUP BY 1, 2)
+    SELECT e.user_id, e.session_id, count(DISTINCT CASE WHEN event_type = 'view' THEN product_id END) AS viewed_products,
+           coalesce(any_value(k.n), 0) AS cart_products, CAST(coalesce(any_value(k.units), 0) AS BIGINT) AS cart_units,
+           CASE WHEN any_value(k.entries) IS NULL THEN 'browsed'
+                WHEN bool_or(event_type = 'purchase') THEN 'converted' ELSE 'abandoned' END AS conversion_status
+    FROM e LEFT JOIN (SELECT session_id, count(*) AS entries, count(*) FILTER (WHERE units > 0) AS n,
+                             sum(units) FILTER (WHERE units > 0) AS units FROM c GROUP BY 1) k USING (session_id)
+    GROUP BY e.user_id, e.session_id""")

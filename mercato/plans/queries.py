@@ -16,7 +16,7 @@ from mercato.functions.exprs import cents
 from mercato.operators import (
     baskets, buyers, charts, clean, clv, enrich, funnel, quality, reconcile, reports, states, timeline,
 )
-from mercato.operators.sessions import page_transitions
+from mercato.operators.sessions import cart_outcomes, page_transitions
 from mercato.sources.driver import DriverTables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -272,6 +272,10 @@ def q_stock_timeline(t):
     return timeline.stock_timeline(t.opening_stock(), t.movements())
 
 
+def q_cart_outcomes(t):
+    return cart_outcomes(t.product_events())
+
+
 def q_ordered_funnel(t):
     return funnel.ordered_steps(t.session_events())
 

@@ -289,6 +289,13 @@ class DriverTables:
         return sessionize(self.raw("events").select("event_id", "ts", "user_id", "event_type"),
                           gap_seconds=self.gap_seconds, keep_bucket=True)
 
+    def product_events(self) -> DataFrame:
+        """Events on products, by rule: the product is ``props.k`` (none for
+        every ninth event), the quantity the event number modulo 4."""
+        id_ = F.col("event_id")
+        e = self._events().withColumns({"product_id": F.when(id_ % 9 > 0, F.col("k")), "quantity": id_ % 4}).drop("k")
+        return sessionize(e, gap_seconds=self.gap_seconds)
+
     def page_views(self) -> DataFrame:
         d = sessionize(self._events(), gap_seconds=self.gap_seconds, next_of=["event_type"])
         return d.select("session_id", "user_id", "event_id", "ts",

@@ -3,7 +3,7 @@ import random
 
 from mercato.functions.ordered import with_neighbours
 from mercato.operators.sessions import (
-    build_sessions, page_transitions, page_views_from_sessions, sessionize,
+    build_sessions, cart_outcomes, page_transitions, page_views_from_sessions, sessionize,
 )
 from tests import fixtures as fx
 from tests.conftest import rows
@@ -142,3 +142,14 @@ def test_session_check_rules(spark):
     # s3: cart entry with quantity 0 left in the export; s4: duration 0 but
     # start != end
     assert got == [("s3", True, True, False, True), ("s4", True, False, True, True)]
+
+
+def test_cart_outcome_tests_the_cart_before_empty_entries_go(spark):
+    at = lambda m: T0 + dt.timedelta(minutes=m)
+    ev = [(1, at(0), 1, "view", "p1", None), (2, at(1), 1, "click", "p1", 2), (3, at(2), 1, "click", "p1", 1), (4, at(3), 1, "purchase", None, None),
+          (5, at(0), 2, "click", "p1", 0), (6, at(0), 3, "view", "p1", 1), (7, at(1), 3, "view", "p2", 1), (8, at(2), 3, "purchase", "p2", 1),
+          (9, at(0), 4, "click", None, 3), (10, at(0), 5, "click", "p1", 1), (11, at(1), 5, "click", "p2", None), (12, at(2), 5, None, "p3", 1)]
+    df = spark.createDataFrame(ev, "event_id long, ts timestamp, user_id long, event_type string, product_id string, quantity int")
+    got = cart_outcomes(sessionize(df)).orderBy("user_id")
+    assert rows(got, "user_id", "viewed_products", "cart_products", "cart_units", "conversion_status") == [
+        (1, 1, 1, 3, "converted"), (2, 0, 0, 0, "abandoned"), (3, 2, 0, 0, "browsed"), (4, 0, 0, 0, "browsed"), (5, 0, 1, 1, "abandoned")]
