@@ -16,7 +16,8 @@ none is above.  Words are dealt in blocks of ``block`` words:
 
 One task sees one row a source (targets and quotas), or one row a shard of
 one source; documents meet in shards, whose number follows a source's words
-and rows, so a source with a third of all rows just has more shards.  A shard's quota is at most
+and rows, so a source with a third of all rows just has more shards, and rows
+that repeat (a null id with one text) are spread over them in runs.  A shard's quota is at most
 ``max_repeats`` passes, so no document is taken more often.
 
 Cases: a null source is a source of its own, an empty one another; null and
@@ -32,13 +33,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercato.llm.store import keep
+from mercato.llm.store import free_name, keep
 
 WEIGHTS = (5, 2, 1)
 TOTAL_SHARE, MAX_REPEATS = 1.5, 2
 BLOCK, SEED = 8, 20240607
 #: A shard's size: about so many words, and so many documents (empty ones count too).
 SHARD_WORDS, SHARD_ROWS = 500_000, 20_000
+#: Rows that repeat go to the shards in runs of so many.
+RUN = 1000
 
 
 def _hash(*parts) -> Column:
@@ -130,9 +133,15 @@ def mix(documents: DataFrame, weights: tuple = WEIGHTS, total_share: float = TOT
                  .select("g.*", F.expr(f"CAST(ceil(g.source_size / {SHARD_WORDS} + n.n_docs / {SHARD_ROWS}) AS BIGINT)")
                          .alias("n_shards")))
     of_source = keep(of_source, "quotas")
-    dealt = (docs.alias("d").join(of_source.select("source", "n_shards").alias("s"), F.expr("d.source <=> s.source"))
-             .select("d.*", (_number("d.h", 25) % F.col("s.n_shards")).alias("shard")))
-    of_shard = (dealt.groupBy("source", "shard").agg(F.sum("size").alias("shard_words")).alias("d")
+    # rows that repeat are one entry with a count, cut into runs that go to
+    # shards of their own; rows without words need no shard
+    runs = (docs.where("size > 0").groupBy("doc_id", "source", "size", "h").agg(F.count("*").alias("n_rows"))
+            .withColumn("run", F.explode(F.expr(f"sequence(0L, (n_rows - 1) div {RUN})")))
+            .withColumn("copies", F.expr(f"least({RUN}, n_rows - run * {RUN})")))
+    of_run = F.when(F.col("d.run") == 0, F.col("d.h")).otherwise(_hash(F.col("d.h"), F.col("d.run").cast("string")))
+    dealt = (runs.alias("d").join(of_source.select("source", "n_shards").alias("s"), F.expr("d.source <=> s.source"))
+             .select("d.*", (_number(of_run, 25) % F.col("s.n_shards")).alias("shard")))
+    of_shard = (dealt.groupBy("source", "shard").agg(F.sum(F.expr("size * copies")).alias("shard_words")).alias("d")
                 .join(of_source.alias("s"), F.expr("d.source <=> s.source"))
                 .select("d.*", "s.source_size", "s.target", F.col("s.quota").alias("seats"))
                 .withColumn("claim", F.col("shard_words").cast("double")))
@@ -142,9 +151,10 @@ def mix(documents: DataFrame, weights: tuple = WEIGHTS, total_share: float = TOT
               .withColumn("q", F.least("quota", max_repeats * F.col("n")))
               .withColumn("passes", F.expr("q div n")).withColumn("r", F.expr("q % n"))
               .withColumn("s", _number(_hash(F.coalesce("source", F.lit("")), F.col("shard").cast("string")), 1) % F.col("n")))
-    stream = Window.partitionBy("source", "shard").orderBy("h", "doc_id", "size")
-    placed = dealt.withColumn("o", F.coalesce(F.sum("size").over(
-        stream.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long")))
+    stream = Window.partitionBy("source", "shard").orderBy("h", "doc_id", "size", "run")
+    placed = (dealt.withColumn("_o", F.coalesce(F.sum(F.expr("size * copies")).over(
+                  stream.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long")))
+              .withColumn("_i", F.explode(F.expr("sequence(0L, copies - 1)"))).withColumn("o", F.expr("_o + _i * size")))
     at = (placed.alias("p").join(shards.drop("claim").alias("s"),
                                  F.expr("p.source <=> s.source AND p.shard = s.shard"))
           .select("p.doc_id", "p.h", "p.size", "p.o", "s.source_size", "s.target", "s.n", "s.passes", "s.r", "s.s")
@@ -156,24 +166,27 @@ def mix(documents: DataFrame, weights: tuple = WEIGHTS, total_share: float = TOT
     def picked(j):
         return f"({before(f'{j} + 1')} - {before(j)})"
 
-    part = F.expr(f"""CASE WHEN size = 0 THEN 0L WHEN a = e THEN {picked('a')} * size
+    part = F.expr(f"""CASE WHEN a = e THEN {picked('a')} * size
         ELSE {picked('a')} * ((a + 1) * {block} - o) + {picked('e')} * (o + size - e * {block})
              + {block} * ({before('e')} - {before('a + 1')}) END""")
+    blank = (docs.where("size = 0").alias("d").join(of_source.alias("s"), F.expr("d.source <=> s.source"))
+             .select("d.doc_id", F.col("d.h").alias("t"), "d.size", "s.source_size", "s.target", F.lit(0).cast("long").alias("taken")))
     return at.select("doc_id", F.col("h").alias("t"), "size", "source_size", "target",
-                     (F.col("passes") * F.col("size") + part).cast("long").alias("taken"))
+                     (F.col("passes") * F.col("size") + part).cast("long").alias("taken")).unionAll(blank)
 
 
 def mixed_documents(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     source_col: str = "source", **how) -> DataFrame:
-    """The documents that the mix takes words of, with ``taken`` added.  Rows
-    that repeat share their words evenly, rounded up."""
+    """The documents that the mix takes words of, with ``taken`` added; it
+    takes the place of a column of that name.  Rows that repeat share their
+    words evenly, rounded up."""
+    d, t, n = (free_name(documents, stem) for stem in ("d", "t", "n"))
     counts = (mix(documents, id_col=id_col, text_col=text_col, source_col=source_col, **how)
-              .groupBy(F.col("doc_id").alias("_llm_d"), F.col("t").alias("_llm_t"))
-              .agg(F.ceil(F.sum("taken") / F.count("*")).alias("_llm_taken")).where("_llm_taken > 0"))
-    docs = documents.withColumn("_llm_t", _row_hash(id_col, text_col))
-    same = (F.col("d._llm_t") == F.col("m._llm_t")) & F.col(f"d.`{id_col}`").cast("long").eqNullSafe(F.col("m._llm_d"))
-    return docs.alias("d").join(counts.alias("m"), same).select(
-        *(F.col(f"d.`{c}`") for c in documents.columns), F.col("m._llm_taken").alias("taken"))
+              .groupBy(F.col("doc_id").alias(d), F.col("t").alias(t))
+              .agg(F.ceil(F.sum("taken") / F.count("*")).alias(n)).where(F.col(n) > 0))
+    docs = documents.withColumn(f"{t}_own", _row_hash(id_col, text_col)).withColumn(f"{d}_own", F.col(id_col).cast("long"))
+    same = (F.col(f"{t}_own") == F.col(t)) & F.col(f"{d}_own").eqNullSafe(F.col(d))
+    return docs.join(counts, same).select(*(F.col(f"`{c}`") for c in documents.columns if c != "taken"), F.col(n).alias("taken"))
 
 
 def digest(mixed: DataFrame) -> DataFrame:

@@ -56,9 +56,19 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
+def free_name(df: DataFrame, stem: str) -> str:
+    """A column name that ``df`` does not have, also with a suffix and in
+    another case."""
+    name = f"_{stem}"
+    while any(c.lower().startswith(name) for c in df.columns):
+        name = f"_{name}"
+    return name
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back."""
     spark = df.sparkSession
+    ship(spark)
     path = new_folder(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -80,6 +80,32 @@ def test_edge_tables(spark):
     assert sorted(r.taken for r in kept.collect()) == sorted(r.taken for r in got if r.taken)
 
 
+def test_output_can_be_mixed_again_and_clashing_names(spark):
+    df = spark.createDataFrame([(i, "a b c " * (i % 5 + 1), "s", 7, 8, 9, 10) for i in range(30)],
+                               "doc_id long, text string, source string, taken int, _d int, _T int, _n int")
+    once = M.mixed_documents(df)
+    assert once.columns == ["doc_id", "text", "source", "_d", "_T", "_n", "taken"]
+    twice = M.mixed_documents(once)
+    assert twice.columns == once.columns and twice.count() > 0
+    assert {(r["_d"], r["_T"], r["_n"]) for r in twice.collect()} == {(8, 9, 10)}
+
+
+def test_repeated_rows_are_spread_over_shards(spark, monkeypatch):
+    """A third of the rows has neither id nor text, a third is one row."""
+    monkeypatch.setattr(M, "SHARD_WORDS", 400)
+    monkeypatch.setattr(M, "RUN", 10)
+    rows = [(None, None, "a")] * 300 + [(None, "one two three", "a")] * 300 + [(i, "x y " * (i % 7), "b") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    got = M.mix(df).collect()
+    assert len(got) == 900 and all(r.taken <= 2 * r.size for r in got)
+    target = {r.source_size: r.target for r in got}
+    for size, goal in target.items():
+        assert abs(sum(r.taken for r in got if r.source_size == size) - goal) <= 0.02 * goal  # shards of 400 words
+    plan = M.mix(df)._jdf.queryExecution().executedPlan().toString()
+    assert "_o#" in plan and "run#" in plan  # the stream runs over entries, not rows
+    assert sorted(map(str, got)) == sorted(map(str, M.mix(df.repartition(2)).collect()))
+
+
 def test_sainte_lague_against_quotients(spark):
     rnd = random.Random(8)
     rows = []
