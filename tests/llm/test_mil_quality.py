@@ -92,3 +92,21 @@ def test_slices_are_bounded():
     batch = pa.RecordBatch.from_pydict({"text": ["x" * 10, None, "é" * 6, "z" * 50, ""]})
     got = [(p.num_rows, d.tobytes().decode(), o.tolist()) for p, d, o in W.slices(batch, "text", 15)]
     assert got == [(2, "x" * 10, [0, 10, 10]), (1, "é" * 6, [0, 12]), (1, "z" * 50, [0, 50]), (1, "", [0, 0])]
+
+
+def test_rows_of_one_id_are_one_document_of_the_sample(spark, monkeypatch):
+    """A third of the rows has one id, a third has none."""
+    from pyspark.sql import functions as F
+    ids = [r.i for r in spark.range(200).select(F.col("id").alias("i")).where(~Q.held_out("i")).collect()]
+    rows = [(ids[0], f"text {i % 7}", 1) for i in range(300)] + [(None, "x", 1)] * 300 + [(i, f"good words {i}", 1) for i in ids]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, id int")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in ids] * 2, "doc_id long, quality int, y int")
+    seen = []
+    fit = Q.fit
+    monkeypatch.setattr(Q, "fit", lambda x, size, y, *a, **k: seen.append(len(size)) or fit(x, size, y, *a, **k))
+    Q.train(docs, labels, sample=4)
+    Q.train(docs, labels, sample=1000)
+    assert seen == [4, len(ids)]
+    # the same model whatever the order and the copies of equal rows
+    one = Q.train(docs.repartition(7).unionAll(docs), labels, sample=1000).dump()
+    assert one == Q.train(docs, labels, sample=1000).dump()
