@@ -38,7 +38,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercato.llm.graph import components
-from mercato.llm.store import keep
+from mercato.functions.exprs import dedupe
+from mercato.llm.store import free_name, keep
 from mercato.llm.words import LOWER
 
 SEED = 42
@@ -239,15 +240,16 @@ def keep_first(documents: DataFrame, shingle: int = 3, max_bits: int = 3,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each component: the one with the smallest doc_id (null
     last), of rows that share it the one with the smallest text hash, and of
-    rows that repeat any one.  All columns stay."""
+    rows that share both the one whose columns, compared in order, are
+    smallest.  All columns stay."""
+    d, t = free_name(documents, "d"), free_name(documents, "t")
     groups = simhash_groups(documents, shingle, max_bits, id_col, text_col)
     key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "t")
     first = groups.groupBy("root").agg(F.min(key).alias("first")).select(
-        F.coalesce("first.doc_id", F.lit(NULL_ID)).alias("_llm_d"), F.col("first.t").alias("_llm_t"))
-    keyed = (documents.withColumn("_llm_d", F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)))
-             .withColumn("_llm_t", _text_hash(text_col)))
-    return (keyed.join(first.distinct(), ["_llm_d", "_llm_t"], "left_semi")
-            .dropDuplicates(["_llm_d", "_llm_t"]).drop("_llm_d", "_llm_t"))
+        F.coalesce("first.doc_id", F.lit(NULL_ID)).alias(d), F.col("first.t").alias(t))
+    keyed = (documents.withColumn(d, F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)))
+             .withColumn(t, _text_hash(text_col)))
+    return dedupe(keyed.join(first.distinct(), [d, t], "left_semi"), [d, t]).drop(d, t)
 
 
 def digest(groups: DataFrame) -> DataFrame:

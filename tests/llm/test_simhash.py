@@ -93,3 +93,13 @@ def test_components_of_a_long_path(spark):
     rows = [(i, i + 1) for i in range(60)] + [(200, 100), (100, 300)]
     got = {r.node: r.root for r in components(spark.createDataFrame(rows, "u long, v long")).collect()}
     assert got == {i: 0 for i in range(61)} | {100: 100, 200: 100, 300: 100}
+
+
+def test_the_survivor_of_equal_rows_is_fixed_and_names_may_clash(spark):
+    rows = [(1, "a b c d", src, lang, 5, 6) for src in ("web", "books", None) for lang in ("fr", "en")] * 3
+    rows += [(None, "x y z", "web", "en", 5, 6), (None, "x y z", "books", "en", 5, 6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, _llm_t int, _T int")
+    for parts in (1, 2, 5):
+        got = simhash.keep_first(df.repartition(parts))
+        assert got.columns == df.columns
+        assert sorted(map(tuple, got.collect()), key=str) == [(1, "a b c d", None, "en", 5, 6), (None, "x y z", "books", "en", 5, 6)]
