@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.llm import words as W
-from mercato.llm.store import keep
+from mercato.llm.store import free_name, keep
 
 SHINGLE = 5
 FILTER_BITS = 1 << 23
@@ -206,9 +206,10 @@ def keep_clean(documents: DataFrame, benchmark: DataFrame, window: int = 13,
     verdict is one of the text alone, so rows are found again by a hash of
     their text: each goes or stays by its own, whatever its doc_id."""
     key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    judged = decontaminate(documents.withColumn("_llm_t", key), benchmark, window, "_llm_t", text_col)
-    gone = judged.where(is_contaminated()).select(F.col("doc_id").alias("_gone")).distinct()
-    return documents.join(gone, key == F.col("_gone"), "left_anti")
+    own, gone = free_name(documents, "t"), free_name(documents, "gone")
+    judged = decontaminate(documents.select(key.alias(own), F.col(text_col)), benchmark, window, own, text_col)
+    out = judged.where(is_contaminated()).select(F.col("doc_id").alias(gone)).distinct()
+    return documents.join(out, key == F.col(gone), "left_anti")
 
 
 def digest(judged: DataFrame) -> DataFrame:

@@ -87,3 +87,10 @@ def test_keep_clean_with_null_and_shared_ids(spark):
     clean = D.keep_clean(df, spark.createDataFrame([(1, item)], "item_id long, text string"))
     assert clean.columns == df.columns
     assert sorted(r.lang for r in clean.collect()) == ["b", "c", "e", "f", "i", "j"]
+
+
+def test_keep_clean_leaves_clashing_names_alone(spark):
+    item = " ".join(f"w{i}" for i in range(13))
+    df = spark.createDataFrame([(1, item, 7, 8, 9), (2, "fine", 7, 8, 9)], "doc_id long, text string, _llm_t int, _gone int, _T int")
+    got = D.keep_clean(df, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert got.columns == df.columns and [tuple(r) for r in got.collect()] == [(2, "fine", 7, 8, 9)]
