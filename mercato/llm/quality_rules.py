@@ -21,13 +21,13 @@ log(delta / strata) / log(1 - alpha) good documents to be tested; strata
 with fewer labels keep all their documents.
 
 Statistics come from one pass over whole texts, vectorised over slices; the
-labelled counts are aggregated in Spark, and only rules x cutoffs x strata
-(bounded by ``MAX_STRATA`` for the driver; the smaller strata share one)
-reach the driver.
+labelled counts are aggregated in Spark, cutoffs are chosen for each stratum
+from its own counts and joined back, however many strata there are.
 
-Cases: null and blank texts have no words and fail the base rule; a null or
-rare language is the stratum ``other``; null labels are ignored; repeated
-rows each get a verdict; without labels the rules reject nothing.  Other
+Cases: null and blank texts have no words and fail the base rule; a null
+language is the stratum ``other``; null labels are ignored; repeated rows
+each get a verdict, but are one labelled document (one trial of the test);
+without labels the rules reject nothing.  Other
 columns are ignored.
 """
 
@@ -48,7 +48,6 @@ RUN = 8
 ALPHA, DELTA = 0.05, 0.05
 #: One in this many good labelled documents measures power and is not tested.
 PICK = 5
-MAX_STRATA = 1000
 _SYMBOLS = np.zeros(256, dtype=bool)
 _SYMBOLS[list(b"#*$%&|<>")] = True
 _NOT_NEWLINE = ~W.byte_table((0x0A, 0x0A))
@@ -181,12 +180,12 @@ def power_shares(counts: list[tuple[str, str, float, int, int, int, int]], alpha
 
 
 def choose_cutoffs(counts: list[tuple[str, str, float, int, int, int, int]], alpha: float = ALPHA,
-                   delta: float = DELTA, shares: dict[tuple[str, str], float] | None = None
-                   ) -> dict[tuple[str, str], float]:
+                   delta: float = DELTA, shares: dict[tuple[str, str], float] | None = None,
+                   strata: int | None = None) -> dict[tuple[str, str], float]:
     """(stratum, rule) -> cutoff, from rows (stratum, rule, cutoff, good
     labelled, good rejected, bad labelled, bad rejected); ``shares`` as of
     ``power_shares``, even ones without it."""
-    strata = len({c[0] for c in counts})
+    strata = strata or len({c[0] for c in counts})
     best: dict[tuple[str, str], float] = {}
     failed = set()
     for stratum, rule, cutoff, good, good_out, bad, bad_out in sorted(counts, key=lambda c: -c[2]):
@@ -203,29 +202,26 @@ def choose_cutoffs(counts: list[tuple[str, str, float, int, int, int, int]], alp
 def labelled_counts(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                     label_col: str = "quality") -> DataFrame:
     """For each stratum, rule and grid cell: good and bad labelled documents
-    that the base rule passes; ``picked`` are the good ones that measure power."""
+    that the base rule passes; ``picked`` are the good ones that measure power.
+    Rows of one id with equal statistics are one document: a copy is no
+    further trial.  Copies under several ids are documents of their own, each
+    with its label."""
     marks = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
              .groupBy(F.col(id_col).cast("long").alias("_id")).agg(F.min(label_col).alias("good")))
     # the grid cell of a statistic: how many cutoffs it exceeds
     cell = [sum(((F.expr(stat) > c).cast("int") for c in GRID), F.lit(0)).alias(rule)
             for rule, stat in RULES.items()]
     joined = stats.where(~base_failed()).join(marks, F.col("doc_id") == F.col("_id")).select(
-        "stratum", "good", ((F.col("good") == 1) & (F.pmod(F.xxhash64("doc_id"), F.lit(PICK)) == 0)).alias("picked"), *cell)
-    return (joined.select("stratum", "good", "picked", F.explode(F.create_map(
+        "doc_id", *_COLUMNS, "stratum", "good", ((F.col("good") == 1) & (F.pmod(F.xxhash64("doc_id"), F.lit(PICK)) == 0)).alias("picked"), *cell)
+    return (joined.distinct().select("stratum", "good", "picked", F.explode(F.create_map(
         *(x for r in RULES for x in (F.lit(r), F.col(r))))).alias("rule", "cell"))
         .groupBy("stratum", "rule", "good", "picked", "cell").count())
 
 
-def strata_of(stats: DataFrame) -> list[str]:
-    """The largest strata, at most ``MAX_STRATA``; the others share one."""
-    rows = stats.groupBy("stratum").count().orderBy(F.desc("count"), "stratum").limit(MAX_STRATA).collect()
-    return [r.stratum for r in rows]
-
-
-def fit_cutoffs(stats: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA,
-                id_col: str = "doc_id", label_col: str = "quality") -> dict[tuple[str, str], float]:
+def stratum_cutoffs(rows: list[tuple], alpha: float, delta: float, strata: int) -> dict[tuple[str, str], float]:
+    """Cutoffs of one stratum from its rows of ``labelled_counts``."""
     cells: dict[tuple[str, str], list[list[int]]] = {}
-    for stratum, rule, good, picked, cell, n in labelled_counts(stats, labels, id_col, label_col).collect():
+    for stratum, rule, good, picked, cell, n in rows:
         kind = int(good == 1) + int(picked)  # bad, tested good, picked good
         cells.setdefault((stratum, rule), [[0] * (len(GRID) + 1) for _ in range(3)])[kind][cell] += n
     tested, power = [], []
@@ -234,7 +230,24 @@ def fit_cutoffs(stats: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta
         for i, cutoff in enumerate(sorted(GRID)):
             for out, good in zip((tested, power), goods, strict=True):
                 out.append((stratum, rule, cutoff, sum(good), sum(good[i + 1:]), sum(bad), sum(bad[i + 1:])))
-    return choose_cutoffs(tested, alpha, delta, power_shares(power, alpha))
+    return choose_cutoffs(tested, alpha, delta, power_shares(power, alpha), strata)
+
+
+def fit_cutoffs(stats: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA,
+                id_col: str = "doc_id", label_col: str = "quality") -> DataFrame:
+    """stratum, rule, cutoff.  Strata are fitted side by side, each from its
+    own counts (rules x grid cells, whatever its size); only their number,
+    over which delta is divided, is common."""
+    counts = keep(labelled_counts(stats, labels, id_col, label_col), "counts")
+    strata = counts.select("stratum").distinct().count()
+
+    def fit(group: pa.Table) -> pa.Table:
+        rows = list(zip(*(group[c].to_pylist() for c in ("stratum", "rule", "good", "picked", "cell", "count")), strict=True))
+        found = [(s, r, c) for (s, r), c in sorted(stratum_cutoffs(rows, alpha, delta, strata).items())]
+        return pa.table({n: [f[i] for f in found] for i, n in enumerate(("stratum", "rule", "cutoff"))},
+                        schema=pa.schema([("stratum", pa.string()), ("rule", pa.string()), ("cutoff", pa.float64())]))
+
+    return counts.groupBy("stratum").applyInArrow(fit, "stratum string, rule string, cutoff double")
 
 
 def quality_rules(documents: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA,
@@ -242,18 +255,14 @@ def quality_rules(documents: DataFrame, labels: DataFrame, alpha: float = ALPHA,
                   label_col: str = "quality") -> DataFrame:
     """doc_id, stratum, statistics, base_failed, rejected_by (rules), kept."""
     stats = keep(statistics(documents, id_col, text_col, stratum_col), "statistics")
-    known = strata_of(stats)
-    stats = stats.withColumn("stratum", F.when(F.col("stratum").isin(known), F.col("stratum")).otherwise("other"))
     cutoffs = fit_cutoffs(stats, labels, alpha, delta, id_col, label_col)
-    over = []
-    for rule, stat in RULES.items():
-        mine = [(s, c) for (s, r), c in sorted(cutoffs.items()) if r == rule]
-        if mine:
-            limits = F.create_map(*(x for s, c in mine for x in (F.lit(s), F.lit(c))))
-            over.append(F.when(F.expr(stat) > F.coalesce(limits[F.col("stratum")], F.lit(math.inf)), F.lit(rule)))
-    rejected = F.array_compact(F.array(*over)) if over else F.array().cast("array<string>")
+    # one row a stratum, written first: the planner sees its size when it joins
+    limits = keep(cutoffs.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("_limits")), "cutoffs")
+    stats = stats.join(limits, "stratum", "left").select(*stats.columns, "_limits")
+    over = [F.when(F.expr(stat) > F.col("_limits")[rule], F.lit(rule)) for rule, stat in RULES.items()]
+    rejected = F.array_compact(F.array(*over))
     return (stats.withColumn("base_failed", base_failed()).withColumn("rejected_by", rejected)
-            .withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0)))
+            .withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0)).drop("_limits"))
 
 
 def digest(judged: DataFrame) -> DataFrame:

@@ -107,3 +107,33 @@ def test_fixed_sequence_and_power_shares():
     # one rule with all the power needs log(delta) / log(1 - alpha) = 59 good documents
     for good, want_ in ((58, {}), (59, {("en", "symbols"): .1})):
         assert R.choose_cutoffs([row(.1, 0, 300, good)], shares={("en", "symbols"): 1.0}) == want_
+
+
+def _stats(spark, sql):
+    zeros = ", ".join(f"CAST(coalesce({{0}}, 0) AS LONG) AS {c}".replace("{0}", "40" if c == "n_words" else "400" if c == "word_chars" else "0")
+                      for c in R._COLUMNS if c != "n_symbols")
+    return spark.sql(sql.replace("ZEROS", zeros)).select("doc_id", "stratum", *R._COLUMNS)
+
+
+def test_a_document_repeated_is_one_trial(spark):
+    """Twenty good documents, one of them 500 times, are too few to test."""
+    once = _stats(spark, "SELECT id AS doc_id, 'en' AS stratum, IF(id < 20, 0L, 300L) AS n_symbols, ZEROS FROM range(40)")
+    labels = spark.sql("SELECT id AS doc_id, CAST(id < 20 AS INT) AS quality FROM range(40)")
+    copies = once.unionAll(once.where("doc_id = 3").crossJoin(spark.range(500)).drop("id"))
+    for stats in (once, copies):
+        assert R.fit_cutoffs(stats, labels).collect() == []
+    counts = R.labelled_counts(copies, labels).where("rule = 'symbols'").groupBy("good").sum("count").collect()
+    assert sorted(map(tuple, counts)) == [(0, 20), (1, 20)]
+
+
+def test_every_one_of_many_strata_has_its_own_cutoffs(spark):
+    """Good documents of stratum s have a symbol share of (s % 3) / 10."""
+    n, strata = 360, 1100
+    good = "id % 12 > 0"
+    sql = f"SELECT id AS doc_id, CAST(id DIV {n} AS STRING) AS stratum, IF({good}, (id DIV {n}) % 3 * 40L, 200L) AS n_symbols, ZEROS FROM range({n * strata})"
+    labels = spark.sql(f"SELECT id AS doc_id, CAST({good} AS INT) AS quality FROM range({n * strata})")
+    got = {r.stratum: r.cutoff for r in R.fit_cutoffs(_stats(spark, sql), labels).collect() if r.rule == "symbols"}
+    assert len(got) == strata
+    for s, cutoff in got.items():
+        assert int(s) % 3 / 10 <= cutoff < 0.5
+    assert len({got[str(s)] for s in range(3)}) == 3
