@@ -1,8 +1,9 @@
 """WARC: deterministic sharded writer, and its reader.
 
-Records are range-sorted by page_id: shard bounds are quantiles of a sample
-of ids chosen by hash, so the same table gives the same shards whatever the
-tasks.  A shard's records go to gzip files, a member for each record, which
+Records are range-sorted by page_id, and by digest and url where ids are
+missing or repeat: shard bounds are quantiles of a sample of such keys chosen
+by hash, so the same table gives the same shards whatever the tasks, and only
+rows that are equal in all three cannot be cut apart.  A shard's records go to gzip files, a member for each record, which
 roll when the next record would pass ``file_bytes`` of compressed size.
 Headers, record ids and digests are made anew from the payload.  Of equal
 payloads of ``MIN_REVISIT`` bytes or more, the smallest page_id is written as
@@ -26,6 +27,7 @@ empty table gives an empty manifest.  Other columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import gzip
 import hashlib
 import io
@@ -42,8 +44,11 @@ from mercato.llm.store import keep, new_folder
 
 MIN_REVISIT = 100
 SHARD_BYTES, FILE_BYTES = 32 << 20, 8 << 20
-#: Sampled ids a shard, and at most in all.
-IDS_PER_SHARD, MAX_IDS = 64, 1 << 16
+#: Sampled keys a shard, and shards in all: beyond ``MAX_SHARDS`` times
+#: ``shard_bytes`` (2 TB) shards grow instead.  A task streams its shard into
+#: files of ``file_bytes``, so its memory does not follow the shard's size,
+#: and the sampled keys on the driver stay bounded.
+KEYS_PER_SHARD, MAX_SHARDS = 16, 1 << 16
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _SPACE = uuid.UUID("5e1f9d3a-7a0c-4b0e-9f0a-0d7f5c1b2a33")
@@ -154,6 +159,20 @@ def _write(folder: str, file_bytes: int, date: str):
     return run
 
 
+def _shard_of(bounds: list[tuple[int, str, int]]):
+    """Column of the shard of a key (page_id, digest, url hash): how many
+    bounds it has reached, by binary search; payloads stay in the JVM."""
+    if not bounds:
+        return lambda *key: F.lit(0)
+
+    @F.arrow_udf("int")
+    def shard(ids: pa.Array, digests: pa.Array, urls: pa.Array) -> pa.Array:
+        rows = zip(ids.to_pylist(), digests.to_pylist(), urls.to_pylist(), strict=True)
+        return pa.array([bisect.bisect_right(bounds, row) for row in rows], pa.int32())
+
+    return shard
+
+
 def write_warc(pages: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES, file_bytes: int = FILE_BYTES,
                date: str = DATE, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> str:
     """Write the pages as WARC files and a manifest into ``folder``; returns it."""
@@ -161,24 +180,24 @@ def write_warc(pages: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES, fi
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                         payload.alias("payload"), F.sha2(payload, 256).alias("digest"),
                         F.octet_length(payload).cast("long").alias("n"))
-    narrow = keep(rows.select("page_id", "digest", "n"), "digests")
+    narrow = keep(rows.select("page_id", "digest", F.xxhash64("url").alias("u"), "n"), "digests")
     total = narrow.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    shards = max(1, -(-total // shard_bytes))
-    ids = sorted(r[0] for r in narrow.where("page_id IS NOT NULL").select("page_id").orderBy(F.xxhash64("page_id"), "page_id")
-                 .limit(min(MAX_IDS, IDS_PER_SHARD * shards)).collect())
-    bounds = sorted({ids[i * len(ids) // shards] for i in range(1, shards)}) if ids else []
+    shards = min(MAX_SHARDS, max(1, -(-total // shard_bytes)))
+    key_columns = [F.coalesce("page_id", F.lit(_NULL_ID)).alias("page_id"), F.substring("digest", 1, 16).alias("digest"), "u"]
+    keys = sorted(tuple(r) for r in narrow.select(*key_columns).orderBy(F.xxhash64("page_id", "digest", "u"), "page_id", "digest", "u")
+                  .limit(KEYS_PER_SHARD * shards).collect()) if shards > 1 else []
+    shard_of = _shard_of(sorted({keys[i * len(keys) // shards] for i in range(1, shards)}) if keys else [])
     first = narrow.where(F.col("n") >= MIN_REVISIT).groupBy("digest").agg(F.min("page_id").alias("first"))
-    key = F.coalesce("page_id", F.lit(_NULL_ID))
-    shard = F.size(F.filter(F.array(*map(F.lit, bounds)).cast("array<bigint>"), lambda b: b <= key)) if bounds else F.lit(0)
     # which pages revisit which goes to the shards beside the payloads, so
     # payloads move once
-    revisits = narrow.select("page_id", "digest").distinct().join(first, "digest").where(
+    revisits = narrow.select("page_id", "digest", "u").distinct().join(first, "digest").where(
         ~F.col("page_id").eqNullSafe(F.col("first")))
-    records = (rows.select(shard.alias("shard"), "page_id", "digest", F.lit(True).alias("page"), "url", "payload", "n",
-                           F.lit(None).cast("long").alias("first"))
-               .unionByName(revisits.select(shard.alias("shard"), "page_id", "digest", F.lit(False).alias("page"), "first"),
-                            allowMissingColumns=True)
-               .repartition("shard").sortWithinPartitions("shard", "page_id", "digest", "page", "url"))
+    records = (rows.withColumn("u", F.xxhash64("url"))
+               .select(shard_of(*key_columns).alias("shard"), "page_id", "digest", "u", F.lit(True).alias("page"), "url", "payload", "n",
+                       F.lit(None).cast("long").alias("first"))
+               .unionByName(revisits.select(shard_of(*key_columns).alias("shard"), "page_id", "digest", "u", F.lit(False).alias("page"),
+                                            "first"), allowMissingColumns=True)
+               .repartition(shards, "shard").sortWithinPartitions("shard", "page_id", "digest", "u", "page", "url"))
     records.mapInArrow(_write(folder, file_bytes, date), _MANIFEST).write.json(f"{folder}/_manifest")
     store, base = fs.FileSystem.from_uri(folder)
     if store.get_file_info(f"{base}/_attempts").type == fs.FileType.Directory:

@@ -97,3 +97,20 @@ def test_damage_is_noticed(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert A.round_trip(df).count() == 0
+
+
+def test_pages_without_an_id_or_of_one_id_fill_several_shards(spark):
+    rows = [(None, f"http://n/{i % 97}", f"{i} " * 60) for i in range(300)] + [(7, f"http://s/{i % 5}", f"x{i % 9} " * 80) for i in range(300)]
+    rows += [(i, None, "hot " * 90) for i in range(50)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    seen = []
+    for parts in (1, 6):
+        folder = A.write_warc(df.repartition(parts), new_folder(spark, "warc-test"), shard_bytes=4_000)
+        assert got(A.read_warc(spark, folder)) == brute(rows)
+        found, _ = files(folder)
+        seen.append(found)
+    assert seen[0] == seen[1]
+    assert len({f.split("-")[1] for f in seen[0]}) > 20
+    # the first records are those without an id
+    of = {f: [h.get("WARC-Page-ID") for h, _ in A.parse(gzip.decompress(b)) if h["WARC-Type"] != "warcinfo"] for f, b in seen[0].items()}
+    assert sum(set(ids) == {None} for ids in of.values()) > 5 and sum(set(ids) == {"7"} for ids in of.values()) > 5
