@@ -292,14 +292,36 @@ REPLY = {"reply": {"type": "object", "required": ["prompt"], "additionalProperti
 def turns_as_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Plain conversations as calls and results: a user's turn calls ``reply``
     with its text, and with the result of the call two turns before; an
-    assistant's turn is the result of the turn before it."""
-    c = conversations.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    assistant's turn is the result of the turn before it.
+
+    Plain conversations make no mistakes, so some are changed by their number
+    modulo 7: in 1, calls refer to the call two turns later instead (levels);
+    in 2, the first call refers to the one two turns later, which refers back
+    (a cycle); in 3, arguments break the schema (a number as prompt, an unknown
+    property, text that is no JSON); in 4, every call is repeated by a later
+    one of an unknown tool and every result is given twice; in 5, results name
+    other calls than they answer."""
+    c = conversations.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text",
+                             F.coalesce(F.pmod(F.col("conv_id").cast("long"), F.lit(7)), F.lit(0)).alias("k"))
 
     def call_id(back):
         return F.concat_ws(":", F.coalesce(F.col("conv_id").cast("string"), F.lit("")), (F.col("turn") - back).cast("string"))
 
-    past = F.when(F.col("turn") >= 2, F.struct(call_id(2).alias("$ref")))
-    calls = c.where("role = 'user'").select("conv_id", call_id(0).alias("call_id"), "turn", F.lit("reply").alias("name"),
-                                            F.to_json(F.struct(F.col("text").alias("prompt"), past.alias("history"))).alias("arguments"))
-    results = c.where("role = 'assistant'").select("conv_id", call_id(1).alias("call_id"), "turn", F.col("text").alias("content"))
+    k, turn = F.col("k"), F.col("turn")
+    ref = F.when((k == 1) | ((k == 2) & (turn == 0)), call_id(-2)).when(turn >= 2, call_id(2))
+    history = F.when(ref.isNotNull(), F.struct(ref.alias("$ref")))
+    plain = F.to_json(F.struct(F.col("text").alias("prompt"), history.alias("history")))
+    broken = (F.when(turn % 6 == 0, F.to_json(F.struct(turn.alias("prompt"))))
+              .when(turn % 6 == 2, F.to_json(F.struct(F.col("text").alias("prompt"), F.lit(1).alias("extra"))))
+              .otherwise(F.lit("{reply")))
+    call = F.struct(turn.alias("turn"), F.lit("reply").alias("name"))
+    again = F.struct((turn + 1).alias("turn"), F.lit("reply2").alias("name"))
+    calls = (c.where("role = 'user'").select(
+        "conv_id", call_id(0).alias("call_id"), F.when(k == 3, broken).otherwise(plain).alias("arguments"),
+        F.explode(F.when(k == 4, F.array(call, again)).otherwise(F.array(call))).alias("c"))
+        .select("conv_id", "call_id", "c.turn", "c.name", "arguments"))
+    other = F.when(k == 5, F.lit("x")).otherwise(F.lit(""))
+    turns = F.when(k == 4, F.array(turn, turn + 1)).otherwise(F.array(turn))
+    results = c.where("role = 'assistant'").select("conv_id", F.concat(call_id(1), other).alias("call_id"),
+                                                   F.explode(turns).alias("turn"), F.col("text").alias("content"))
     return calls, results

@@ -79,32 +79,60 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM f
 """
 
-# one row for each (conv_id, turn), as the table has; duplicate ids are tested against brute force
+# one row for each (conv_id, turn), as the table has; duplicate ids are tested against brute force.
+# each call has one reference at most, so its level is the length of the walk along references
 ORACLE["op3_tool_calls"] = r"""
-WITH c AS (
-    SELECT conv_id, turn, text, conv_id || ':' || turn AS call_id,
-           CASE WHEN turn >= 2 THEN conv_id || ':' || (turn - 2) END AS ref
+WITH RECURSIVE u AS (
+    SELECT conv_id, turn, text, conv_id % 7 AS k, conv_id || ':' || turn AS call_id,
+           CASE WHEN conv_id % 7 = 3 THEN NULL
+                WHEN conv_id % 7 = 1 OR (conv_id % 7 = 2 AND turn = 0) THEN turn + 2
+                WHEN turn >= 2 THEN turn - 2 END AS ref_turn
     FROM conversations WHERE role = 'user'),
-r AS (SELECT conv_id, turn, text, conv_id || ':' || (turn - 1) AS call_id FROM conversations WHERE role = 'assistant'),
+v AS (SELECT *, conv_id || ':' || ref_turn AS ref FROM u),
+r0 AS (
+    SELECT conv_id, turn, text, conv_id || ':' || (turn - 1) || CASE WHEN conv_id % 7 = 5 THEN 'x' ELSE '' END AS call_id
+    FROM conversations WHERE role = 'assistant'),
+walk AS (
+    SELECT call_id, ref, 0 AS steps FROM v
+    UNION ALL
+    SELECT w.call_id, v.ref, w.steps + 1 FROM walk w JOIN v ON w.ref = v.call_id WHERE w.steps <= 200),
+odd AS (SELECT DISTINCT v.conv_id FROM v JOIN v p ON v.ref = p.call_id WHERE p.turn >= v.turn),
+ordered AS (
+    SELECT v.*, CASE WHEN v.conv_id NOT IN (SELECT conv_id FROM odd) THEN 0 WHEN w.steps > 200 THEN NULL ELSE w.steps END AS level,
+           CASE WHEN v.ref IS NOT NULL AND v.ref NOT IN (SELECT call_id FROM v) THEN 'missing_ref'
+                WHEN v.conv_id IN (SELECT conv_id FROM odd) AND w.steps > 200 THEN 'cycle' END AS link_error
+    FROM v JOIN (SELECT call_id, max(steps) AS steps FROM walk GROUP BY 1) w USING (call_id)),
+c AS (
+    SELECT *, CASE WHEN k = 3 AND turn % 6 NOT IN (0, 2) THEN '"{reply"'
+                   WHEN k = 3 AND turn % 6 = 0 THEN '{"prompt":' || turn || '}'
+                   WHEN k = 3 THEN '{"extra":1' || coalesce(',"prompt":' || to_json(text)::VARCHAR, '') || '}'
+                   ELSE '{' || concat_ws(',', '"history":{"$ref":' || to_json(ref)::VARCHAR || '}',
+                                         '"prompt":' || to_json(text)::VARCHAR) || '}' END AS arguments,
+           CASE WHEN k = 3 AND turn % 6 NOT IN (0, 2) THEN 'bad_json'
+                WHEN k = 3 AND turn % 6 = 0 THEN 'type:/prompt'
+                WHEN text IS NULL THEN 'required:/prompt'
+                WHEN k = 3 THEN 'unknown:/extra'
+                WHEN text = '' THEN 'length:/prompt' END AS schema_error
+    FROM ordered),
 calls AS (
-    SELECT c.conv_id, c.call_id, c.turn, r.turn AS result_turn, 0 AS level,
-           CASE WHEN r.call_id IS NULL THEN 'no_result' ELSE 'linked' END AS status,
-           CASE WHEN c.text IS NULL THEN 'required:/prompt' WHEN c.text = '' THEN 'length:/prompt'
-                WHEN c.ref IS NOT NULL AND p.call_id IS NULL THEN 'missing_ref' END AS error,
-           '{"arguments":{' || CASE WHEN c.ref IS NULL THEN '' ELSE '"history":{"$ref":' || to_json(c.ref)::VARCHAR || '},' END
-           || CASE WHEN c.text IS NULL THEN '' ELSE '"prompt":' || to_json(c.text)::VARCHAR END
-           || '},"id":' || to_json(c.call_id)::VARCHAR || ',"name":"reply","result":'
+    SELECT c.conv_id, c.call_id, c.turn + again AS turn, r.turn AS result_turn, c.level,
+           CASE WHEN again = 1 THEN 'duplicate_call' WHEN r.call_id IS NULL THEN 'no_result' ELSE 'linked' END AS status,
+           coalesce(CASE WHEN again = 1 THEN 'unknown_tool:reply2' ELSE c.schema_error END, c.link_error) AS error,
+           '{"arguments":' || c.arguments || ',"id":' || to_json(c.call_id)::VARCHAR
+           || CASE WHEN again = 1 THEN ',"name":"reply2","result":' ELSE ',"name":"reply","result":' END
            || CASE WHEN r.call_id IS NULL THEN 'null' ELSE '{"content":' || coalesce(to_json(r.text)::VARCHAR, 'null')
                    || ',"turn":' || r.turn || '}' END
-           || ',"turn":' || c.turn || '}' AS json
-    FROM c LEFT JOIN r USING (call_id) LEFT JOIN c p ON c.ref = p.call_id),
+           || ',"turn":' || (c.turn + again) || '}' AS json
+    FROM c JOIN (VALUES (0), (1)) a(again) ON again = 0 OR c.k = 4
+    LEFT JOIN r0 r ON r.call_id = c.call_id AND again = 0),
 lone AS (
-    SELECT r.conv_id, r.call_id, NULL::BIGINT AS turn, r.turn AS result_turn, 0 AS level, 'no_call' AS status,
-           NULL::VARCHAR AS error,
+    SELECT r.conv_id, r.call_id, NULL::BIGINT AS turn, r.turn + late AS result_turn, 0 AS level,
+           CASE WHEN c.call_id IS NULL THEN 'no_call' ELSE 'duplicate_result' END AS status, NULL::VARCHAR AS error,
            '{"id":' || to_json(r.call_id)::VARCHAR || ',"result":{"content":' || coalesce(to_json(r.text)::VARCHAR, 'null')
-           || ',"turn":' || r.turn || '}}' AS json
-    FROM r WHERE call_id NOT IN (SELECT call_id FROM c))
-SELECT * FROM calls UNION ALL SELECT * FROM lone
+           || ',"turn":' || (r.turn + late) || '}}' AS json
+    FROM r0 r JOIN (VALUES (0), (1)) l(late) ON late = 0 OR r.conv_id % 7 = 4 LEFT JOIN c ON r.call_id = c.call_id
+    WHERE c.call_id IS NULL OR late = 1)
+SELECT conv_id, call_id, turn, result_turn, level::INTEGER AS level, status, error, json FROM calls UNION ALL SELECT * FROM lone
 """
 
 # quotients and blocks are listed one by one here; the operator settles them in closed form

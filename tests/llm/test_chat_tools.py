@@ -4,7 +4,7 @@ import random
 import pytest
 
 from mercato.llm import chat_tools as C
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_CHECK, SF_SMALL
 
 SCHEMAS = {"add": {"type": "object", "required": ["a", "b"], "properties": {
     "a": {"type": "number"}, "b": {"type": "integer", "minimum": 0}, "how": {"enum": ["up", "down"]}}, "additionalProperties": False},
@@ -27,10 +27,10 @@ def test_canonical_arguments():
     assert C.checked_arguments("no", '{"x": [{"$ref": "q"}, {"y": {"$ref": "p"}}]}', SCHEMAS)[1:] == (["p", "q"], "unknown_tool:no")
 
 
-def brute(calls, results):
+def brute(calls, results, schemas=SCHEMAS):
     """Rows as link_calls gives them, one conversation at a time."""
     out = []
-    parsed = [(*c[:4], *C.checked_arguments(c[3], c[4], SCHEMAS)) for c in calls]
+    parsed = [(*c[:4], *C.checked_arguments(c[3], c[4], schemas)) for c in calls]
     key = lambda x: tuple((v is not None, v) for v in x)
     first, answer = {}, {}
     for conv, i, turn, name, args, _, _ in parsed:
@@ -119,7 +119,8 @@ def test_messages(spark):
 
 
 def test_driver_table(spark):
-    conv = spark.read.parquet(f"{SF_SMALL}/conversations.parquet")
+    """Conversations without planted mistakes keep every prompt and answer."""
+    conv = spark.read.parquet(f"{SF_SMALL}/conversations.parquet").where("conv_id % 7 IN (0, 6)")
     got = C.link_calls(*C.turns_as_calls(conv), C.REPLY).collect()
     rows = [tuple(r) for r in conv.select("conv_id", "turn", "role", "text").collect()]
     users = {(c, t): x for c, t, role, x in rows if role == "user"}
@@ -135,6 +136,18 @@ def test_driver_table(spark):
             assert (r.conv_id, r.result_turn - 1) not in users
 
 
+def test_every_check_shows_in_the_driver_table(spark):
+    conv = spark.read.parquet(f"{SF_CHECK}/conversations.parquet")
+    calls, results = C.turns_as_calls(conv)
+    got = sorted((tuple(r) for r in C.link_calls(calls, results, C.REPLY).collect()), key=str)
+    plain = lambda df, *names: [tuple(r) for r in df.select(*names).collect()]
+    assert got == sorted(brute(plain(calls, "conv_id", "call_id", "turn", "name", "arguments"),
+                               plain(results, "conv_id", "call_id", "turn", "content"), C.REPLY), key=str)
+    assert {r[5] for r in got} >= {"linked", "no_result", "no_call", "duplicate_call", "duplicate_result"}
+    assert {(r[6] or "").split(":")[0] for r in got} >= {"", "type", "unknown", "bad_json", "unknown_tool", "missing_ref", "cycle"}
+    assert max(r[4] or 0 for r in got) >= 2
+
+
 @pytest.mark.parametrize("part", [{"const": 1}, {"pattern": "a"}, {"anyOf": []}, {"exclusiveMinimum": 0}, {"minItems": 1},
                                   {"uniqueItems": True}, {"additionalProperties": {"type": "string"}}, True])
 def test_unsupported_schemas_are_errors(part):
