@@ -327,15 +327,16 @@ def _remove(window: int):
 
 def repeated_places(docs: DataFrame, window: int) -> DataFrame:
     """For each document with repeats: anchors settled as repeated, and those
-    whose windows must be compared (word positions)."""
+    whose windows must be compared (word positions).  Copies of one row bring
+    equal lists from every chunk that holds one; each list is kept once, map
+    side already, and a place once in the end."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     anchors = docs.mapInArrow(_anchors(window, 4 * parts), ANCHOR_ROWS)
     dealt = anchors.repartition(
         parts, F.when(F.col("bucket") < 0, F.hash("d")).otherwise(F.col("bucket")))
     marks = dealt.sortWithinPartitions("bucket").mapInArrow(_settle_buckets, MARKS)
-    return marks.groupBy("d", "t").agg(F.flatten(F.collect_list("settled")).alias("settled"),
-                                       F.flatten(F.collect_list("compare")).alias("compare"))
+    return marks.groupBy("d", "t").agg(*[F.array_distinct(F.flatten(F.collect_set(c))).alias(c) for c in ("settled", "compare")])
 
 
 def substring_dedup(documents: DataFrame, window: int = 20, id_col: str = "doc_id",

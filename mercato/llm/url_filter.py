@@ -86,7 +86,6 @@ def lexical(url: Column, host: Column, path: Column) -> dict[str, Column]:
         "path_length": F.length(path).cast("double"), "query_length": F.length(query).cast("double"),
         "depth": _count(path, "/[^/]+"), "labels": _count(host, r"[^.]+"), "hyphens": _count(host, "-"),
         "digit_ratio": _count(text, "[0-9]") / size, "path_digits": _count(path, "[0-9]"),
-        "first_digit": F.coalesce(F.expr("try_cast(substring(regexp_extract(path, '[0-9]', 0), 1, 1) AS DOUBLE)"), F.lit(-1.0)),
         "entropy": _entropy(text), "host_entropy": _entropy(host),
         "parameters": F.when(query == "", 0.0).otherwise(_count(query, "&") + 1),
         "fragment": F.contains(text, F.lit("#")).cast("double"), "secure": F.startswith(text, F.lit("https:")).cast("double"),

@@ -1,3 +1,5 @@
+import math
+import re
 import zlib
 
 import numpy as np
@@ -110,3 +112,62 @@ def test_rows_of_one_id_are_one_document_of_the_sample(spark, monkeypatch):
     # the same model whatever the order and the copies of equal rows
     one = Q.train(docs.repartition(7).unionAll(docs), labels, sample=1000).dump()
     assert one == Q.train(docs, labels, sample=1000).dump()
+
+
+def plain_passages(text):
+    """Feature vectors of a text's passages, word by word."""
+    raw = (text or "").encode()
+    words = [(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", raw)]
+    starts = list(range(0, len(words), Q.PASSAGE)) or [0]
+    runs, out = set(), []
+    for k, first in enumerate(starts):
+        mine = words[first:first + Q.PASSAGE]
+        lo = words[first][0] if k else 0
+        hi = words[starts[k + 1]][0] if k + 1 < len(starts) else len(raw)
+        part = raw[lo:hi]
+        shares = [sum(b in c.encode() for b in part) for c in Q.CLASSES]
+        listed = {b for c in Q.CLASSES for b in c.encode()}
+        shares += [sum(b < 0x80 and b not in listed for b in part), sum(0x80 <= b < 0xC0 for b in part), sum(b >= 0xC0 for b in part)]
+        chars = max(1, sum(not 0x80 <= b < 0xC0 for b in part))
+        n, some = len(mine), max(1, len(mine))
+        lengths = [b - a for a, b in mine]
+        mean = sum(lengths) / some
+        seen, again, run_again = set(), 0, 0
+        for i, (a, b) in enumerate(mine):
+            again += raw[a:b] in seen
+            seen.add(raw[a:b])
+            run = tuple(raw[x:y] for x, y in words[first + i:first + i + 4])
+            if len(run) == 4:
+                run_again += run in runs
+                runs.add(run)
+        out.append([s / chars for s in shares] + [
+            math.log1p(n), mean, math.sqrt(max(0, sum(x * x for x in lengths) / some - mean ** 2)), again / some, run_again / some,
+            sum(x <= 3 for x in lengths) / some, sum(65 <= raw[a] <= 90 for a, _ in mine) / some, math.log1p(shares[8] / some)])
+    return out
+
+
+def plain_score(p, text):
+    """The gated attention score of a text, number by number."""
+    dot = lambda x, m, j: sum(v * m[i][j] for i, v in enumerate(x))
+    hs, es = [], []
+    for x in plain_passages(text):
+        x = [min(8, max(-8, (v - m) / s)) for v, m, s in zip(x, p["mean"], p["std"])]
+        h = [math.tanh(dot(x, p["W"], j) + b) for j, b in enumerate(p["b"])]
+        hs.append(h)
+        es.append(sum(w * math.tanh(dot(h, p["V"], j)) / (1 + math.exp(-dot(h, p["U"], j))) for j, w in enumerate(p["w"])))
+    a = [math.exp(e - max(es)) for e in es]
+    z = [sum(w * h[j] for w, h in zip(a, hs)) / sum(a) for j in range(len(p["b"]))]
+    logit = sum(c * v for c, v in zip(p["c"], z)) + float(p["d"])
+    return 1 / (1 + math.exp(-min(30, max(-30, logit))))
+
+
+def test_scores_against_plain_python(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    model = Q.train(docs, spark.read.parquet(f"{SF_SMALL}/labels.parquet"))
+    odd = spark.createDataFrame([(-1, None), (-2, ""), (-3, " \n\n"), (-4, "é中 " * 200), (-5, "same words here again " * 90)], "doc_id long, text string")
+    rows = docs.select("doc_id", "text").where("length(text) < 6000").unionAll(odd)
+    texts = {r.doc_id: r.text for r in rows.collect()}
+    got = Q.quality_scores(rows, model).collect()
+    assert len(got) > 150
+    for r in got:
+        assert r.score == pytest.approx(plain_score(model.weights, texts[r.doc_id]), abs=1e-9)
