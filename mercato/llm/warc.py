@@ -197,7 +197,8 @@ def write_warc(pages: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES, fi
                        F.lit(None).cast("long").alias("first"))
                .unionByName(revisits.select(shard_of(*key_columns).alias("shard"), "page_id", "digest", "u", F.lit(False).alias("page"),
                                             "first"), allowMissingColumns=True)
-               .repartition(shards, "shard").sortWithinPartitions("shard", "page_id", "digest", "u", "page", "url"))
+               # by hash, several shards may meet in a task: fewer do in more partitions
+               .repartition(4 * shards, "shard").sortWithinPartitions("shard", "page_id", "digest", "u", "page", "url"))
     records.mapInArrow(_write(folder, file_bytes, date), _MANIFEST).write.json(f"{folder}/_manifest")
     store, base = fs.FileSystem.from_uri(folder)
     if store.get_file_info(f"{base}/_attempts").type == fs.FileType.Directory:
