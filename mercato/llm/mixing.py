@@ -119,10 +119,12 @@ def sainte_lague(claims: DataFrame, keys: list[str], name: str) -> DataFrame:
         (F.col("c._sure") + F.coalesce("w._won", F.lit(0))).cast("long").alias("quota"))
 
 
-def mix(documents: DataFrame, weights: tuple = WEIGHTS, total_share: float = TOTAL_SHARE,
-        max_repeats: int = MAX_REPEATS, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text",
-        source_col: str = "source") -> DataFrame:
-    """doc_id, t (a hash of seed, id and text), size, source_size, target, taken of every row."""
+def _streams(documents: DataFrame, weights: tuple, total_share: float, max_repeats: int, block: int, id_col: str, text_col: str,
+             source_col: str) -> tuple[DataFrame, DataFrame]:
+    """The rows with words, each with its place in its shard's stream (offset
+    ``o``, first and last block ``a`` and ``e``) and the shard's selection
+    (``n`` blocks, ``passes`` of all and ``r`` more from seed ``s``); and the
+    rows without words, as ``mix`` returns them."""
     docs = keep(sizes(documents, id_col, text_col, source_col), "sizes")
     by_source = docs.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
     goals = targets(by_source.select("source", "source_size"), weights, total_share, max_repeats)
@@ -160,21 +162,46 @@ def mix(documents: DataFrame, weights: tuple = WEIGHTS, total_share: float = TOT
           .select("p.doc_id", "p.h", "p.size", "p.o", "s.source_size", "s.target", "s.n", "s.passes", "s.r", "s.s")
           .withColumn("a", F.expr(f"o div {block}")).withColumn("e", F.expr(f"(o + size - 1) div {block}")))
 
-    def before(j):  # selected blocks before block j
-        return f"((({j}) * r + s) div n)"
-
-    def picked(j):
-        return f"({before(f'{j} + 1')} - {before(j)})"
-
-    part = F.expr(f"""CASE WHEN a = e THEN {picked('a')} * size
-        ELSE {picked('a')} * ((a + 1) * {block} - o) + {picked('e')} * (o + size - e * {block})
-             + {block} * ({before('e')} - {before('a + 1')}) END""")
     blank = (docs.where("size = 0").alias("d").join(of_source.alias("s"), F.expr("d.source <=> s.source"))
              .select("d.doc_id", F.col("d.h").alias("t"), "d.size", "s.source_size", "s.target", F.lit(0).cast("long").alias("taken")))
+    return at, blank
+
+
+def _before(j: str) -> str:
+    """Selected blocks before block j."""
+    return f"((({j}) * r + s) div n)"
+
+
+def _picked(j: str) -> str:
+    return f"({_before(f'{j} + 1')} - {_before(j)})"
+
+
+def mix(documents: DataFrame, weights: tuple = WEIGHTS, total_share: float = TOTAL_SHARE,
+        max_repeats: int = MAX_REPEATS, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text",
+        source_col: str = "source") -> DataFrame:
+    """doc_id, t (a hash of seed, id and text), size, source_size, target, taken of every row."""
+    at, blank = _streams(documents, weights, total_share, max_repeats, block, id_col, text_col, source_col)
+    part = F.expr(f"""CASE WHEN a = e THEN {_picked('a')} * size
+        ELSE {_picked('a')} * ((a + 1) * {block} - o) + {_picked('e')} * (o + size - e * {block})
+             + {block} * ({_before('e')} - {_before('a + 1')}) END""")
     return at.select("doc_id", F.col("h").alias("t"), "size", "source_size", "target",
                      (F.col("passes") * F.col("size") + part).cast("long").alias("taken")).unionAll(blank)
 
 
+def mixed_blocks(documents: DataFrame, weights: tuple = WEIGHTS, total_share: float = TOTAL_SHARE,
+                 max_repeats: int = MAX_REPEATS, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text",
+                 source_col: str = "source") -> DataFrame:
+    """What the mix takes, for a writer of training data: doc_id, t, first_word
+    and last_word (from 0) and how many ``times``, one row for each part of a
+    row's text in a selected block.  The words of a row's parts, with their
+    times, add up to its ``taken``."""
+    at, _ = _streams(documents, weights, total_share, max_repeats, block, id_col, text_col, source_col)
+    parts = (at.withColumn("j", F.explode(F.expr("sequence(a, e)"))).withColumn("times", F.expr(f"passes + {_picked('j')}"))
+             .where("times > 0"))
+    return parts.select("doc_id", F.col("h").alias("t"), F.expr(f"greatest(j * {block} - o, 0L)").alias("first_word"),
+                        F.expr(f"least((j + 1) * {block} - o, size) - 1").alias("last_word"), "times")
+
+
 def mixed_documents(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     source_col: str = "source", **how) -> DataFrame:
     """The documents that the mix takes words of, with ``taken`` added; it

@@ -90,6 +90,25 @@ def test_output_can_be_mixed_again_and_clashing_names(spark):
     assert {(r["_d"], r["_T"], r["_n"]) for r in twice.collect()} == {(8, 9, 10)}
 
 
+def test_blocks_add_up_to_what_is_taken(spark, monkeypatch):
+    monkeypatch.setattr(M, "SHARD_WORDS", 500)
+    rnd = random.Random(9)
+    rows = [(i, " ".join(["w"] * rnd.randrange(0, 90)), rnd.choice(["a", "a", "b", None])) for i in range(120)] + [(None, "x y z", "b")] * 4
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for block in (8, 50):
+        words, of = Counter(), {}
+        for r in M.mixed_blocks(df, block=block).collect():
+            assert 0 <= r.first_word <= r.last_word and r.last_word - r.first_word < block and 1 <= r.times <= 2
+            words[r.doc_id, r.t] += (r.last_word - r.first_word + 1) * r.times
+            of.setdefault((r.doc_id, r.t), []).append((r.first_word, r.last_word))
+        taken = Counter()
+        for r in M.mix(df, block=block).collect():
+            taken[r.doc_id, r.t] += r.taken
+            if r.doc_id is not None and r.taken:
+                assert max(b for _, b in of[r.doc_id, r.t]) < r.size
+        assert +words == +taken
+
+
 def test_repeated_rows_are_spread_over_shards(spark, monkeypatch):
     """A third of the rows has neither id nor text, a third is one row."""
     monkeypatch.setattr(M, "SHARD_WORDS", 400)
