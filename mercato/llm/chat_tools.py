@@ -295,7 +295,8 @@ def turns_as_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     assistant's turn is the result of the turn before it.
 
     Plain conversations make no mistakes, so some are changed by their number
-    modulo 7: in 1, calls refer to the call two turns later instead (levels);
+    modulo 7: in 1, calls refer to the call two turns later instead, or to none
+    where the turn modulo 8 is 6 or 7 (levels, in chains of four calls at most);
     in 2, the first call refers to the one two turns later, which refers back
     (a cycle); in 3, arguments break the schema (a number as prompt, an unknown
     property, text that is no JSON); in 4, every call is repeated by a later
@@ -308,11 +309,12 @@ def turns_as_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
         return F.concat_ws(":", F.coalesce(F.col("conv_id").cast("string"), F.lit("")), (F.col("turn") - back).cast("string"))
 
     k, turn = F.col("k"), F.col("turn")
-    ref = F.when((k == 1) | ((k == 2) & (turn == 0)), call_id(-2)).when(turn >= 2, call_id(2))
-    history = F.when(ref.isNotNull(), F.struct(ref.alias("$ref")))
-    plain = F.to_json(F.struct(F.col("text").alias("prompt"), history.alias("history")))
-    broken = (F.when(turn % 6 == 0, F.to_json(F.struct(turn.alias("prompt"))))
-              .when(turn % 6 == 2, F.to_json(F.struct(F.col("text").alias("prompt"), F.lit(1).alias("extra"))))
+    later = ((k == 1) & (turn % 8 < 6)) | ((k == 2) & (turn == 0))
+    ref = F.when(later, call_id(-2)).when((k != 1) & (turn >= 2), call_id(2))
+    history = F.when(ref.isNotNull(), F.named_struct(F.lit("$ref"), ref))
+    plain = F.to_json(F.named_struct(F.lit("prompt"), F.col("text"), F.lit("history"), history))
+    broken = (F.when(turn % 6 == 0, F.to_json(F.named_struct(F.lit("prompt"), turn)))
+              .when(turn % 6 == 2, F.to_json(F.named_struct(F.lit("prompt"), F.col("text"), F.lit("extra"), F.lit(1))))
               .otherwise(F.lit("{reply")))
     call = F.struct(turn.alias("turn"), F.lit("reply").alias("name"))
     again = F.struct((turn + 1).alias("turn"), F.lit("reply2").alias("name"))

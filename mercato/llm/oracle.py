@@ -85,7 +85,8 @@ ORACLE["op3_tool_calls"] = r"""
 WITH RECURSIVE u AS (
     SELECT conv_id, turn, text, conv_id % 7 AS k, conv_id || ':' || turn AS call_id,
            CASE WHEN conv_id % 7 = 3 THEN NULL
-                WHEN conv_id % 7 = 1 OR (conv_id % 7 = 2 AND turn = 0) THEN turn + 2
+                WHEN (conv_id % 7 = 1 AND turn % 8 < 6) OR (conv_id % 7 = 2 AND turn = 0) THEN turn + 2
+                WHEN conv_id % 7 = 1 THEN NULL
                 WHEN turn >= 2 THEN turn - 2 END AS ref_turn
     FROM conversations WHERE role = 'user'),
 v AS (SELECT *, conv_id || ':' || ref_turn AS ref FROM u),
