@@ -7,9 +7,9 @@ are parsed, validated against the tool's schema and written in canonical form
 Order: an argument ``{"$ref": "<call id>"}`` uses another call's result, so
 that call must come first.  Where every reference of a conversation points to
 an earlier turn, the turn order is already topological (level 0 throughout).
-Only conversations with a reference to the same or a later turn are levelled,
-by rounds that release the calls whose references have all been released; a
-cycle never is.  Rows are to be read in order of (conv_id, level, turn,
+Only conversations with a reference to the same or a later turn are levelled:
+rounds release the calls whose references have all been released, and halve
+chains of references by pointer jumping; a cycle is never released.  Rows are to be read in order of (conv_id, level, turn,
 call_id); a conversation is never gathered in one task.
 
 ``status`` of a call: ``linked``, ``no_result``, ``duplicate_call`` (another
@@ -157,35 +157,49 @@ def _same(left: str, right: str, *columns: str):
     return out
 
 
+def _greatest(rows: DataFrame, *by: str) -> DataFrame:
+    return rows.groupBy(*by).agg(*(F.max(c).alias(c) for c in rows.columns if c not in by))
+
+
 def levels(first: DataFrame, refs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(conv_id, call_id, level) of the calls of conversations that the turn
     order does not settle (level null: in or behind a cycle), and references
     to calls that do not exist (conv_id, call_id).
 
-    ``first``: conv_id, call_id, turn; ``refs``: conv_id, call_id, turn, ref."""
+    ``first``: conv_id, call_id, turn; ``refs``: conv_id, call_id, turn, ref.
+
+    A call has a lowest level ``base`` and edges (ref, w): its level is
+    the greatest of base and of w + the level of each ref.  In a round an edge
+    to a call without edges settles; an edge to a call with one edge jumps to
+    where that leads, so a chain halves; others wait for theirs.  A path longer
+    than its conversation has references (``n``) runs into a cycle, and is not
+    followed further."""
     to = (refs.alias("r").join(first.alias("f"), F.expr("r.conv_id <=> f.conv_id AND r.ref = f.call_id"), "left")
           .select("r.conv_id", "r.call_id", "r.turn", "r.ref", F.col("f.turn").alias("ref_turn")))
     to = keep(to, "references")
     missing = to.where("ref_turn IS NULL").select("conv_id", "call_id").distinct()
-    odd = to.where("ref_turn >= turn").select("conv_id").distinct()
-    edges = (to.where("ref_turn IS NOT NULL").alias("e").join(odd.alias("o"), F.expr("e.conv_id <=> o.conv_id"), "left_semi")
-             .select("conv_id", "call_id", "ref").distinct())
-    edges = keep(edges, "edges")
-    nodes = first.alias("f").join(odd.alias("o"), F.expr("f.conv_id <=> o.conv_id"), "left_semi").select("conv_id", "call_id")
-    waiting, done = keep(nodes, "waiting"), None
-    level = 0
+    odd = keep(to.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"), F.max(F.expr("ref_turn >= turn")).alias("odd"))
+               .where("odd").select("conv_id", "n"), "odd")
+    edges = keep(to.where("ref_turn IS NOT NULL").alias("e").join(odd.alias("o"), F.expr("e.conv_id <=> o.conv_id"))
+                 .select("e.conv_id", "e.call_id", "e.ref", F.lit(1).cast("long").alias("w"), "o.n").distinct(), "edges")
+    calls = keep(first.alias("f").join(odd.alias("o"), F.expr("f.conv_id <=> o.conv_id"), "left_semi")
+                 .select("conv_id", "call_id", F.lit(0).cast("long").alias("base")), "lowest")
     while True:
-        blocked = edges.select("conv_id", "call_id").distinct()
-        free = keep(waiting.alias("w").join(blocked.alias("b"), _same("w", "b", "conv_id", "call_id"), "left_anti")
-                    .withColumn("level", F.lit(level)), "level")
-        if free.isEmpty():
+        leads = edges.groupBy("conv_id", "call_id").agg(
+            F.count(F.lit(1)).alias("k"), F.max("ref").alias("next"), F.max("w").alias("next_w"), F.max(F.expr("w > n")).alias("lost"))
+        state = keep(calls.alias("w").join(leads.alias("l"), _same("w", "l", "conv_id", "call_id"), "left")
+                     .select("w.*", F.coalesce("l.k", F.lit(0)).alias("k"), "l.next", "l.next_w", "l.lost"), "levels")
+        step = F.expr("CASE WHEN e.w > e.n OR s.k > 1 OR s.lost THEN 'wait' WHEN s.k = 0 THEN 'settle' ELSE 'jump' END")
+        moved = keep(edges.alias("e").join(state.alias("s"), F.expr("e.conv_id <=> s.conv_id AND e.ref = s.call_id"))
+                     .select("e.*", "s.next", "s.next_w", (F.col("e.w") + F.col("s.base")).alias("least"), step.alias("step")), "moved")
+        if moved.where("step != 'wait'").isEmpty():
             break
-        done = free if done is None else done.unionByName(free)
-        waiting = keep(waiting.alias("w").join(free.alias("f"), _same("w", "f", "conv_id", "call_id"), "left_anti"), "waiting")
-        edges = keep(edges.alias("e").join(free.alias("f"), F.expr("e.conv_id <=> f.conv_id AND e.ref = f.call_id"), "left_anti"), "edges")
-        level += 1
-    stuck = waiting.withColumn("level", F.lit(None).cast("int"))
-    return (stuck if done is None else done.unionByName(stuck)), missing
+        least = moved.where("step != 'wait'").select("conv_id", "call_id", F.col("least").alias("base"))
+        calls = keep(_greatest(state.select("conv_id", "call_id", "base").unionByName(least), "conv_id", "call_id"), "lowest")
+        edges = keep(_greatest(moved.where("step != 'settle'").select(
+            "conv_id", "call_id", F.expr("if(step = 'jump', next, ref)").alias("ref"),
+            F.expr("if(step = 'jump', w + next_w, w)").alias("w"), "n"), "conv_id", "call_id", "ref"), "edges")
+    return state.select("conv_id", "call_id", F.expr("if(k = 0, cast(base AS int), null)").alias("level")), missing
 
 
 def _line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -108,6 +108,25 @@ def test_chains_and_cycles(spark):
     assert run(spark, [], []) == []
 
 
+def test_long_chains_take_few_rounds(spark, monkeypatch):
+    """Chains halve: 200 calls in a row, into a cycle of 7, from a call with two references, beside a conversation without an id."""
+    rnd = random.Random(3)
+    ref = lambda *ids: json.dumps({f"r{k}": {"$ref": i} for k, i in enumerate(ids)})
+    calls = []
+    for conv in (1, 2, None):
+        calls += [(conv, f"k{i}", 500 - i, "any", ref(f"k{i - 1}") if i else "{}") for i in range(200)]
+    calls += [(2, f"z{i}", i, "any", ref(f"z{(i + 1) % 7}")) for i in range(7)] + [(2, "y", 9, "any", ref("z3", "k5"))]
+    calls += [(2, f"x{i}", 9 - i, "any", ref(f"x{i - 1}" if i else "y")) for i in range(9)]
+    calls += [(1, "w", 900, "any", ref("k199", "k3")), (1, "v", 0, "any", ref("w", "k150", "v2")), (1, "v2", 0, "any", ref("k7"))]
+    calls += [(5, f"c{i}", rnd.randrange(40), "any", ref(*{f"c{rnd.randrange(i)}" for _ in range(rnd.randrange(4))} if i else ())) for i in range(40)]
+    tables = []
+    monkeypatch.setattr(C, "keep", lambda df, name, keep=C.keep: tables.append(name) or keep(df, name))
+    got = run(spark, calls, [])
+    assert got == brute(calls, [])
+    assert max(r[4] for r in got if r[4] is not None) == 201
+    assert tables.count("levels") <= 14
+
+
 def test_messages(spark):
     text = json.dumps({"tool_calls": [{"id": "a", "name": "any", "arguments": {"z": 1, "é": None}}, {"id": 5}, "odd"]})
     rows = [(1, 0, "user", "hi"), (1, 1, "assistant", text), (1, 2, "tool", '{"tool_call_id": "a", "content": [1]}'),
