@@ -37,7 +37,7 @@ def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.digest(url_filter.url_verdicts(table(spark, sf_dir, "pages")))
+    return url_filter.digest(url_filter.url_verdicts(table(spark, sf_dir, "pages"), out_of_fold=True))
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,9 @@ verdict of gradient-boosted trees on lexical features: length, depth, digit
 ratio, entropy, parameter counts and statistics of the host's suffixes.  The
 labelled urls are those a rule decides.  The statistics count all their rows;
 the trees learn from at most ``sample`` different ones (smallest hash first,
-of each label where those would all have one).
+of each label where those would all have one); with ``out_of_fold`` each has
+statistics that leave out its own fold, so that no url's label is among its
+features.
 
 DataFrame functions only; the trees are Spark's own.
 
@@ -18,16 +20,22 @@ rows get a verdict each.  Other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mercato.llm.store import keep
+
 #: (verdict, host, path) as the pages' contract has them.
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
          ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 SAMPLE, SEED = 20_000, 3
+#: Parts of the labelled urls, by their hash; a url is fitted with statistics of the other parts.
+FOLDS = 5
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -97,30 +105,48 @@ def lexical(url: Column, host: Column, path: Column) -> dict[str, Column]:
 SUFFIXES = {"suffix": r"[^.]*$", "domain": r"[^.]*\.[^.]*$"}
 
 
-def parsed(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str, url_col: str) -> DataFrame:
+def parsed(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str, url_col: str, more: Sequence[str] = ()) -> DataFrame:
     url = F.col(url_col).cast("string")
-    rows = (pages.select(F.col(id_col).alias("page_id"), url.alias("url"))
+    rows = (pages.select(F.col(id_col).alias("page_id"), url.alias("url"), *more)
             .withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url"))))
     return (rows.withColumn("fit", rule_for(F.col("host"), F.col("path"), rules))
             .withColumns(lexical(F.col("url"), F.col("host"), F.col("path")))
             .withColumns({s: F.regexp_extract("host", p, 0) for s, p in SUFFIXES.items()}))
 
 
-def _with_statistics(rows: DataFrame, labelled: DataFrame) -> DataFrame:
-    """Smoothed share of blocked urls and the count of each suffix, as labelled."""
+def _labelled(pages: DataFrame, rules: list[tuple[str, str, str]], url_col: str) -> DataFrame:
+    """url, host, label (1: block), n (its rows) and fold of each different url
+    that a rule decides."""
+    url = F.col(url_col).cast("string")
+    rows = (pages.select(url.alias("url"), host_of(url).alias("host"), rule_for(host_of(url), path_of(url), rules).alias("fit"))
+            .where("fit IS NOT NULL"))
+    return (rows.groupBy("url", "host", (F.col("fit.verdict") == "block").cast("double").alias("label"))
+            .agg(F.count("*").alias("n")).withColumn("fold", F.pmod(F.xxhash64("url"), F.lit(FOLDS))))
+
+
+def _with_statistics(rows: DataFrame, labelled: DataFrame, out_of_fold: bool = False) -> DataFrame:
+    """Smoothed share of blocked urls and the count of each suffix, as
+    labelled; ``out_of_fold``: by the urls outside the row's own ``fold``."""
     for s, pattern in SUFFIXES.items():
-        stats = labelled.groupBy(F.regexp_extract("host", pattern, 0).alias(f"_{s}")).agg(
-            ((F.sum("label") + 1) / (F.count("*") + 2)).alias(f"{s}_blocked"),
-            F.log1p(F.count("*")).alias(f"{s}_seen"))
-        rows = (rows.join(stats, F.col(s) == F.col(f"_{s}"), "left").drop(f"_{s}")
-                .na.fill({f"{s}_blocked": 0.5, f"{s}_seen": 0.0}))
+        of_folds = labelled.groupBy(F.regexp_extract("host", pattern, 0).alias(f"_{s}"), F.col("fold").alias("f")).agg(
+            F.sum(F.col("label") * F.col("n")).alias("b"), F.sum("n").alias("n"))
+        stats = of_folds.groupBy(f"_{s}").agg(
+            F.sum("b").alias("_b"), F.sum("n").alias("_n"),
+            F.map_from_entries(F.collect_list(F.struct("f", F.struct("b", "n")))).alias("_own"))  # FOLDS entries at most
+        rows = rows.join(stats, F.col(s) == F.col(f"_{s}"), "left")
+        blocked, seen = (F.coalesce(F.col(f"_{c}"), F.lit(0)) for c in "bn")
+        if out_of_fold:
+            own = F.try_element_at("_own", "fold")
+            blocked, seen = (x - F.coalesce(own[c], F.lit(0)) for x, c in ((blocked, "b"), (seen, "n")))
+        rows = rows.withColumns({f"{s}_blocked": (blocked + 1) / (seen + 2), f"{s}_seen": F.log1p(seen.cast("double"))}).drop(
+            f"_{s}", "_b", "_n", "_own")
     return rows
 
 
 def _fitting_sample(labelled: DataFrame, sample: int) -> DataFrame:
     """At most ``sample`` different urls with their labels; both labels, if
     there are both."""
-    urls = labelled.select("url", "label").distinct()
+    urls = labelled.select("url", "label", "fold")
     smallest = [F.xxhash64("url"), F.col("url")]
     chosen = urls.orderBy(*smallest).limit(sample)
     if chosen.agg(F.count_distinct("label")).first()[0] > 1:
@@ -130,35 +156,56 @@ def _fitting_sample(labelled: DataFrame, sample: int) -> DataFrame:
             .union(urls.where("label = 1").orderBy(*smallest).limit(share)))
 
 
-def url_verdicts(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, sample: int = SAMPLE,
-                 rounds: int = 10, depth: int = 3, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
-    """page_id, url, host, path, rule, verdict and, where no rule fits, the
-    trees' probability of ``block``."""
-    rows = parsed(pages, rules, id_col, url_col)
-    # labels, counted and sampled from few columns; only the sample is measured
-    url = F.col(url_col).cast("string")
-    labelled = (pages.select(url.alias("url"), host_of(url).alias("host"), rule_for(host_of(url), path_of(url), rules).alias("fit"))
-                .where("fit IS NOT NULL")
-                .select("url", "host", (F.col("fit.verdict") == "block").cast("double").alias("label")))
+def _judge(rows: DataFrame, labelled: DataFrame, rules: list[tuple[str, str, str]], sample: int, rounds: int, depth: int,
+           out_of_fold: bool) -> DataFrame:
+    """``rows`` (as ``parsed`` gives them) with ``p_block`` of trees fitted on ``labelled``."""
     n, blocked = labelled.agg(F.count("*"), F.sum("label")).first()
     if n == 0 or blocked in (0, n):
-        judged = rows.withColumn("p_block", F.lit(float(n > 0 and blocked == n)))
-    else:
-        chosen = _fitting_sample(labelled, sample)
-        measured = (parsed(chosen.select("url"), rules, "url", "url")
-                    .withColumn("label", (F.col("fit.verdict") == "block").cast("double")))
-        names = [*lexical(F.col("url"), F.col("host"), F.col("path")),
-                 *(f"{s}_{x}" for s in SUFFIXES for x in ("blocked", "seen"))]
-        vector = VectorAssembler(inputCols=names, outputCol="features")
-        trees = GBTClassifier(labelCol="label", maxIter=rounds, maxDepth=depth, stepSize=0.3, seed=SEED)
-        model = trees.fit(vector.transform(_with_statistics(measured, labelled)).select("features", "label"))
-        scored = model.transform(vector.transform(_with_statistics(rows, labelled)))
-        judged = scored.withColumn("p_block", vector_to_array("probability")[1])
+        return rows.withColumn("p_block", F.lit(float(n > 0 and blocked == n)))
+    chosen = _fitting_sample(labelled, sample)
+    # only the sample is measured
+    measured = parsed(chosen, rules, "fold", "url", ["label", "fold"])
+    names = [*lexical(F.col("url"), F.col("host"), F.col("path")),
+             *(f"{s}_{x}" for s in SUFFIXES for x in ("blocked", "seen"))]
+    vector = VectorAssembler(inputCols=names, outputCol="features")
+    trees = GBTClassifier(labelCol="label", maxIter=rounds, maxDepth=depth, stepSize=0.3, seed=SEED)
+    model = trees.fit(vector.transform(_with_statistics(measured, labelled, out_of_fold)).select("features", "label"))
+    scored = model.transform(vector.transform(_with_statistics(rows, labelled)))
+    return scored.withColumn("p_block", vector_to_array("probability")[1])
+
+
+def _verdict() -> Column:
+    return F.when(F.col("p_block") > 0.5, "block").otherwise("allow")
+
+
+def url_verdicts(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, sample: int = SAMPLE,
+                 rounds: int = 10, depth: int = 3, id_col: str = "page_id", url_col: str = "url",
+                 out_of_fold: bool = False) -> DataFrame:
+    """page_id, url, host, path, rule, verdict and, where no rule fits, the
+    trees' probability of ``block``.
+
+    ``out_of_fold``: fit with statistics that a url's own label is not part
+    of.  Without it, trees learn that the one labelled url of a host tells
+    them all, which fits rules for whole hosts and misleads on others."""
+    labelled = keep(_labelled(pages, rules, url_col), "labelled")
+    judged = _judge(parsed(pages, rules, id_col, url_col), labelled, rules, sample, rounds, depth, out_of_fold)
     return judged.select(
-        "page_id", "url", "host", "path", F.col("fit.rule").alias("rule"),
-        F.coalesce("fit.verdict", F.when(F.col("p_block") > 0.5, "block").otherwise("allow")).alias("verdict"),
+        "page_id", "url", "host", "path", F.col("fit.rule").alias("rule"), F.coalesce("fit.verdict", _verdict()).alias("verdict"),
         F.when(F.col("fit").isNull(), F.col("p_block")).alias("p_block"))
 
 
+def held_out_verdicts(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, sample: int = SAMPLE,
+                      rounds: int = 10, depth: int = 3, parts: int = 5, url_col: str = "url",
+                      out_of_fold: bool = True) -> DataFrame:
+    """url, host, label, verdict, p_block of the different labelled urls of
+    one host in ``parts`` (by its hash), judged as if no rule fitted, by trees
+    and statistics of the other hosts."""
+    labelled = keep(_labelled(pages, rules, url_col).withColumn("out", F.pmod(F.xxhash64("host"), F.lit(parts)) == 0), "labelled")
+    rows = parsed(labelled.where("out"), rules, "label", "url", ["label"])
+    judged = _judge(rows, labelled.where("NOT out"), rules, sample, rounds, depth, out_of_fold)
+    label = F.when(F.col("label") == 1, "block").otherwise("allow")
+    return judged.select("url", "host", label.alias("label"), _verdict().alias("verdict"), "p_block")
+
+
 def digest(verdicts: DataFrame) -> DataFrame:
     return verdicts.select("page_id", "host", "path", "rule", "verdict")

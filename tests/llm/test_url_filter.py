@@ -100,3 +100,32 @@ def test_statistics_cover_all_labels_and_copies_do_not_fill_the_sample(spark):
     got = U.url_verdicts(df.union(spark.createDataFrame([(-1, hot)] * 300, df.schema)), rules, sample=40).collect()
     assert len(got) == 500
     assert all(r.verdict == truth[r.host] for r in got)
+
+
+def test_a_url_is_fitted_without_its_own_label(spark):
+    urls = [f"http://h{i % 7}.{'com' if i % 2 else 'org'}/{i}" for i in range(60)]
+    rules = [("block" if i % 3 else "allow", f"h{i % 7}.{'com' if i % 2 else 'org'}", f"/{i}") for i in range(60)]
+    df = spark.createDataFrame(list(enumerate(urls + urls[:9])), "page_id long, url string")
+    labelled = U._labelled(df, rules, "url")
+    known = [r.asDict() for r in labelled.collect()]
+    assert sum(k["n"] for k in known) == 69 and len(known) == 60
+    rows = U.parsed(labelled, rules, "fold", "url", ["fold"])
+    for out_of_fold in (False, True):
+        for r in U._with_statistics(rows, labelled, out_of_fold).collect():
+            for name, value in (("suffix", r.host.rsplit(".", 1)[-1]), ("domain", r.host)):
+                others = [k for k in known if k["host"].endswith(value) and not (out_of_fold and k["fold"] == r.fold)]
+                n, b = sum(k["n"] for k in others), sum(k["n"] * k["label"] for k in others)
+                assert r[f"{name}_blocked"] == pytest.approx((b + 1) / (n + 2)) and r[f"{name}_seen"] == pytest.approx(math.log1p(n))
+
+
+def test_held_out_hosts(spark):
+    """Labels that urls tell are found on hosts the trees have not seen; labels by chance are not."""
+    rnd = random.Random(8)
+    bad = {i: rnd.random() < .5 for i in range(400)}
+    for telling in (True, False):
+        urls = [f"http://h{i}.com/{'a1=2&' * 5 if bad[i] and telling else 'page'}/{i}" for i in range(400)]
+        rules = [("block" if bad[i] else "allow", f"h{i}.com", "/") for i in range(400)]
+        got = U.held_out_verdicts(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect()
+        right = sum(r.label == r.verdict for r in got) / len(got)
+        assert 50 < len(got) < 120 and all(r.label == ("block" if bad[int(r.host[1:-4])] else "allow") for r in got)
+        assert right >= .95 if telling else .3 < right < .7
