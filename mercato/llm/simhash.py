@@ -14,13 +14,15 @@ by Hamming distance d to its vantage point at a median radius m; by the
 triangle inequality a query needs the inner branch only if d <= m + r and the
 outer one only if d > m - r.  The upper levels deal fingerprints to shards:
 each lives in one, and visits those whose boundary it overlaps.  Inside a
-shard the same split goes on down to small leaves.
+shard the same split goes on down to small leaves; fingerprints that share a
+half are told apart by a tree over the other one.
 
 Only different fingerprints enter the search, so copies cost nothing there;
 a shard reports a spanning star of what it linked, not all pairs.  The upper
 levels are fitted on a sample of ``PER_SHARD`` fingerprints for each shard,
-about one in three hundred (which sets balance, not results); every
-fingerprint is searched.
+about one in eight hundred (which sets balance, not results), the first
+``TOP_DEPTH`` levels on the driver, those below by a task for each branch;
+every fingerprint is searched.
 
 Cases: null, empty and blank texts have fingerprint zero and link to each
 other like any others; a null doc_id never names a component that has another
@@ -29,7 +31,9 @@ id; repeated rows each get a result; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -45,9 +49,13 @@ from mercato.llm.words import LOWER
 SEED = 42
 NULL_ID = -(1 << 63)
 #: Fingerprints that live in a shard, about; a shard's task also sees its visitors.
-SHARD = 20_000
-#: Fingerprints sampled for each shard, and the most levels of shards.
-PER_SHARD, MAX_DEPTH = 64, 14
+SHARD = 50_000
+#: Fingerprints sampled for each shard.
+PER_SHARD = 64
+#: Levels of shards fitted on the driver (from a million fingerprints at most),
+#: and with those fitted by tasks: 52 billion different fingerprints in shards
+#: of ``SHARD``, by trees of 5 MB.  Beyond, shards are larger.
+TOP_DEPTH, MAX_DEPTH = 14, 20
 LEAF = 256
 _LOWER = LOWER.tobytes()
 
@@ -119,37 +127,65 @@ def _split(points: np.ndarray, seed: int) -> tuple[int, int] | None:
     return (int(v), radius) if 0 < inside < len(points) else None
 
 
-def shard_tree(sample: np.ndarray, depth: int, seed: int = 1) -> tuple | int:
-    """Nested (vantage, radius, inner, outer); leaves are None."""
-    node = _split(sample, seed) if depth and len(sample) > 1 else None
-    if node is None:
-        return None
-    inside = np.bitwise_count(sample ^ np.uint32(node[0])) <= node[1]
-    return (*node, shard_tree(sample[inside], depth - 1, 2 * seed),
-            shard_tree(sample[~inside], depth - 1, 2 * seed + 1))
-
-
-def route(points: np.ndarray, tree: tuple | None, r: int
-          ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each shard: its number, the points that need it, and which live in it."""
-    def down(node, number, at, home):
+@dataclass
+class Tree:
+    """Inner nodes by heap number: the root is 1, the inner branch of i is 2i,
+    the outer one 2i + 1; radius -1 marks a leaf."""
+
+    vantage: np.ndarray
+    radius: np.ndarray
+
+    @staticmethod
+    def bare(depth: int) -> Tree:
+        return Tree(np.zeros(1 << depth, dtype=np.uint32), np.full(1 << depth, -1, dtype=np.int8))
+
+    @staticmethod
+    def fitted(sample: np.ndarray, depth: int) -> Tree:
+        tree = Tree.bare(depth)
+
+        def grow(points: np.ndarray, number: int) -> None:
+            node = _split(points, number) if number < 1 << depth and len(points) > 1 else None
+            if node is not None:
+                tree.vantage[number], tree.radius[number] = node
+                inside = np.bitwise_count(points ^ np.uint32(node[0])) <= node[1]
+                grow(points[inside], 2 * number)
+                grow(points[~inside], 2 * number + 1)
+
+        grow(sample, 1)
+        return tree
+
+    def graft(self, leaf: int, below: Tree) -> None:
+        """Put the nodes of ``below`` in the place of a leaf."""
+        for level in range(len(below.radius).bit_length() - 1):
+            at, here = leaf << level, slice(1 << level, 2 << level)
+            self.vantage[at:at + (1 << level)] = below.vantage[here]
+            self.radius[at:at + (1 << level)] = below.radius[here]
+
+
+def route(points: np.ndarray, tree: Tree, r: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The shards (leaf numbers) that points need within ``r``, the points by
+    index, and whether they live there; one level of the tree at a time."""
+    number, at = np.ones(len(points), dtype=np.int64), np.arange(len(points))
+    home, out = np.ones(len(points), dtype=bool), []
+    while True:
+        inner = number < len(tree.radius)
+        inner[inner] = tree.radius[number[inner]] >= 0
+        out.append((number[~inner], at[~inner], home[~inner]))
+        number, at, home = number[inner], at[inner], home[inner]
         if not len(at):
-            return
-        if node is None:
-            yield number, at, home
-            return
-        vantage, radius, inner, outer = node
-        d = np.bitwise_count(points[at] ^ np.uint32(vantage)).astype(np.int64)
+            return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+        d = np.bitwise_count(points[at] ^ tree.vantage[number]).astype(np.int64)
+        radius = tree.radius[number].astype(np.int64)
         near, far = d <= radius + r, d > radius - r
-        yield from down(inner, 2 * number, at[near], (home & (d <= radius))[near])
-        yield from down(outer, 2 * number + 1, at[far], (home & (d > radius))[far])
-    yield from down(tree, 1, np.arange(len(points)), np.ones(len(points), dtype=bool))
+        number = np.concatenate([2 * number[near], 2 * number[far] + 1])
+        home = np.concatenate([(home & (d <= radius))[near], (home & (d > radius))[far]])
+        at = np.concatenate([at[near], at[far]])
 
 
 def near_pairs(fps: np.ndarray, half: int, live: np.ndarray, max_bits: int
                ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs (any, living) within ``max_bits`` whose halves are near."""
-    part, r = halves(fps, half), max_bits // 2
+    part, other = halves(fps, half), halves(fps, 1 - half)
 
     def brute(p, q):
         step = max(1, (1 << 20) // max(1, len(p)))
@@ -157,23 +193,26 @@ def near_pairs(fps: np.ndarray, half: int, live: np.ndarray, max_bits: int
             rows = q[at:at + step]
             i, j = np.nonzero(np.bitwise_count(fps[rows][:, None] ^ fps[p][None, :]) <= max_bits)
             i, j = rows[i], p[j]
-            if (other := i != j).any():
-                yield i[other], j[other]
+            if (apart := i != j).any():
+                yield i[apart], j[apart]
 
-    def down(p, q, seed):
+    def down(p, q, seed, part, r):
         if not len(p) or not len(q):
             return
         node = _split(part[p], seed) if len(p) > LEAF else None
         if node is None:
-            yield from brute(p, q)
+            if len(p) > LEAF and part is not other and (part[p] == part[p[0]]).all():
+                yield from down(p, q, 1, other, max_bits)  # one half in common: the other tells them apart
+            else:
+                yield from brute(p, q)
             return
         v, radius = np.uint32(node[0]), node[1]
         inside = np.bitwise_count(part[p] ^ v) <= radius
         d = np.bitwise_count(part[q] ^ v).astype(np.int64)
-        yield from down(p[inside], q[d <= radius + r], 2 * seed % 1000003)
-        yield from down(p[~inside], q[d > radius - r], (2 * seed + 1) % 1000003)
+        yield from down(p[inside], q[d <= radius + r], 2 * seed % 1000003, part, r)
+        yield from down(p[~inside], q[d > radius - r], (2 * seed + 1) % 1000003, part, r)
 
-    yield from down(np.flatnonzero(live), np.arange(len(fps)), 1)
+    yield from down(np.flatnonzero(live), np.arange(len(fps)), 1, part, max_bits // 2)
 
 
 def local_roots(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
@@ -190,25 +229,53 @@ def local_roots(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.nd
     return root
 
 
+def shard_trees(unique: DataFrame, n: int) -> list[Tree]:
+    """A tree for each half, with a leaf for about ``SHARD`` of n fingerprints."""
+    depth = min(max(0, math.ceil(math.log2(max(1, n) / SHARD))), MAX_DEPTH)
+    top = min(depth, TOP_DEPTH)
+    sample = np.array([x[0] for x in unique.orderBy(F.xxhash64("fp"), "fp").limit(PER_SHARD << top).collect()]
+                      if depth else [], dtype=np.int64).view(np.uint64)
+    tops = [Tree.fitted(halves(sample, half), top) for half in (0, 1)]
+    if depth == top:
+        return tops
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = batch.column("fp").to_numpy().view(np.uint64)
+            for half, tree in enumerate(tops):
+                number, at, _ = route(halves(fps, half), tree, 0)
+                at, number = at[number >= 1 << top], number[number >= 1 << top]
+                yield pa.RecordBatch.from_arrays([pa.array(2 * number + half), pa.array(fps[at].view(np.int64))], names=["shard", "fp"])
+
+    def fit(part: pa.Table) -> pa.Table:
+        shard, fps = part.column("shard")[0].as_py(), np.sort(part.column("fp").to_numpy()).view(np.uint64)
+        tree = Tree.fitted(halves(fps, shard & 1), depth - top)
+        return pa.table({"shard": [shard], "vantage": [tree.vantage.tobytes()], "radius": [tree.radius.tobytes()]})
+
+    # below, a sample in proportion to the shards, a task for each leaf of the top
+    every = max(1, n // (PER_SHARD << depth))
+    lower = (unique.select("fp").where(F.pmod(F.xxhash64("fp"), F.lit(every)) == 0).mapInArrow(deal, "shard long, fp long")
+             .groupBy("shard").applyInArrow(fit, "shard long, vantage binary, radius binary"))
+    trees = [Tree.bare(depth) for _ in tops]
+    for tree, upper in zip(trees, tops, strict=True):
+        tree.vantage[:1 << top], tree.radius[:1 << top] = upper.vantage, upper.radius
+    for shard, vantage, radius in lower.toLocalIterator():  # five bytes a shard in all
+        trees[shard & 1].graft(shard >> 1, Tree(np.frombuffer(vantage, dtype=np.uint32), np.frombuffer(radius, dtype=np.int8)))
+    return trees
+
+
 def links(unique: DataFrame, max_bits: int = 3) -> DataFrame:
     """Edges (u, v) between fingerprints that connect all pairs within
     ``max_bits``; ``unique`` has one row for each different fp."""
-    spark = unique.sparkSession
-    n = unique.count()
-    depth = min(max(0, int(np.ceil(np.log2(max(1, n) / SHARD)))), MAX_DEPTH)
-    sample = np.array([x[0] for x in unique.orderBy(F.xxhash64("fp"), "fp").limit(PER_SHARD << depth).collect()]
-                      if depth else [], dtype=np.int64).view(np.uint64)
-    trees = [shard_tree(halves(sample, half), depth) for half in (0, 1)]
+    trees = shard_trees(unique, unique.count())
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = batch.column("fp").to_numpy().view(np.uint64)
             for half, tree in enumerate(trees):
-                for number, at, home in route(halves(fps, half), tree, max_bits // 2):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(at), 2 * number + half, dtype=np.int64)),
-                         pa.array(fps[at].view(np.int64)), pa.array(home)],
-                        names=["shard", "fp", "home"])
+                number, at, home = route(halves(fps, half), tree, max_bits // 2)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(2 * number + half), pa.array(fps[at].view(np.int64)), pa.array(home)], names=["shard", "fp", "home"])
 
     def search(shard: pa.Table) -> pa.Table:
         fps = np.sort(shard.column("fp").to_numpy())

@@ -72,6 +72,44 @@ def test_search_against_brute_force(spark, monkeypatch, shard):
     assert {f: got.get(f, f) for f in signed} == want
 
 
+def test_lower_levels_fitted_by_tasks(spark, monkeypatch):
+    """The same links with two levels fitted on the driver and four by tasks; a point lives in one shard."""
+    monkeypatch.setattr(simhash, "SHARD", 8)
+    monkeypatch.setattr(simhash, "TOP_DEPTH", 2)
+    rnd = random.Random(5)
+    fps = [rnd.getrandbits(64) for _ in range(200)]
+    fps = sorted(set(fps) | {f ^ 1 << rnd.randrange(64) ^ 1 << rnd.randrange(64) for f in fps})
+    signed = [int(np.uint64(f).astype(np.int64)) for f in fps]
+    unique = spark.createDataFrame([(f,) for f in signed], "fp long").repartition(3)
+    trees = simhash.shard_trees(unique, len(fps))
+    for half, tree in enumerate(trees):
+        assert len(tree.radius) == 64 and (tree.radius[1:4] >= 0).all() and (tree.radius[4:] >= 0).sum() > 20
+        points = simhash.halves(np.array(fps, dtype=np.uint64), half)
+        number, at, home = simhash.route(points, tree, 1)
+        assert sorted(at[home].tolist()) == list(range(len(fps)))
+        needs = {(a, n) for a, n in zip(at.tolist(), number.tolist(), strict=True)}
+        lives = dict(zip(at[home].tolist(), number[home].tolist(), strict=True))
+        for i in range(len(fps)):
+            for j in np.flatnonzero(np.bitwise_count(points ^ points[i]) <= 1).tolist():
+                assert (j, lives[i]) in needs
+    got = {r.node: r.root for r in components(simhash.links(unique)).collect()}
+    want = brute_components({f: f % 2**64 for f in signed})
+    assert {f: got.get(f, f) for f in signed} == want
+
+
+@pytest.mark.parametrize("half", [0, 1])
+def test_fingerprints_that_share_a_half(half):
+    """3,000 points with one half: pairs by the other half, as brute force gives them, without comparing all."""
+    rnd = np.random.default_rng(2)
+    low = rnd.integers(0, 1 << 32, 3000, dtype=np.uint64)
+    low[1500:] = low[:1500] ^ (np.uint64(1) << rnd.integers(0, 32, 1500, dtype=np.uint64)) ^ (np.uint64(1) << rnd.integers(0, 32, 1500, dtype=np.uint64))
+    fps = np.unique(low << np.uint64(32 * (1 - half)) | np.uint64(77) << np.uint64(32 * half))
+    pairs = [(int(a), int(b)) for x, y in simhash.near_pairs(fps, half, np.ones(len(fps), bool), 3) for a, b in zip(x, y, strict=True)]
+    near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 3
+    want = {(int(a), int(b)) for a, b in np.argwhere(near) if a != b}
+    assert set(pairs) == want and len(pairs) == len(want) > 1000
+
+
 def test_edge_rows(spark):
     long = " ".join(f"w{i}" for i in range(40_000))
     rows = [(5, None), (4, ""), (6, " \n"), (7, "one"), (8, "ONE"), (9, long), (3, long), (3, long),
