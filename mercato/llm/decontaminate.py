@@ -14,8 +14,8 @@ documents' shingles with the windows' prefix shingles; (4) drop a candidate
 whose window would start before or end after the document (positional and
 length bound), and compare the words exactly.
 
-Nothing of the benchmark is broadcast but a bit set of fixed size
-(``FILTER_BITS``), which spares the shuffle most shingles that match nothing;
+Nothing of the benchmark is broadcast but a bit set of bounded size
+(``filter_bits``), which spares the shuffle most shingles that match nothing;
 what passes it is joined on the shingle, so any number of items works and a
 hot passage is a skewed join that adaptive execution splits.
 
@@ -38,7 +38,8 @@ from mercato.llm import words as W
 from mercato.llm.store import free_name, keep
 
 SHINGLE = 5
-FILTER_BITS = 1 << 23
+#: Bits of a filter for each hash it holds, and its least and greatest size (32 MB).
+BITS_EACH, LEAST_BITS, MOST_BITS = 64, 1 << 23, 1 << 28
 
 
 def _shingles(w: W.Words, hashes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -77,39 +78,37 @@ def _item_windows(window: int):
     return run
 
 
-def hash_filter(hashes: DataFrame) -> np.ndarray:
-    """Bit set over the low bits of a column ``h``; its size is fixed."""
-    bit = F.expr(f"h & {FILTER_BITS - 1}L")
-    rows = (hashes.select((bit / 64).cast("int").alias("word"), (bit % 64).cast("int").alias("bit"))
-            .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).collect())
-    bits = np.zeros(FILTER_BITS // 64, dtype=np.int64)
-    for word, value in rows:
-        bits[word] = value
-    return np.unpackbits(bits.view(np.uint8), bitorder="little").view(bool).copy()
-
+def filter_bits(hashes: int) -> int:
+    return min(MOST_BITS, max(LEAST_BITS, 1 << max(0, BITS_EACH * hashes - 1).bit_length()))
 
-def _passing(h: np.ndarray, may: np.ndarray) -> np.ndarray:
-    return may[(h & np.uint64(FILTER_BITS - 1)).astype(np.int64)]
 
-
-def _packed(may: np.ndarray) -> np.ndarray:
-    return np.packbits(may, bitorder="little")
+def hash_filter(hashes: DataFrame) -> np.ndarray:
+    """Bit set, in bytes, over the low bits of a column ``h``.  Of other hashes
+    about one in ``BITS_EACH`` passes, more of them above four million hashes
+    (the results stay the same)."""
+    size = filter_bits(hashes.agg(F.approx_count_distinct("h")).first()[0])
+    bit = F.expr(f"h & {size - 1}L")
+    rows = (hashes.select((bit / 64).cast("int").alias("word"), (bit % 64).cast("int").alias("bit"))
+            .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).toArrow())
+    bits = np.zeros(size // 64, dtype="<i8")
+    bits[rows["word"].to_numpy()] = rows["bits"].to_numpy()
+    return bits.view(np.uint8)
 
 
-def _unpacked(bits: np.ndarray) -> np.ndarray:
-    return np.unpackbits(bits, bitorder="little").view(bool)
+def _passing(h: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    at = h & np.uint64(8 * len(bits) - 1)
+    return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
 def _count_shingles(bits: np.ndarray, lengths: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        may = _unpacked(bits)
         for batch in batches:
             for _, data, offs in W.slices(batch, "text"):
                 w = W.Words(W.LOWER[data], offs, W.ALNUM)
                 hashes = w.hashes()
                 for k in lengths:
                     _, h = _shingles(w, hashes, k)
-                    h, n = np.unique(h[_passing(h, may)], return_counts=True)
+                    h, n = np.unique(h[_passing(h, bits)], return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(W.signed(h)), pa.array(n)], names=["h", "n"])
 
     return run
@@ -123,7 +122,6 @@ def _prefix_hits(bits: np.ndarray, lengths: list[int], window: int):
     """A row for each document: its size and its shingles that may be a
     prefix, each with the words that a window over it can reach."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        may = _unpacked(bits)
         for batch in batches:
             for part, data, offs in W.slices(batch, "text"):
                 data = W.LOWER[data]
@@ -133,7 +131,7 @@ def _prefix_hits(bits: np.ndarray, lengths: list[int], window: int):
                 hits: list[list] = [[] for _ in range(part.num_rows)]
                 for k in lengths:
                     at, h = _shingles(w, hashes, k)
-                    found = _passing(h, may)
+                    found = _passing(h, bits)
                     at, h = at[found], W.signed(h[found])
                     reach = window - k if k == SHINGLE else 0
                     lo = np.maximum(at - reach, w.first[w.row[at]])
@@ -165,13 +163,13 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = 13,
     lengths = sorted(r.k for r in windows.select("k").distinct().collect())  # 1 to 5 values
     # rarity of the benchmark's shingles in the corpus
     counts = (docs.select("text").mapInArrow(
-        _count_shingles(_packed(hash_filter(tokens.select("h"))), lengths), "h long, n long")
+        _count_shingles(hash_filter(tokens.select("h")), lengths), "h long, n long")
         .groupBy("h").agg(F.sum("n").alias("seen")))
     ranked = tokens.join(counts, "h", "left").groupBy("window", "n").agg(
         F.min(F.struct(F.coalesce("seen", F.lit(0)).alias("seen"), "h", "place")).alias("rarest"))
     prefix = keep(ranked.select("window", "n", "rarest.h", "rarest.place", "rarest.seen"), "prefixes")
     # documents' shingles that may be a prefix, then the join and its checks
-    found = (docs.mapInArrow(_prefix_hits(_packed(hash_filter(prefix.select("h"))), lengths, window),
+    found = (docs.mapInArrow(_prefix_hits(hash_filter(prefix.select("h")), lengths, window),
                              "doc_id long, n_words long, hits "
                              "array<struct<h:long,lead:int,at:int,near:string>>")
              .withColumn("row", F.monotonically_increasing_id()))

@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+import numpy as np
+
 from mercato.llm import decontaminate as D
 from tests.conftest import SF_SMALL
 
@@ -94,3 +96,19 @@ def test_keep_clean_leaves_clashing_names_alone(spark):
     df = spark.createDataFrame([(1, item, 7, 8, 9), (2, "fine", 7, 8, 9)], "doc_id long, text string, _llm_t int, _gone int, _T int")
     got = D.keep_clean(df, spark.createDataFrame([(1, item)], "item_id long, text string"))
     assert got.columns == df.columns and [tuple(r) for r in got.collect()] == [(2, "fine", 7, 8, 9)]
+
+
+def test_filters_grow_with_what_they_hold(spark, monkeypatch):
+    assert [D.filter_bits(n) for n in (0, 1, 1 << 17, (1 << 17) + 1, 1 << 22, 1 << 40)] == [1 << 23, 1 << 23, 1 << 23, 1 << 24, 1 << 28, 1 << 28]
+    monkeypatch.setattr(D, "LEAST_BITS", 64)
+    rnd = np.random.default_rng(4)
+    held, others = rnd.integers(-1 << 63, 1 << 63, 3000), rnd.integers(-1 << 63, 1 << 63, 20_000)
+    df = spark.createDataFrame([(int(h),) for h in held] * 2, "h long")
+    for most in (1 << 28, 1 << 13):  # the second is too small: more passes, nothing is lost
+        monkeypatch.setattr(D, "MOST_BITS", most)
+        bits = D.hash_filter(df)
+        assert 8 * len(bits) == min(most, 1 << 18)
+        assert D._passing(held.view(np.uint64), bits).all()
+        share = D._passing(others.view(np.uint64), bits).mean()
+        assert share < 1 / 50 if most > 1 << 13 else .25 < share < .4
+    assert not D._passing(others.view(np.uint64), D.hash_filter(df.where("false"))).any()
