@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from mercato.llm import secrets_cnn as S
 from tests.conftest import SF_CHECK, SF_SMALL
@@ -201,3 +202,27 @@ def test_harder_examples_keep_labels_and_context():
         inside = v[S.BEFORE:S.BEFORE + S.INSIDE].tobytes().rstrip(b"\0")
         assert len(inside) >= S.LEAST_CANDIDATE and all(S.CANDIDATE[b] for b in inside[:S.INSIDE]), (label, inside)
     assert (S.harder(x, y, 1)[0] == more).all() and not (S.harder(x, y, 2)[0] == more).all()
+
+
+def test_fitting_reads_every_candidate_in_any_layout(spark, monkeypatch):
+    rnd = random.Random(3)
+    texts = ["".join(rnd.choices("abcdefghij", k=14)) + " ende" for _ in range(4000)]
+    texts += [f'so token = "{rnd.getrandbits(160):040x}" {i}' for i in range(80)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(S, "SHARD", 1200)
+    monkeypatch.setattr(S, "STEPS", 40)
+    cands = S._labelled(S.findings_table(df))
+    shards, n = S._shards(cands, S._counts(cands))
+    seen = {(fold, label): [] for fold in (False, True) for label in (0, 1)}
+    rows = shards.collect()
+    for r in rows:
+        x, y = S._arrays(r.asDict())
+        for view, label in zip(x[:r.given], y[:r.given]):
+            seen[r.fold, int(label)].append(view.tobytes())
+        assert r.fold or (y[:r.given] == 1).sum() >= 10  # secrets are few, but in each shard
+    assert n == 3 and sum(not r.fold for r in rows) == n
+    plain = seen[False, 0] + seen[True, 0]
+    assert len(plain) == len(set(plain)) == 4000 and len(set(seen[False, 1] + seen[True, 1])) == 80
+    assert len(seen[True, 1]) == len(set(seen[True, 1]))  # copies count for nothing in the threshold
+    nets = [S.train(S.findings_table(d)) for d in (df.coalesce(1), df.orderBy(F.desc("doc_id")).repartition(7))]
+    assert all((nets[0].p[k] == nets[1].p[k]).all() for k in nets[0].p) and nets[0].threshold == nets[1].threshold
