@@ -32,7 +32,7 @@ def _pairs(baskets: DataFrame) -> DataFrame:
 PROBE_PRODUCTS = 200
 
 
-def product_affinity(items: DataFrame, top_n: int = 20) -> DataFrame:
+def product_affinity(items: DataFrame, top_n: int = 20, partitions: int | None = None) -> DataFrame:
     """Product pairs bought in the same transaction, most frequent first.
 
     Each (transaction, product) counts once; a pair is reported once with
@@ -47,7 +47,9 @@ def product_affinity(items: DataFrame, top_n: int = 20) -> DataFrame:
     self-join runs on those only; with s = 1 nothing is cut.  The bound is a
     scalar subquery of the same plan: nothing is read on the driver.  Hot
     baskets are split by adaptive skew-join handling; pair counts are
-    combined map-side.
+    combined map-side.  ``partitions`` fixes in how many parts, by transaction,
+    the self-join runs, for tables whose task shares would grow otherwise;
+    parts that are dealt so are not split further.
     """
     baskets = (items.select("transaction_id", "product_id")
                .where(F.col("transaction_id").isNotNull() & F.col("product_id").isNotNull())
@@ -59,7 +61,8 @@ def product_affinity(items: DataFrame, top_n: int = 20) -> DataFrame:
            .agg(F.when(F.count(F.lit(1)) >= top_n, F.min("co_purchase_count"))
                  .otherwise(F.lit(1)).alias("s")))
     frequent = freq.where(F.col("n_baskets") >= kth.scalar()).select("product_id")
-    return top_k(_pairs(baskets.join(frequent, "product_id", "left_semi")),
+    kept = baskets.join(frequent, "product_id", "left_semi")
+    return top_k(_pairs(kept.repartition(partitions, "transaction_id") if partitions else kept),
                  [F.desc("co_purchase_count"), "product_a", "product_b"], top_n)
 
 

@@ -128,7 +128,7 @@ def q_nested_transactions(t):
 # -- B / C / D: reports --------------------------------------------------
 def q_product_affinity(t):
     # the items carry their order's total: no second join with clean orders
-    return reports.product_affinity(t.txn_items().where(clean.valid_total()))
+    return reports.product_affinity(t.txn_items().where(clean.valid_total()), partitions=t.parts())
 
 
 def q_cohort_analysis(t):

@@ -42,6 +42,10 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 STATUS_BY_LETTER = {"F": "completed", "O": "processing", "P": "shipped"}
 
 
+#: Bytes of line item files that make a partition of what is joined by key;
+#: tables of fewer than ``LEAST_PARTS`` such parts are left to adaptive execution.
+PART_BYTES, LEAST_PARTS = 8 << 20, 8
+
 # Explicit schemas of the driver tables used here (no footer inference).
 SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -97,6 +101,15 @@ class DriverTables:
             self._raw[name] = read_table(self.spark, self.sf_dir, name)
         return self._raw[name]
 
+    def parts(self) -> int | None:
+        """How many partitions the line items should have, from the size of
+        their files (no job), so that a task's share does not grow with the
+        table; None if the table is small."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(os.path.join(self.sf_dir, "lineitem.parquet"))
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        n = files.getContentSummary(path).getLength() // PART_BYTES
+        return n if n >= LEAST_PARTS else None
+
     # -- users ---------------------------------------------------------
     def users(self) -> DataFrame:
         geo = (self.raw("nation").join(self.raw("region"),
@@ -201,7 +214,10 @@ class DriverTables:
     def txn_items(self) -> DataFrame:
         t = self.transactions().select("transaction_id", "user_id", "timestamp", "total",
                                        "payment_method", "status")
-        return (self.lines().join(t, "transaction_id")
+        li, n = self.lines(), self.parts()
+        if n:  # as many partitions as the input needs, which the joins and groups by transaction after it keep
+            li, t = li.repartition(n, "transaction_id"), t.repartition(n, "transaction_id")
+        return (li.join(t, "transaction_id")
                   .select("transaction_id", "user_id", "timestamp", "total", "payment_method",
                           "status", "line_number", "product_id", "quantity", "unit_price", "subtotal"))
 

@@ -126,3 +126,17 @@ def test_broadcast_hints_are_bounded(plans, name):
         if "ResolvedHint (strategy=broadcast)" in line:
             below = "\n".join(lines[i + 1:i + 5])
             assert "GlobalLimit" in below or "percentile_approx(_us" in below, (name, below)
+
+
+@pytest.mark.parametrize("name", ["product_affinity", "purchase_summary_merged"])
+def test_partitions_follow_the_input(spark, monkeypatch, name):
+    from mercato.plans.queries import queries
+    from mercato.sources import driver
+    before = sorted(map(str, queries()[name](spark, SF_SMALL).collect()))
+    assert driver.DriverTables(spark, SF_SMALL).parts() is None  # small tables are left as they are
+    monkeypatch.setattr(driver, "PART_BYTES", 10_000)
+    n = driver.DriverTables(spark, SF_SMALL).parts()
+    assert n >= driver.LEAST_PARTS
+    df = queries()[name](spark, SF_SMALL)
+    assert len(re.findall(rf"hashpartitioning\([^)]*, {n}\), REPARTITION_BY_NUM", df._jdf.queryExecution().toString())) >= 3
+    assert sorted(map(str, df.collect())) == before
