@@ -22,10 +22,12 @@ from mercato.operators.enrich import product_lookup
 STATE = ["user_id", "is_header", "category_id", "orders", "total_cents", "last_purchase_date", "quantity"]
 
 
-def purchase_states(transactions: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
+def purchase_states(transactions: DataFrame, items: DataFrame, products: DataFrame, partitions: int | None = None) -> DataFrame:
     """States of one batch: ``transactions`` and their line ``items`` (with
     ``user_id``).  Lines of unknown products count for no category; the
-    category is the one a product has when its batch is applied."""
+    category is the one a product has when its batch is applied.  ``partitions``
+    fixes in how many parts the lines meet their products, for batches that
+    would give a task too much otherwise."""
     t = transactions.withColumn("timestamp", as_timestamp(transactions, "timestamp"))
     look = product_lookup(products, "category_id")
     none = F.lit(None).cast("long")
@@ -34,7 +36,10 @@ def purchase_states(transactions: DataFrame, items: DataFrame, products: DataFra
         F.count(F.lit(1)).alias("orders"), F.sum(cents("total")).alias("total_cents"), F.max("timestamp").alias("last_purchase_date"))
     head = head.select("user_id", F.lit(True).alias("is_header"), F.lit(None).cast(kind).alias("category_id"), "orders",
                        "total_cents", "last_purchase_date", none.alias("quantity"))
-    qty = (items.select("user_id", "product_id", F.col("quantity").cast("long").alias("quantity")).join(look, "product_id")
+    lines = items.select("user_id", "product_id", F.col("quantity").cast("long").alias("quantity"))
+    if partitions:
+        lines = lines.repartition(partitions, "product_id")
+    qty = (lines.join(look, "product_id")
            .groupBy("user_id", "category_id").agg(F.sum("quantity").alias("quantity")))
     when = head.schema["last_purchase_date"].dataType
     return head.unionByName(qty.select(
@@ -42,9 +47,13 @@ def purchase_states(transactions: DataFrame, items: DataFrame, products: DataFra
         F.lit(None).cast(when).alias("last_purchase_date"), "quantity"))
 
 
-def merge_states(*states: DataFrame) -> DataFrame:
-    """One state from those of disjoint batches (associative, any order)."""
+def merge_states(*states: DataFrame, partitions: int | None = None) -> DataFrame:
+    """One state from those of disjoint batches (associative, any order).
+    ``partitions`` deals users to that many parts, which a summary keeps; a
+    user has a row a batch and category there, so none is large."""
     every = reduce(DataFrame.unionByName, [s.select(*STATE) for s in states])
+    if partitions:
+        every = every.repartition(partitions, "user_id")
     merged = every.groupBy("user_id", "is_header", "category_id").agg(
         F.sum("orders").alias("orders"), F.sum("total_cents").alias("total_cents"),
         F.max("last_purchase_date").alias("last_purchase_date"), F.sum("quantity").alias("quantity"))

@@ -103,9 +103,9 @@ def q_purchase_summary(t):
 def q_purchase_summary_merged(t):
     """The summary from the states of three batches of orders."""
     orders, items = t.transactions(), t.txn_items()
-    batch = F.col("transaction_id") % 3
+    batch, n = F.col("transaction_id") % 3, t.parts()
     return states.summary_of(states.merge_states(*[
-        states.purchase_states(orders.where(batch == i), items.where(batch == i), t.products()) for i in range(3)]))
+        states.purchase_states(orders.where(batch == i), items.where(batch == i), t.products(), n and -(-n // 3)) for i in range(3)], partitions=n))
 
 
 def q_enrich_users(t):

@@ -140,3 +140,16 @@ def test_partitions_follow_the_input(spark, monkeypatch, name):
     df = queries()[name](spark, SF_SMALL)
     assert len(re.findall(rf"hashpartitioning\([^)]*, {n}\), REPARTITION_BY_NUM", df._jdf.queryExecution().toString())) >= 3
     assert sorted(map(str, df.collect())) == before
+
+
+def test_merged_states_are_dealt_by_user(spark):
+    from mercato.operators import states
+    from mercato.sources.driver import DriverTables
+    t = DriverTables(spark, SF_SMALL)
+    some = [states.purchase_states(t.transactions(), t.txn_items(), t.products(), n) for n in (None, 5)]
+    assert sorted(map(str, some[0].collect())) == sorted(map(str, some[1].collect()))
+    merged = [states.summary_of(states.merge_states(*some, partitions=n)) for n in (None, 9)]
+    assert sorted(map(str, merged[0].collect())) == sorted(map(str, merged[1].collect()))
+    plan = merged[1]._jdf.queryExecution().toString()
+    assert re.search(r"hashpartitioning\(user_id[^)]*, 9\), REPARTITION_BY_NUM", plan)
+    assert re.search(r"hashpartitioning\(product_id[^)]*, 5\), REPARTITION_BY_NUM", plan)
