@@ -226,3 +226,11 @@ def test_fitting_reads_every_candidate_in_any_layout(spark, monkeypatch):
     assert len(seen[True, 1]) == len(set(seen[True, 1]))  # copies count for nothing in the threshold
     nets = [S.train(S.findings_table(d)) for d in (df.coalesce(1), df.orderBy(F.desc("doc_id")).repartition(7))]
     assert all((nets[0].p[k] == nets[1].p[k]).all() for k in nets[0].p) and nets[0].threshold == nets[1].threshold
+
+
+def test_redaction_fits_on_every_candidate(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(S, "train", lambda found: seen.append(S._counts(S._labelled(found))))
+    texts = ["wordofletters" + "".join(chr(97 + int(c)) for c in str(i)) for i in range(3500)]
+    S.redact(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert sum(seen[0].values()) == 3500
