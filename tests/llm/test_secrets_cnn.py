@@ -234,3 +234,25 @@ def test_redaction_fits_on_every_candidate(spark, monkeypatch):
     texts = ["wordofletters" + "".join(chr(97 + int(c)) for c in str(i)) for i in range(3500)]
     S.redact(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
     assert sum(seen[0].values()) == 3500
+
+
+def test_fitting_reads_every_view_of_long_candidates(spark):
+    words = ["getting", "started", "install", "account", "manager", "spring", "sale", "report", "annual", "banner"]
+    path = "/".join(words * 3) + "/" + "0123456789abcdef" + "/" + "/".join(words * 2)
+    key = "".join(random.Random(4).choices("GHIJKLMNOPQRSTUVWXYZghijklmnopqrstuvwxyz", k=200))
+    texts = [f"é see {path} there", f'token = "{key}" then', "see some-short-words there"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = set()
+    for text in texts:
+        raw = text.encode()
+        found = [(a + 1, b + 1) if text[0] == "é" else (a, b) for _, a, b in brute(text)]  # in bytes
+        for m in re.finditer(rb"[A-Za-z0-9+/_=-]{12,}", raw):
+            data = S.views(raw, *m.span())
+            for i in range(len(data) // S.VIEW):
+                at = m.start() + i * S.INSIDE // 2
+                rule = any(a < min(at + S.INSIDE, m.end()) and at < b for a, b in found)
+                want.add((rule, data[i * S.VIEW:(i + 1) * S.VIEW]))
+    got = S._labelled(S.findings_table(df)).collect()
+    assert len(got) == len(want) > 10 and {(r[0], bytes(r[1])) for r in got} == want
+    inside = [(r, v[S.BEFORE:S.BEFORE + S.INSIDE]) for r, v in want]
+    assert {r for r, v in inside if b"banner/getting" in v} == {False}  # a hash in a path says nothing of its other parts
