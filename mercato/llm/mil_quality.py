@@ -7,10 +7,16 @@ it by softmax(w . (tanh(V h) * sigmoid(U h))), and the document's score is
 the sigmoid of a linear layer on the weighted mean of h.  All weights are
 learned together from document labels, by gradient descent.
 
-Only the text enters a score.  The model is fitted on at most ``sample``
-labelled documents outside the held-out fold (the ones with the smallest
-hash of their id); passages of all documents are computed and scored in
-tasks, with vectorised numpy over slices of bounded size.
+Only the text enters a score.  The model is fitted on all labelled documents
+outside the held-out fold (or on ``sample`` of them, if a caller asks for
+that: the ones with the smallest hash of their id).  They are dealt by hash to
+shards of about ``SHARD``, whose number follows the documents and their
+passages alone; in a round each shard goes on from the common weights, in a
+task, and the mean of what the shards reach, by their documents, is the next
+round's.  Sums over shards are of decimals, so they do not depend on tasks or
+their order.  A single shard takes all its steps at once, on the driver.
+Passages of all documents are computed and scored in tasks, with vectorised
+numpy over slices of bounded size.
 
 Cases: a null, empty or blank text is one passage without words; labels that
 are null are ignored, and of several labels of a document the smallest
@@ -22,7 +28,7 @@ are scored each; other columns are ignored.
 from __future__ import annotations
 
 import io
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,9 +37,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercato.llm import words as W
+from mercato.llm.store import keep
 
 PASSAGE = 64
-SAMPLE = 4000
+#: Labelled documents, and passages, of a shard.
+SHARD, SHARD_PASSAGES = 4000, 64_000
+#: Rounds over all shards; steps that a shard takes in all.
+ROUNDS, STEPS = 4, 300
 THRESHOLD = 0.3
 #: Byte classes whose shares are features.
 CLASSES = ["ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789", "#*$%&|<>", "!", "?",
@@ -130,20 +140,31 @@ def _forward(p: dict, x: np.ndarray, per_row: np.ndarray) -> dict:
     return {"xs": xs, "h": h, "t": t, "g": g, "a": a, "z": z, "logit": z @ p["c"] + p["d"], "starts": starts}
 
 
-def fit(x: np.ndarray, per_row: np.ndarray, y: np.ndarray, hidden: int = 16, gate: int = 8,
-        steps: int = 300, bags: int = 512, rate: float = 0.02, decay: float = 1e-4, seed: int = 7) -> Model:
+LEARNED = ["W", "b", "V", "U", "w", "c", "d"]
+
+
+def _start(rng: np.random.Generator, mean: np.ndarray, std: np.ndarray, good: float, hidden: int = 16, gate: int = 8) -> dict:
+    """Weights before any step; ``good`` is the share of good labels."""
+    return {"mean": mean, "std": np.where(std > 1e-6, std, 1.0),
+            "W": rng.normal(0, 1 / np.sqrt(len(mean)), (len(mean), hidden)), "b": np.zeros(hidden),
+            "V": rng.normal(0, .25, (hidden, gate)), "U": rng.normal(0, .25, (hidden, gate)),
+            "w": rng.normal(0, .25, gate), "c": np.zeros(hidden),
+            "d": np.array(np.log(good / (1 - good)))}
+
+
+def fit(x: np.ndarray, per_row: np.ndarray, y: np.ndarray, hidden: int = 16, gate: int = 8, steps: int = STEPS,
+        bags: int = 512, rate: float = 0.02, decay: float = 1e-4, seed: int = 7, p: dict | None = None) -> Model:
     """Adam on the log loss of ``bags`` whole documents a step, each round of
-    steps over all of them in a new order; gradients by hand."""
-    if len(y) == 0 or y.min() == y.max():
-        return Model({}, float(y.mean()) if len(y) else 1.0)
+    steps over all of them in a new order; gradients by hand.  With weights
+    ``p`` it goes on from them, by one whole round of steps at least."""
     rng = np.random.default_rng(seed)
-    std = x.std(axis=0)
-    p = {"mean": x.mean(axis=0), "std": np.where(std > 1e-6, std, 1.0),
-         "W": rng.normal(0, 1 / np.sqrt(x.shape[1]), (x.shape[1], hidden)), "b": np.zeros(hidden),
-         "V": rng.normal(0, .25, (hidden, gate)), "U": rng.normal(0, .25, (hidden, gate)),
-         "w": rng.normal(0, .25, gate), "c": np.zeros(hidden),
-         "d": np.array(np.log(y.mean() / (1 - y.mean())))}
-    learned = ["W", "b", "V", "U", "w", "c", "d"]
+    if p is not None:
+        p, steps = dict(p), max(steps, -(-len(y) // bags))
+    elif len(y) == 0 or y.min() == y.max():
+        return Model({}, float(y.mean()) if len(y) else 1.0)
+    else:
+        p = _start(rng, x.mean(axis=0), x.std(axis=0), y.mean(), hidden, gate)
+    learned = LEARNED
     m1, m2 = ({k: np.zeros_like(p[k]) for k in learned} for _ in range(2))
     first = np.cumsum(per_row) - per_row
     order = np.zeros(0, dtype=np.int64)
@@ -176,31 +197,94 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id",
-          text_col: str = "text", label_col: str = "quality") -> Model:
-    """Fit on the ``sample`` labelled documents outside the held-out fold
-    whose ids hash smallest.  Rows that share an id are one document, of the
-    smallest of their texts, so at most ``sample`` rows reach the driver."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _passage_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part, data, offs in W.slices(batch, "text"):
+            x, per_row = passages(data, offs)
+            rows = np.split(x, np.cumsum(per_row)[:-1])
+            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([r.tobytes() for r in rows], pa.binary())],
+                                             names=["id", "x"])
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]
+            size = np.array([len(d["x"]) // (8 * N_FEATURES) for d in row["docs"]], dtype=np.int64)
+            y = np.array([d["y"] for d in row["docs"]], dtype=np.float64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([v]) for v in (row["shard"], size.tobytes(), y.tobytes(), b"".join(d["x"] for d in row["docs"]))],
+                names=["shard", "size", "y", "x"])
+
+
+def _shards(rows: DataFrame, n: int) -> DataFrame:
+    """Documents with passages, dealt to ``n`` shards by the hash of their id."""
+    # a few shards a task, so that few of them are spread over tasks too
+    packs = (rows.withColumn("shard", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(n)))
+             .repartition(min(n, max(64, n // 8)), "shard").groupBy("shard")
+             .agg(F.sort_array(F.collect_list(F.struct("id", "y", "x"))).alias("docs")))
+    return keep(packs.mapInArrow(_pack, "shard long, size binary, y binary, x binary"), "shards")
+
+
+def _total(shards: DataFrame, of: Callable[[np.ndarray, np.ndarray, np.ndarray, int], np.ndarray]) -> np.ndarray:
+    """The sum over all shards of the vector that ``of`` makes of a shard's
+    passages, their number by document, labels and the shard's number."""
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, data, offs in W.slices(batch, "text"):
-                x, per_row = passages(data, offs)
-                rows = np.split(x, np.cumsum(per_row)[:-1])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("y"), pa.array([r.tobytes() for r in rows], pa.binary())],
-                    names=["id", "y", "x"])
-
-    picked = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
+            for i in range(batch.num_rows):
+                shard, size, y, x = (batch.column(c)[i].as_py() for c in ("shard", "size", "y", "x"))
+                out = of(np.frombuffer(x).reshape(-1, N_FEATURES), np.frombuffer(size, np.int64), np.frombuffer(y), shard)
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(out))), pa.array(out)], names=["at", "part"])
+
+    sums = (shards.mapInArrow(parts, "at long, part double").groupBy("at")
+            .agg(F.sum(F.col("part").cast("decimal(38,10)")).cast("double").alias("total")).collect())
+    return np.array([r.total for r in sorted(sums)])
+
+
+def _fit_shards(shards: DataFrame, n: int) -> Model:
+    """``fit`` over all shards, in ``ROUNDS``."""
+    sums = _total(shards, lambda x, size, y, _: np.r_[len(x), len(y), y.sum(), x.sum(axis=0)])
+    n_passages, n_docs, good = sums[:3]
+    if good in (0, n_docs):
+        return Model({}, good / n_docs)
+    mean = sums[3:] / n_passages
+    std = np.sqrt(_total(shards, lambda x, *_: ((x - mean) ** 2).sum(axis=0)) / n_passages)
+    p = _start(np.random.default_rng(7), mean, std, good / n_docs)
+    for turn in range(ROUNDS):
+        def step(x: np.ndarray, size: np.ndarray, y: np.ndarray, shard: int, p: dict = p, turn: int = turn) -> np.ndarray:
+            got = fit(x, size, y, steps=STEPS // ROUNDS, seed=8 + turn * n + shard, p=p).weights
+            return len(y) * np.concatenate([got[k].ravel() for k in LEARNED])
+
+        parts = np.split(_total(shards, step) / n_docs, np.cumsum([p[k].size for k in LEARNED])[:-1])
+        p = p | {k: part.reshape(p[k].shape) for k, part in zip(LEARNED, parts, strict=True)}
+    return Model(p)
+
+
+def train(documents: DataFrame, labels: DataFrame, sample: int | None = None, id_col: str = "doc_id",
+          text_col: str = "text", label_col: str = "quality") -> Model:
+    """Fit on all labelled documents outside the held-out fold, or on the
+    ``sample`` of them whose ids hash smallest.  Rows that share an id are one
+    document, of the smallest of their texts' passages; no more than one
+    shard's documents reach the driver."""
+    picked = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
               .groupBy(F.col(id_col).cast("long").alias("id"))
-              .agg(F.min(F.col(label_col)).cast("int").alias("y"))
-              .orderBy(F.xxhash64("id"), "id").limit(sample))
+              .agg(F.min(F.col(label_col)).cast("int").alias("y")).where(~held_out("id")))
     texts = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    one = texts.join(F.broadcast(picked), "id").groupBy("id", "y").agg(F.min("text").alias("text"))  # the hint: ``sample`` rows
-    rows = sorted(one.mapInArrow(run, "id long, y int, x binary").collect())
-    if not rows:
+    texts = texts.where(F.col("id").isNotNull() & ~held_out("id"))
+    if sample is not None:
+        picked = picked.orderBy(F.xxhash64("id"), "id").limit(sample)
+        texts = texts.join(F.broadcast(picked), "id", "left_semi")  # the hint: ``sample`` rows
+    # passages are smaller than texts, so they are what is shuffled
+    rows = keep(texts.mapInArrow(_passage_rows, "id long, x binary").groupBy("id").agg(F.min("x").alias("x")).join(picked, "id"), "passages")
+    n_docs, n_passages = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("x")), F.lit(0)) / (8 * N_FEATURES)).first()
+    if not n_docs:
         return Model({}, 1.0)
-    bags = [np.frombuffer(r.x).reshape(-1, N_FEATURES) for r in rows]
-    return fit(np.concatenate(bags), np.array([len(b) for b in bags]), np.array([float(r.y) for r in rows]))
+    n = int(max(-(-n_docs // SHARD), -(-n_passages // SHARD_PASSAGES)))
+    if n > 1:
+        return _fit_shards(_shards(rows, n), n)
+    one = sorted(rows.select("id", "y", "x").collect())
+    bags = [np.frombuffer(r.x).reshape(-1, N_FEATURES) for r in one]
+    return fit(np.concatenate(bags), np.array([len(b) for b in bags]), np.array([float(r.y) for r in one]))
 
 
 def score(model: Model, text_col: str = "text") -> Column:

@@ -171,3 +171,35 @@ def test_scores_against_plain_python(spark):
     assert len(got) > 150
     for r in got:
         assert r.score == pytest.approx(plain_score(model.weights, texts[r.doc_id]), abs=1e-9)
+
+
+def test_every_labelled_document_is_fitted_in_any_layout(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
+    labels = spark.read.parquet(f"{SF_CHECK}/labels.parquet")
+    whole = Q.train(docs, labels)  # one shard
+    monkeypatch.setattr(Q, "SHARD", 60)
+    seen = []
+    shards = Q._shards
+    monkeypatch.setattr(Q, "_shards", lambda rows, n: seen.append((shards(rows, n), n)) or seen[0][0])
+    model = Q.train(docs, labels)
+    truth = {r.doc_id: r.quality for r in labels.where(~Q.held_out()).collect()}
+    rows, n = seen[0][0].collect(), seen[0][1]
+    assert n == -(-len(truth) // 60) == len(rows) > 3
+    assert sum(len(r.y) // 8 for r in rows) == len(truth) and sum(np.frombuffer(r.y).sum() for r in rows) == sum(truth.values())
+    again = Q.train(docs.orderBy(docs.doc_id.desc()).repartition(7).unionAll(docs), labels.unionAll(labels))
+    assert model.dump() == again.dump()
+    assert all(np.allclose(model.weights[k], whole.weights[k]) for k in ("mean", "std"))
+    got = {r.doc_id: r.predicted for r in Q.quality_scores(docs, model).where("held_out").collect()}
+    held = [(got[r.doc_id], r.quality) for r in labels.collect() if r.doc_id in got]
+    assert np.mean([p for p, y in held if y]) >= .95 and np.mean([p for p, y in held if not y]) <= .2
+
+
+def test_no_default_sample_of_labels(spark):
+    ids = [r.id for r in spark.range(6000).where(~Q.held_out("id")).collect()]
+    assert len(ids) > Q.SHARD
+    docs = spark.createDataFrame([(i, f"word {i}" if i % 2 else "### ### ###") for i in ids], "doc_id long, text string")
+    model = Q.train(docs, spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int"))
+    assert model.constant is None
+    x, size = zip(*(Q.passages(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)])) for t in
+                    (f"word {i}" if i % 2 else "### ### ###" for i in ids)), strict=True)
+    assert np.allclose(model.weights["mean"], np.concatenate(x).mean(axis=0))
